@@ -90,3 +90,11 @@ def decide_types(stats_row, names: list[str]) -> CubeTypes:
         types.append(chosen)
     out.types = tuple(types)
     return out
+
+
+def value_kinds(text: DataFrame, key: str = "product_id") -> DataFrame:
+    """Per cube: ``max(DECIMALS)`` (null counts as 0) and the VALUE type it implies."""
+    max_dec = F.max(_q(S.DECIMALS_COLUMN).try_cast("bigint"))
+    out = text.groupBy(key).agg(max_dec.alias("max_decimals"), F.count(F.lit(1)).alias("n_rows"))
+    kind = F.when(F.coalesce(F.col("max_decimals"), F.lit(0)) > 0, F.lit("double")).otherwise(F.lit("bigint"))
+    return out.withColumn("value_type", kind)

@@ -75,11 +75,13 @@ def prepare_cubes(
     threshold: int = S.FLAT_LAYOUT_THRESHOLD_BYTES,
     blank_strings: bool = True,
     work: str | None = None,
+    glob: str = "*.csv",
 ) -> DataFrame:
     """Turn every landed cube under ``landing`` into a published parquet cube.
 
     ``destination(product_id)`` names the output folder (default
-    ``<lake>/<product_id>.parquet``); ``only`` restricts the run to some ids.
+    ``<lake>/<product_id>.parquet``); ``only`` restricts the run to some ids;
+    ``glob`` selects the landed files.
     Returns a status table, one row per cube.
     """
     if destination is None:
@@ -89,7 +91,7 @@ def prepare_cubes(
     work = work or scratch_dir(spark, "prepare")
     root = qualified_root(spark, landing)
 
-    files = list_files(spark, landing).withColumn("product_id", cube_key("path", root))
+    files = list_files(spark, landing, glob).withColumn("product_id", cube_key("path", root))
     if only is not None:
         wanted = sorted({int(p) for p in only})
         files = files.where(F.col("product_id").isin(wanted))

@@ -82,12 +82,15 @@ def refresh(
 
     from cubelake import fs
 
-    sources = [unzipped] if fs.exists(spark, unzipped) else []
     status = None
-    if sources:
-        status = prepare_cubes(spark, unzipped, lake, only=planned.keys(), work=f"{work}/etl", **prepare_options)
-    plain = prepare_cubes(spark, landing, lake, only=set(planned) - _ok_ids(status), work=f"{work}/etl-csv", **prepare_options) \
-        if _has_csv(spark, landing) else None
+    if fs.exists(spark, unzipped):
+        zopts = {k: v for k, v in prepare_options.items() if k != "glob"}
+        status = prepare_cubes(spark, unzipped, lake, only=planned.keys(), work=f"{work}/etl", **zopts)
+    glob = prepare_options.get("glob", "*.csv")
+    plain = None
+    if _has_files(spark, landing, glob):
+        rest = set(planned) - _ok_ids(status)
+        plain = prepare_cubes(spark, landing, lake, only=rest, work=f"{work}/etl-csv", **prepare_options)
 
     rows = {}
     for df in (status, plain):
@@ -116,7 +119,7 @@ def _ok_ids(status: DataFrame | None) -> set[int]:
     return {int(r["product_id"]) for r in status.where("ok").select("product_id").collect()}
 
 
-def _has_csv(spark: SparkSession, landing: str) -> bool:
+def _has_files(spark: SparkSession, landing: str, glob: str) -> bool:
     from cubelake.sources.cube_csv import list_files
 
-    return bool(list_files(spark, landing).take(1))
+    return bool(list_files(spark, landing, glob).take(1))

@@ -18,9 +18,28 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",
     "spark.ui.enabled": "false",
+    # Partition discovery over many folders (one per day / product) runs as
+    # a listing job; a few dozen tasks list thousands of folders without one
+    # task per folder.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "32",
 }
 
 
+def tune_session(spark: SparkSession) -> None:
+    """Apply the runtime SQL settings above that the session left at Spark's default."""
+    runtime = {
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": ("10000", "32"),
+    }
+    for key, value in runtime.items():
+        if isinstance(value, tuple):
+            default, wanted = value
+            if spark.conf.get(key, default) == default:
+                spark.conf.set(key, wanted)
+        else:
+            spark.conf.set(key, value)
+
+
 def get_spark(master: str | None = None, app: str = "cubelake", **conf: str) -> SparkSession:
     """Build (or reuse) a session with the defaults above.
 
@@ -72,7 +91,7 @@ def join(*parts: str) -> str:
     return "/".join(p.rstrip("/") if i == 0 else p.strip("/") for i, p in enumerate(parts))
 
 
-__all__ = ["get_spark", "shared_root", "scratch_dir", "local_path", "join", "ship_package"]
+__all__ = ["get_spark", "shared_root", "scratch_dir", "local_path", "join", "ship_package", "tune_session"]
 
 
 _SHIPPED: set[str] = set()

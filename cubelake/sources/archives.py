@@ -105,17 +105,19 @@ def unzip_to_landing(spark: SparkSession, source: str | list[str], landing: str,
 def read_envelopes(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Download envelopes ``{"status", "object"}``, one JSON object per line.
 
-    Adds ``ok`` (status is ``SUCCESS``) and ``file_name`` (base name of the
-    object URL, the name the archive is landed under).
+    Adds ``ok`` (status is ``SUCCESS``), ``file_name`` (base name of the
+    object URL, the name the archive is landed under) and ``product_id``
+    (the digits of that name).
     """
     from cubelake import schemas as S
     from cubelake.functions.columns import product_id_from_name, url_basename
 
-    env = spark.read.schema(S.ENVELOPE_SCHEMA).json(path).withColumn("_file", F.col("_metadata.file_name"))
+    env = spark.read.schema(S.ENVELOPE_SCHEMA).json(path)
+    name = url_basename("object")
     return env.select(
-        product_id_from_name(F.regexp_extract("_file", r"^([^.]*)", 1)).alias("product_id"),
+        product_id_from_name(name).alias("product_id"),
         "status",
         "object",
         (F.col("status") == F.lit("SUCCESS")).alias("ok"),
-        url_basename("object").alias("file_name"),
+        name.alias("file_name"),
     )

@@ -25,9 +25,17 @@ _RAW_SCHEMA = T.StructType(
 )
 
 
-def _read_records(spark: SparkSession, path: str | list[str], schema: T.StructType = _RAW_SCHEMA) -> DataFrame:
-    # A top-level array yields one row per element with multiLine.
-    return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
+def _read_records(
+    spark: SparkSession, path: str | list[str], schema: T.StructType = _RAW_SCHEMA, multi_line: bool = False
+) -> DataFrame:
+    """Records from JSON text.
+
+    Line mode (default) reads one JSON value per line; a line that is an
+    array yields one row per element, so compact service responses and JSON
+    lines both work and large files stay splittable. ``multi_line`` reads
+    each file as one (pretty-printed) document.
+    """
+    return spark.read.schema(schema).option("multiLine", multi_line).option("mode", "FAILFAST").json(path)
 
 
 def catalog_projection(records: DataFrame) -> DataFrame:
@@ -38,9 +46,9 @@ def catalog_projection(records: DataFrame) -> DataFrame:
     )
 
 
-def read_catalog(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """All products with their latest release time (one JSON array per file)."""
-    return catalog_projection(_read_records(spark, path))
+def read_catalog(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+    """All products with their latest release time (JSON arrays or JSON lines)."""
+    return catalog_projection(_read_records(spark, path, multi_line=multi_line))
 
 
 def _date_lit(d: str | dt.date | dt.datetime | None) -> Column:
@@ -56,6 +64,7 @@ def read_changed(
     root: str,
     start: str | dt.date | None = None,
     end: str | dt.date | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Products changed on each day in ``[start, end]`` (both inclusive).
 
@@ -66,7 +75,7 @@ def read_changed(
     schema = T.StructType(_RAW_SCHEMA.fields + [T.StructField("change_date", T.DateType())])
     records = (
         spark.read.schema(schema)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("mode", "FAILFAST")
         .option("basePath", root)
         .json(root)
