@@ -22,6 +22,10 @@ DEFAULT_CONF = {
     # a listing job; a few dozen tasks list thousands of folders without one
     # task per folder.
     "spark.sql.sources.parallelPartitionDiscovery.parallelism": "32",
+    # Keyed writes (rebalance by product / year) must stay parallel when the
+    # shuffled data is small but the number of output folders is large; the
+    # 1 MiB default lets AQE fold such a write into one task.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
 }
 
 
@@ -30,6 +34,7 @@ def tune_session(spark: SparkSession) -> None:
     runtime = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.sources.parallelPartitionDiscovery.parallelism": ("10000", "32"),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": ("1MB", "64KB"),
     }
     for key, value in runtime.items():
         if isinstance(value, tuple):

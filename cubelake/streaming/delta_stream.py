@@ -53,8 +53,13 @@ def ingest_deltas(
     wait: bool = True,
 ):
     """Process every delta file landed so far (``availableNow``) into ``store``."""
+    # Micro-batches are bounded by maxFilesPerTrigger; hashing them on the
+    # product keeps one file per product per batch instead of one per input
+    # file and product.
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     query = (
         delta_stream(spark, landing, max_files_per_trigger)
+        .repartition(width, "productId")
         .writeStream.format("parquet")
         .option("path", store)
         .option("checkpointLocation", checkpoint)
