@@ -48,9 +48,11 @@ def merge_values(
     """Overwrite ``value`` in ``original`` from ``delta`` on ``keys``.
 
     ``insert_new`` also appends delta rows whose key is not stored (columns
-    the delta lacks are null). The join is a left outer join on the keys:
-    AQE turns it into a broadcast join when the deduplicated delta is small
-    at run time, and splits skewed stored keys otherwise.
+    the delta lacks are null). Every join has the deduplicated delta on its
+    build side: AQE broadcasts it when it is small at run time (the stored
+    table is then read without a shuffle) and splits skewed stored keys of
+    the sort-merge join otherwise. Finding the unmatched delta keys reads
+    only the stored key columns.
     """
     keys = list(keys)
     carry = [c for c in original.columns if c in delta.columns and c not in keys] if insert_new else []
@@ -66,7 +68,10 @@ def merge_values(
     )
     if not insert_new:
         return result
-    new_rows = winners.join(original.select(*keys).distinct(), keys, "left_anti")
+    # Keys of the delta that exist in the stored table: a semi join with the
+    # (small) winners as the build side, over the stored key columns only.
+    matched = original.select(*keys).join(winners.select(*keys), keys, "left_semi").distinct()
+    new_rows = winners.join(matched, keys, "left_anti")
     new_rows = new_rows.select(
         *[
             (F.col(c) if c in new_rows.columns else F.lit(None)).cast(original.schema[c].dataType).alias(c)
