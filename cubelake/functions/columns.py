@@ -87,3 +87,20 @@ def format_release_time(ts: Column | str) -> Column:
 def blank_if_null(c: Column | str) -> Column:
     """Empty text instead of null (text columns keep ``''`` as in the source)."""
     return F.coalesce(_c(c), F.lit(""))
+
+
+def delta_file_name(day) -> str:
+    """Landing name of a daily delta file: ``YYYYMMDD.zip``.
+
+    Accepts a date/datetime or its ``YYYYMMDD`` text; any other text is
+    rejected (eight digits exactly).
+    """
+    import re
+
+    if isinstance(day, str):
+        if not re.fullmatch(r"[0-9]{8}", day):
+            raise ValueError(f"delta date must be YYYYMMDD: {day!r}")
+        text = day
+    else:
+        text = day.strftime("%Y%m%d")
+    return f"{text}.zip"

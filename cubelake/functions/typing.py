@@ -81,3 +81,36 @@ SPARK_TYPES = {
     "timestamp": T.TimestampType(),
     "double": T.DoubleType(),
 }
+
+
+_NUMERIC_START = list("0123456789+-.")
+_BIT = {t: 1 << i for i, t in enumerate(CANDIDATES)}
+
+
+def type_mask(c: Column) -> Column:
+    """Bit ``CANDIDATES.index(t)`` set when ``c`` passes ``guard(c, t)``.
+
+    The same answer as testing every guard, evaluated as a decision chain so
+    that most values need one or two pattern tests: text not starting like a
+    number can only be a boolean; an integer literal is also a double (and a
+    boolean when it is 0 or 1); dates, timestamps and decimals exclude each
+    other. Null for null text (null spellings), so ``bit_and`` skips it.
+    """
+    b = lambda t: F.lit(_BIT[t])
+    none = F.lit(0)
+    is_bool = c.isin(S.CSV_TRUE_SPELLINGS + S.CSV_FALSE_SPELLINGS)
+    starts_numeric = F.substring(c, 1, 1).isin(_NUMERIC_START)
+    int_mask = (
+        F.when(c.try_cast("bigint").isNotNull(), b("bigint")).otherwise(none)
+        .bitwiseOR(b("double"))
+        .bitwiseOR(F.when(is_bool, b("boolean")).otherwise(none))
+    )
+    mask = (
+        F.when(~starts_numeric, F.when(is_bool, b("boolean")).otherwise(none))
+        .when(c.rlike(_INT_RE), int_mask)
+        .when(c.rlike(_DATE_RE), F.when(F.try_to_date(c, "yyyy-MM-dd").isNotNull(), b("date")).otherwise(none))
+        .when(c.rlike(_TS_RE), F.when(guard(c, "timestamp"), b("timestamp")).otherwise(none))
+        .when(c.rlike(_FLOAT_RE), F.when(c.try_cast("double").isNotNull(), b("double")).otherwise(none))
+        .otherwise(none)
+    )
+    return F.when(~is_null_spelling(c), mask)

@@ -1,8 +1,8 @@
 """Per-cube column types from the data itself (one aggregate pass).
 
-For every cube (``product_id``) and every column the pass counts the
-non-null values and how many of them pass each type guard; the same pass
-takes ``max(DECIMALS)`` and counts malformed rows. A column gets the first
+For every cube (``product_id``) and every column the pass keeps the set of
+type guards that all non-null values pass (a ``bit_and`` of per-value
+masks); the same pass takes ``max(DECIMALS)`` and counts malformed rows. A column gets the first
 candidate type that every non-null value passes; a column with no non-null
 value is all-null text. Name rules then override: ``REF_DATE`` and the
 "mostly null" columns are text, ``VALUE`` follows ``max(DECIMALS)``.
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from cubelake import schemas as S
 from cubelake.functions.columns import is_null_spelling
-from cubelake.functions.typing import CANDIDATES, guard, is_string_override, value_type
+from cubelake.functions.typing import CANDIDATES, is_string_override, type_mask, value_type
 from cubelake.sources.cube_csv import CORRUPT
 
 
@@ -32,8 +32,10 @@ def fixed_type(name: str) -> str | None:
 
 
 def inference_aggregates(text: DataFrame, names: list[str], key: str = "product_id") -> DataFrame:
-    """One row per cube with the counts the type decision needs.
+    """One row per cube with the evidence the type decision needs.
 
+    Per column one ``bit_and`` of the per-value type masks: the bits left
+    are the types every non-null value passes (null when there is none).
     Every column is referenced, so the CSV parser checks whole rows and
     ragged rows show up in the corrupt-record count.
     """
@@ -42,16 +44,17 @@ def inference_aggregates(text: DataFrame, names: list[str], key: str = "product_
         c = _q(name)
         if fixed_type(name) is not None:
             aggs.append(F.count(c).alias(f"n_{i}"))
-            continue
-        present = ~is_null_spelling(c)
-        aggs.append(F.count_if(present).alias(f"nn_{i}"))
-        for t in CANDIDATES:
-            aggs.append(F.count_if(present & guard(c, t)).alias(f"{t}_{i}"))
+        else:
+            aggs.append(F.bit_and(type_mask(c)).alias(f"mask_{i}"))
     if S.DECIMALS_COLUMN in names:
         aggs.append(F.max(_q(S.DECIMALS_COLUMN).try_cast("bigint")).alias("_max_dec"))
     return text.groupBy(key).agg(*aggs)
 
 
+def _passes(mask: int | None, type_name: str) -> bool:
+    return mask is not None and bool(mask & (1 << CANDIDATES.index(type_name)))
+
+
 @dataclass
 class CubeTypes:
     product_id: int
@@ -75,19 +78,18 @@ def decide_types(stats_row, names: list[str]) -> CubeTypes:
         if ft is not None:
             types.append(ft)
             continue
-        nn = r[f"nn_{i}"]
+        mask = r[f"mask_{i}"]
         if name == S.VALUE_COLUMN and S.DECIMALS_COLUMN in names:
             target = value_type(max_dec)
-            if r[f"{target}_{i}"] != nn:
+            if mask is not None and not _passes(mask, target):
                 out.ok, out.reason = False, f"VALUE does not convert to {target}"
                 return out
             types.append(target)
             continue
-        if nn == 0:
+        if mask is None:
             types.append("null")
             continue
-        chosen = next((t for t in CANDIDATES if r[f"{t}_{i}"] == nn), "string")
-        types.append(chosen)
+        types.append(next((t for t in CANDIDATES if _passes(mask, t)), "string"))
     out.types = tuple(types)
     return out
 

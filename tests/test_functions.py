@@ -71,3 +71,30 @@ def test_envelopes(spark, tmp_dir):
         f.write(json.dumps({"status": "FAILED", "object": "https://h/n1/tbl/csv/17100010-eng.zip"}) + "\n")
     got = {r.product_id: (r.ok, r.file_name) for r in read_envelopes(spark, p).collect()}
     assert got == {17100009: (True, "17100009-eng.zip"), 17100010: (False, "17100010-eng.zip")}
+
+
+def test_delta_file_name():
+    import datetime as dt
+
+    from cubelake.functions.columns import delta_file_name
+
+    assert delta_file_name(dt.date(2023, 8, 3)) == "20230803.zip"
+    assert delta_file_name("20230803") == "20230803.zip"
+    for bad in ("2023-08-03", "2023083", "abcdefgh"):
+        with pytest.raises(ValueError):
+            delta_file_name(bad)
+
+
+def test_type_mask_matches_guards(spark):
+    from cubelake.functions.typing import CANDIDATES, type_mask
+
+    samples = ["12", "-3", "+7", "0", "1", "1.5", ".5", "1e3", "1d", "1999-04", "1999-04-01", "1999-02-30",
+               "1999-04-01T10:00", "1999-04-01 10:00:05", "TRUE", "false", "y", "abc", "", "NA", "1.2.3",
+               "99999999999999999999", "-", "+.", "2001/2002", " 5"]
+    df = spark.createDataFrame([(s,) for s in samples], "c string")
+    exprs = [type_mask(F.col("c")).alias("m")] + [guard(F.col("c"), t).alias(t) for t in CANDIDATES]
+    for r in df.select("c", *exprs).collect():
+        if r.m is None:
+            continue
+        expected = sum(1 << i for i, t in enumerate(CANDIDATES) if r[t])
+        assert r.m == expected, r.c
