@@ -21,7 +21,7 @@ from collections import defaultdict
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from cubelake import schemas as S
@@ -101,6 +101,18 @@ def prepare_cubes(
         .collect()
     )
 
+    unreadable = [r.path for r in headers if r.error and r.error.startswith("unreadable")]
+    if unreadable:
+        # file systems the Python reader cannot open: Spark reads the first lines
+        from cubelake.sources.cube_csv import headers_from_lines, read_headers_spark
+
+        fixed = headers_from_lines(read_headers_spark(spark, unreadable).collect())
+        headers = [
+            r if r.path not in fixed else Row(path=r.path, names=fixed[r.path] or None,
+                                              error=None if fixed[r.path] else "empty file", product_id=r.product_id)
+            for r in headers
+        ]
+
     statuses: dict[int | None, CubeStatus] = {}
     by_cube: dict[int, list] = defaultdict(list)
     for row in headers:

@@ -22,7 +22,10 @@ def split_by_key(spark: SparkSession, df: DataFrame, path: str, key: str = "prod
     if not fs.is_missing_or_empty_dir(spark, path):
         raise FileExistsError(f"target exists and is not empty: {path}")
     mode = "overwrite" if fs.exists(spark, path) else "errorifexists"
-    df.hint("rebalance", key).write.partitionBy(key).mode(mode).format(fmt).save(path)
+    writer = df.hint("rebalance", key).write.partitionBy(key).mode(mode).format(fmt)
+    if fmt == "csv":
+        writer = writer.option("header", True).option("escape", '"')
+    writer.save(path)
 
 
 def write_year_partitioned(df: DataFrame, path: str) -> None:

@@ -72,7 +72,7 @@ def refresh(
         return spark.createDataFrame([], STATUS_SCHEMA + ", release_time timestamp")
 
     unzipped = f"{work}/unzipped"
-    zip_status = unzip_to_landing(spark, landing, unzipped, rule="digits").collect()
+    zip_status = unzip_to_landing(spark, landing, unzipped, rule="digits", only=sorted(planned)).collect()
     failed_zip = {}
     for z in zip_status:
         if not z["ok"]:

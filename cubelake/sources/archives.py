@@ -84,10 +84,17 @@ def _unzip_udf(landing: str, rule: str):
 UNZIP_SCHEMA = "archive string, member string, landed string, ok boolean, reason string"
 
 
-def unzip_to_landing(spark: SparkSession, source: str | list[str], landing: str, rule: str = "digits") -> DataFrame:
+def unzip_to_landing(
+    spark: SparkSession,
+    source: str | list[str],
+    landing: str,
+    rule: str = "digits",
+    only: list[int] | None = None,
+) -> DataFrame:
     """Unpack every ``*.zip`` under ``source`` into ``landing``.
 
-    Returns one status row per archive (lazy; count or write it to run).
+    ``only`` keeps archives whose name's digits are one of these product ids.
+    Returns one status row per archive (lazy; collect it to run the job).
     """
     files = (
         spark.read.format("binaryFile")
@@ -96,6 +103,10 @@ def unzip_to_landing(spark: SparkSession, source: str | list[str], landing: str,
         .load(source)
         .select("path")
     )
+    if only is not None:
+        from cubelake.functions.columns import file_name, product_id_from_name
+
+        files = files.where(product_id_from_name(file_name("path")).isin(sorted({int(p) for p in only})))
     from cubelake.session import ship_package
 
     ship_package(files.sparkSession)

@@ -125,6 +125,28 @@ def read_headers(files: DataFrame) -> DataFrame:
     return files.select("path").mapInPandas(_headers_udf, HEADER_SCHEMA)
 
 
+def read_headers_spark(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Header lines through Spark's own text reader (any Hadoop file system).
+
+    The first line of a file is the first row of the split that starts at
+    offset 0; rows of one split keep their order, so the row with the
+    smallest ``monotonically_increasing_id`` is the header. This reads the
+    whole first split of each file, so it is the fallback for file systems
+    the Python reader cannot open.
+    """
+    lines = spark.read.text(paths).select(
+        "value",
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("pos"),
+    )
+    return lines.where(F.col("start") == 0).groupBy("path").agg(F.min_by("value", "pos").alias("line"))
+
+
+def headers_from_lines(rows) -> dict[str, list[str]]:
+    return {r["path"]: parse_header(r["line"] or "") for r in rows}
+
+
 def text_schema(names: list[str]) -> T.StructType:
     fields = [T.StructField(n, T.StringType(), True) for n in names]
     return T.StructType(fields + [T.StructField(CORRUPT, T.StringType(), True)])

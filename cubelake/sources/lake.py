@@ -29,6 +29,29 @@ def read_cube(spark: SparkSession, lake: str, product_id: int) -> DataFrame:
     return normalise_year(spark.read.parquet(cube_path(lake, product_id)))
 
 
+def read_cubes(spark: SparkSession, lake: str, product_ids, widen_value: bool = True) -> DataFrame:
+    """Several cubes as one table with a ``product_id`` column.
+
+    Cubes differ in their columns and VALUE is BIGINT in some and DOUBLE in
+    others; the union is by name (missing columns are null) and, with
+    ``widen_value``, VALUE is widened to DOUBLE on purpose. Each cube keeps
+    its own scan, so filters and pruning still reach every one of them.
+    """
+    from functools import reduce
+
+    from pyspark.sql import types as T
+
+    frames = []
+    for pid in product_ids:
+        cube = read_cube(spark, lake, pid)
+        if widen_value and S.VALUE_COLUMN in cube.columns:
+            cube = cube.withColumn(S.VALUE_COLUMN, F.col(S.VALUE_COLUMN).cast(T.DoubleType()))
+        frames.append(cube.withColumn("product_id", F.lit(int(pid)).cast("bigint")))
+    if not frames:
+        raise ValueError("no cubes given")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
 def register_cube(spark: SparkSession, lake: str, product_id: int, view: str | None = None) -> str:
     """Expose a cube to SQL as a temp view (default name ``cube_<id>``)."""
     name = view or f"cube_{int(product_id)}"
