@@ -118,6 +118,14 @@ _ORACLE = {
                COUNT(*) FILTER (WHERE value IS NULL) AS n_null_values
         FROM events GROUP BY user_id
     """,
+    "delta_zip_split": """
+        SELECT CAST(user_id AS BIGINT) AS productId, COUNT(*) AS n_rows,
+               COUNT(DISTINCT strftime(ts, '%Y-%m-%d')) AS n_periods,
+               MIN(strftime(ts, '%Y-%m-%d')) AS first_period,
+               MAX(strftime(ts, '%Y-%m-%d')) AS last_period,
+               COUNT(*) FILTER (WHERE value IS NULL) AS n_null_values
+        FROM events GROUP BY user_id
+    """,
     "split_multiset": """
         SELECT 'input_rows' AS measure, COUNT(*) AS n FROM events
         UNION ALL SELECT 'split_rows' AS measure, COUNT(*) AS n FROM events
@@ -125,6 +133,7 @@ _ORACLE = {
     """,
     "merge_vector": _MERGE_VECTOR,
     "merge_vector_period": _PERIOD_MERGED,
+    "merge_store": _PERIOD_MERGED,
     "merge_vector_period_insert": f"""
         {_PERIOD_MERGED}
         UNION ALL

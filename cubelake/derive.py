@@ -240,41 +240,67 @@ def write_array_rows(text: DataFrame, path: str, columns: list[str]) -> None:
 
 # -------------------------------------------------------------------- archives
 
-def write_zipped_cubes(spark: SparkSession, customer: DataFrame, csv_root: str, zip_root: str) -> DataFrame:
-    """Customer chunks as CSV, each zipped as ``<id>-eng.zip`` holding ``<id>.csv``.
+def zip_parts(spark: SparkSession, root: str, zip_root: str, key: str, suffix: str = "") -> DataFrame:
+    """Zip every CSV part under ``root`` as ``<zip_root>/<v><suffix>.zip``.
 
-    Product id = 1000 + chunk number. Returns the zip job's status rows.
+    ``v`` is the value of the ``key=v`` folder of the part, and the member is
+    ``<v>.csv``; the writer must leave one part per folder. Each part is a
+    bounded key range. Returns the job's rows (collect to run it).
     """
     from cubelake.sources.archives import _open_output
     from cubelake.sources.cube_csv import _open_input, list_files
     from cubelake.session import ship_package
 
-    chunked = customer.withColumn("cube", (F.floor(F.col("c_custkey") / F.lit(CHUNK)) + F.lit(1000)).cast("bigint"))
-    (
-        chunked.repartition("cube")
-        .write.mode("overwrite")
-        .partitionBy("cube")
-        .option("header", True)
-        .option("escape", '"')
-        .csv(csv_root)
-    )
+    marker = f"/{key}="
 
     def zip_each(batches):
         for pdf in batches:
             out = []
             for path in pdf["path"]:
-                cube = path.split("/cube=", 1)[1].split("/", 1)[0]
-                target = f"{zip_root.rstrip('/')}/{cube}-eng.zip"
+                value = path.split(marker, 1)[1].split("/", 1)[0]
+                target = f"{zip_root.rstrip('/')}/{value}{suffix}.zip"
                 with _open_input(path) as src:
                     data = src.read()
                 with _open_output(target) as raw:
                     with zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as zf:
-                        zf.writestr(f"{cube}.csv", data)
+                        zf.writestr(f"{value}.csv", data)
                 out.append((target,))
             yield pd.DataFrame(out, columns=["zip"])
 
     ship_package(spark)
-    return list_files(spark, csv_root).select("path").mapInPandas(zip_each, "zip string")
+    return list_files(spark, root).select("path").mapInPandas(zip_each, "zip string")
+
+
+def write_zipped_cubes(spark: SparkSession, customer: DataFrame, csv_root: str, zip_root: str) -> DataFrame:
+    """Customer chunks as CSV, each zipped as ``<id>-eng.zip`` holding ``<id>.csv``.
+
+    Product id = 1000 + chunk number. Returns the zip job's rows.
+    """
+    chunked = customer.withColumn("cube", (F.floor(F.col("c_custkey") / F.lit(CHUNK)) + F.lit(1000)).cast("bigint"))
+    (
+        chunked.repartition("cube")
+        .write.mode("overwrite")
+        .partitionBy("cube")
+        .option("header", True)
+        .option("escape", '"')
+        .csv(csv_root)
+    )
+    return zip_parts(spark, csv_root, zip_root, "cube", "-eng")
+
+
+def write_daily_delta_zips(spark: SparkSession, delta: DataFrame, csv_root: str, zip_root: str) -> DataFrame:
+    """One delta file per day, zipped as ``YYYYMMDD.zip`` holding ``YYYYMMDD.csv``."""
+    day = F.regexp_replace(F.col("refPer"), "-", "")
+    (
+        delta.withColumn("day", day)
+        .repartition("day")
+        .write.mode("overwrite")
+        .partitionBy("day")
+        .option("header", True)
+        .option("escape", '"')
+        .csv(csv_root)
+    )
+    return zip_parts(spark, csv_root, zip_root, "day")
 
 
 def write_envelopes(customer: DataFrame, path: str) -> None:

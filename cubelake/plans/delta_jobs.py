@@ -46,3 +46,40 @@ def merge_delta_frames(
     original: DataFrame, delta: DataFrame, keys: Sequence[str] = ("vectorId",), insert_new: bool = False
 ) -> DataFrame:
     return merge_values(original, delta, keys=keys, value="value", insert_new=insert_new)
+
+
+def merge_into_store(
+    spark: SparkSession,
+    store: str,
+    delta: DataFrame,
+    keys: Sequence[str] = ("vectorId",),
+    insert_new: bool = False,
+    product: str = "productId",
+    work: str | None = None,
+) -> list[int]:
+    """Merge a delta into a ``productId=``-partitioned store, in place.
+
+    Only the products that occur in the delta are read (partition pruning)
+    and rewritten; every other product folder is left untouched. Each merged
+    product is staged, then swapped into the store folder by folder. Series
+    keys never cross products (a vector belongs to one product), so merging
+    product by product gives the same result as merging the whole store.
+    Returns the touched product ids.
+    """
+    from pyspark.sql import functions as F
+
+    from cubelake import fs
+    from cubelake.plans.layout import publish
+
+    touched = sorted(int(r[0]) for r in delta.select(product).distinct().collect())
+    if not touched:
+        return []
+    stored = spark.read.parquet(store).where(F.col(product).isin(touched))
+    merged = merge_values(stored, delta, keys=keys, value="value", insert_new=insert_new)
+    staging = f"{work or scratch_dir(spark, 'merge-store')}/staged"
+    merged.hint("rebalance", product).write.mode("overwrite").partitionBy(product).parquet(staging)
+    for pid in touched:
+        src = f"{staging}/{product}={pid}"
+        if fs.exists(spark, src):
+            publish(spark, src, f"{store.rstrip('/')}/{product}={pid}")
+    return touched

@@ -150,6 +150,28 @@ def split_multiset(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def delta_zip_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zipped daily delta files: distributed unzip (stem rule), read, split by product."""
+    _prep(spark)
+    from cubelake.plans.layout import split_by_key
+    from cubelake.sources.delta_csv import read_delta
+
+    work = scratch_dir(spark, "delta-zips")
+    delta = derive.events_as_delta(table(spark, sf_dir, "events"))
+    derive.write_daily_delta_zips(spark, delta, f"{work}/csv", f"{work}/zips").collect()
+    status = unzip_to_landing(spark, f"{work}/zips", f"{work}/landing", rule="stem").collect()
+    if not status or not all(s["ok"] for s in status):
+        raise RuntimeError(f"unzip failed: {[s for s in status if not s['ok']]}")
+    split_by_key(spark, read_delta(spark, f"{work}/landing"), f"{work}/split", "productId")
+    return _read_split(spark, f"{work}/split").groupBy("productId").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.countDistinct("refPer").alias("n_periods"),
+        F.min("refPer").alias("first_period"),
+        F.max("refPer").alias("last_period"),
+        F.count_if(F.col("value").isNull()).alias("n_null_values"),
+    )
+
+
 def merge_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Split a delta, then merge it into a stored table on ``vectorId`` (files in, file out)."""
     _prep(spark)
@@ -195,6 +217,19 @@ def merge_vector_period_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_values(original, delta, keys=("vectorId", "refPer"), insert_new=True)
 
 
+def merge_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merge a delta into a product-partitioned store, rewriting touched products only."""
+    _prep(spark)
+    from cubelake.plans.delta_jobs import merge_into_store
+
+    original, delta = _period_inputs(spark, sf_dir)
+    store = f"{scratch_dir(spark, 'store')}/store"
+    original.write.mode("overwrite").partitionBy("productId").parquet(store)
+    merge_into_store(spark, store, delta, keys=("vectorId", "refPer"))
+    back = spark.read.parquet(store)
+    return back.select(*[F.col(c).cast(original.schema[c].dataType).alias(c) for c in original.columns])
+
+
 def scale_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delta value scaling: empty as 0, times ``10 ** scalarFactorCode``."""
     _prep(spark)
@@ -405,9 +440,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cube_sql": cube_sql,
     "split_counts": split_counts,
     "split_multiset": split_multiset,
+    "delta_zip_split": delta_zip_split,
     "merge_vector": merge_vector,
     "merge_vector_period": merge_vector_period,
     "merge_vector_period_insert": merge_vector_period_insert,
+    "merge_store": merge_store,
     "scale_delta": scale_delta,
     "stream_merge": stream_merge,
     "freshness_diff": freshness,

@@ -156,3 +156,18 @@ def test_stream_ingest_exactly_once(spark, tmp_dir):
     assert spark.read.parquet(store).count() == 4
     stored = spark.createDataFrame([(23100309, 111, "x", 0.0)], "productId bigint, vectorId bigint, coordinate string, value double")
     assert current_table(spark, stored, store).first().value == 12.5
+
+
+def test_merge_into_store_touches_only_delta_products(spark, tmp_dir):
+    from cubelake.plans.delta_jobs import merge_into_store
+
+    store = os.path.join(tmp_dir, "store")
+    _stored(spark).write.partitionBy("productId").parquet(store)
+    untouched = sorted(os.listdir(os.path.join(store, "productId=2")))
+    delta = _delta(spark).where("vectorId IN (10, 11)").withColumn("productId", F.lit(1).cast("bigint"))
+    assert merge_into_store(spark, store, delta, work=os.path.join(tmp_dir, "w")) == [1]
+    assert sorted(os.listdir(os.path.join(store, "productId=2"))) == untouched
+    got = sorted((r.productId, r.vectorId, r.refPer, r.value) for r in spark.read.parquet(store).collect()
+                 if r.value is not None)
+    assert got == [(1, 10, "2023-01", 21.0), (1, 10, "2023-02", 21.0), (2, 20, "2023-01", 4.0)]
+    assert spark.read.parquet(store).count() == 4
