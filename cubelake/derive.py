@@ -10,6 +10,7 @@ by a key range (at most ``CHUNK`` rows), never by a whole table.
 
 from __future__ import annotations
 
+import shutil
 import zipfile
 
 import pandas as pd
@@ -259,11 +260,10 @@ def zip_parts(spark: SparkSession, root: str, zip_root: str, key: str, suffix: s
             for path in pdf["path"]:
                 value = path.split(marker, 1)[1].split("/", 1)[0]
                 target = f"{zip_root.rstrip('/')}/{value}{suffix}.zip"
-                with _open_input(path) as src:
-                    data = src.read()
-                with _open_output(target) as raw:
+                with _open_input(path) as src, _open_output(target) as raw:
                     with zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as zf:
-                        zf.writestr(f"{value}.csv", data)
+                        with zf.open(f"{value}.csv", "w") as dst:
+                            shutil.copyfileobj(src, dst, 1 << 20)
                 out.append((target,))
             yield pd.DataFrame(out, columns=["zip"])
 

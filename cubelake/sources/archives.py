@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cubelake.sources.cube_csv import _open_input
+from cubelake.sources.cube_csv import _open_random_access
 
 
 def member_for(zip_name: str, rule: str) -> str:
@@ -34,16 +34,9 @@ def member_for(zip_name: str, rule: str) -> str:
 
 
 def _open_output(path: str):
-    import pyarrow.fs as pafs
-
-    uri = path
-    if uri.startswith("file:") and not uri.startswith("file://"):
-        uri = "file://" + uri[len("file:"):]
-    if "://" not in uri:
-        uri = "file://" + uri
-    if uri.startswith("s3a://"):
-        uri = "s3://" + uri[len("s3a://"):]
-    filesystem, inner = pafs.FileSystem.from_uri(uri)
+    from cubelake.sources.cube_csv import _filesystem
+
+    filesystem, inner = _filesystem(path)
     parent = inner.rsplit("/", 1)[0]
     filesystem.create_dir(parent, recursive=True)
     return filesystem.open_output_stream(inner)
@@ -51,6 +44,8 @@ def _open_output(path: str):
 
 def _unzip_udf(landing: str, rule: str):
     def run(batches):
+        import pyarrow as pa
+
         for pdf in batches:
             rows = []
             for path in pdf["path"]:
@@ -61,18 +56,15 @@ def _unzip_udf(landing: str, rule: str):
                 member = member_for(name, rule)
                 target = f"{landing.rstrip('/')}/{member}"
                 try:
-                    with _open_input(path) as raw:
-                        # zipfile needs seeking; spool through a bounded temp buffer
-                        import tempfile
-
-                        with tempfile.SpooledTemporaryFile(max_size=64 << 20) as spool:
-                            shutil.copyfileobj(raw, spool, 1 << 20)
-                            spool.seek(0)
-                            with zipfile.ZipFile(spool) as archive:
-                                with archive.open(member) as src, _open_output(target) as dst:
-                                    shutil.copyfileobj(src, dst, 1 << 20)
+                    # the archive is read in place through a seekable handle and
+                    # the member streamed out in 1 MiB pieces
+                    with _open_random_access(path) as raw, zipfile.ZipFile(raw) as archive:
+                        with archive.open(member) as src, _open_output(target) as dst:
+                            shutil.copyfileobj(src, dst, 1 << 20)
                     rows.append((path, member, target, True, None))
-                except zipfile.BadZipFile:
+                except (zipfile.BadZipFile, pa.ArrowInvalid):
+                    # too short or no central directory (pyarrow refuses the
+                    # seek zipfile uses to find the end record)
                     rows.append((path, member, None, False, "bad zip"))
                 except KeyError:
                     rows.append((path, member, None, False, "member missing"))

@@ -74,18 +74,31 @@ def parse_header(first_line: str) -> list[str]:
     return unique_names(row)
 
 
-def _open_input(path: str):
+def _filesystem(path: str):
+    """pyarrow file system + inner path for a Hadoop-style path or URI."""
     import pyarrow.fs as pafs
 
     uri = path
     if uri.startswith("file:") and not uri.startswith("file://"):
         uri = "file://" + uri[len("file:"):]
+    if "://" not in uri:
+        uri = "file://" + uri
     if uri.startswith("s3a://"):
         uri = "s3://" + uri[len("s3a://"):]
-    filesystem, inner = pafs.FileSystem.from_uri(uri)
+    return pafs.FileSystem.from_uri(uri)
+
+
+def _open_input(path: str):
+    filesystem, inner = _filesystem(path)
     return filesystem.open_input_stream(inner)
 
 
+def _open_random_access(path: str):
+    """Seekable input (what zip archives need), read in place, never copied."""
+    filesystem, inner = _filesystem(path)
+    return filesystem.open_input_file(inner)
+
+
 def _first_line(path: str) -> str:
     buf = bytearray()
     with _open_input(path) as stream:
