@@ -140,3 +140,25 @@ def test_refresh_isolates_failures_and_registers(spark, tmp_dir):
     status = {r.product_id: r for r in refresh(spark, plan, land, os.path.join(tmp_dir, "lake"), reg).collect()}
     assert status[1].ok and not status[2].ok and status[3].reason == "not landed"
     assert [r.number for r in read_registry(spark, reg).collect()] == [1]
+
+
+def test_refresh_twice_plans_nothing(spark, tmp_dir):
+    import json
+
+    from cubelake.plans.refresh import plan_refresh
+
+    land = os.path.join(tmp_dir, "landing")
+    for pid in (21, 22, 23):
+        _land(land, f"{pid}.csv", "REF_DATE,GEO,VALUE,DECIMALS\n1999,A,1,0\n")
+    catalog = os.path.join(tmp_dir, "catalog.json")
+    with open(catalog, "w") as f:
+        json.dump([{"productId": p, "releaseTime": "2023-08-01T12:30"} for p in (21, 22, 23)], f)
+    reg, lake = os.path.join(tmp_dir, "registry"), os.path.join(tmp_dir, "lake")
+    first = plan_refresh(spark, catalog, reg)
+    assert sorted(r.product_id for r in first.collect()) == [21, 22, 23]
+    status = refresh(spark, first, land, lake, reg).collect()
+    assert all(s.ok for s in status)
+    assert plan_refresh(spark, catalog, reg).count() == 0
+    with open(catalog, "w") as f:  # one product gets a newer release
+        json.dump([{"productId": 22, "releaseTime": "2023-09-01T12:30"}], f)
+    assert [r.product_id for r in plan_refresh(spark, catalog, reg).collect()] == [22]
