@@ -17,8 +17,11 @@ fails as a whole; the other cubes go on.
 
 from __future__ import annotations
 
+import logging
+import time
 from collections import defaultdict
 from collections.abc import Callable, Iterable
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -33,6 +36,16 @@ from cubelake.session import scratch_dir
 from cubelake.sources.cube_csv import cube_key, list_files, qualified_root, read_cube_text, read_headers
 from cubelake.sources.lake import cube_path
 
+log = logging.getLogger(__name__)
+
+
+@contextmanager
+def _step(name: str):
+    start = time.perf_counter()
+    yield
+    log.info("prepare_cubes %s: %.2fs", name, time.perf_counter() - start)
+
+
 STATUS_SCHEMA = (
     "product_id bigint, ok boolean, reason string, layout string, rows bigint, bytes bigint, destination string"
 )
@@ -95,11 +108,12 @@ def prepare_cubes(
     if only is not None:
         wanted = sorted({int(p) for p in only})
         files = files.where(F.col("product_id").isin(wanted))
-    headers = (
-        read_headers(files.select("path"))
-        .withColumn("product_id", cube_key("path", root))
-        .collect()
-    )
+    with _step("headers"):
+        headers = (
+            read_headers(files.select("path"))
+            .withColumn("product_id", cube_key("path", root))
+            .collect()
+        )
 
     unreadable = [r.path for r in headers if r.error and r.error.startswith("unreadable")]
     if unreadable:
@@ -141,7 +155,8 @@ def prepare_cubes(
         names = list(names_t)
         paths = [r.path for pid in pids for r in by_cube[pid]]
         text = read_cube_text(spark, paths, names).withColumn("product_id", cube_key("_path", root))
-        decided = [decide_types(r, names) for r in inference_aggregates(text, names).collect()]
+        with _step(f"infer group {gi}"):
+            decided = [decide_types(r, names) for r in inference_aggregates(text, names).collect()]
         by_types: dict[tuple[str, ...], list[int]] = defaultdict(list)
         for d in decided:
             if not d.ok:
@@ -156,8 +171,10 @@ def prepare_cubes(
             typed = read_cube_text(spark, tpaths, names).select(
                 cube_key("_path", root).alias("product_id"), *typed_columns(names, types, blank_strings)
             )
-            typed.write.mode("overwrite").partitionBy("product_id").parquet(stage)
-            _place(spark, stage, f"{work}/large/g{gi}-t{ti}", tpids, statuses, destination, threshold)
+            with _step(f"stage group {gi}-{ti}"):
+                typed.write.mode("overwrite").partitionBy("product_id").parquet(stage)
+            with _step(f"place group {gi}-{ti}"):
+                _place(spark, stage, f"{work}/large/g{gi}-t{ti}", tpids, statuses, destination, threshold)
 
     rows = [
         (s.product_id, s.ok, s.reason, s.layout, s.rows, s.bytes, s.destination)
@@ -186,8 +203,16 @@ def _place(spark, stage, large_stage, pids, statuses, destination, threshold) ->
             large.append(pid)
     if not large:
         return
+    # One shuffle so that every (cube, year) folder gets one or a few
+    # well-sized files (AQE splits a hot year) instead of one file per input
+    # task and year.
     staged = spark.read.parquet(stage).where(F.col("product_id").isin(large))
-    staged.write.mode("overwrite").partitionBy("product_id", S.YEAR_COLUMN).parquet(large_stage)
+    (
+        staged.hint("rebalance", "product_id", S.YEAR_COLUMN)
+        .write.mode("overwrite")
+        .partitionBy("product_id", S.YEAR_COLUMN)
+        .parquet(large_stage)
+    )
     for pid in large:
         layout.publish(spark, f"{large_stage}/product_id={pid}", destination(pid))
         statuses[pid].layout = "partitioned"

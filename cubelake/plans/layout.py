@@ -28,9 +28,15 @@ def split_by_key(spark: SparkSession, df: DataFrame, path: str, key: str = "prod
     writer.save(path)
 
 
-def write_year_partitioned(df: DataFrame, path: str) -> None:
-    """Hive ``year=`` folders; a null year goes to the default partition."""
-    df.write.mode("overwrite").partitionBy(S.YEAR_COLUMN).parquet(path)
+def write_year_partitioned(df: DataFrame, path: str, rebalance: bool = True) -> None:
+    """Hive ``year=`` folders; a null year goes to the default partition.
+
+    ``rebalance`` hashes rows on the year first (AQE splits a hot year), so
+    each folder gets one or a few well-sized files rather than one per input
+    task; turn it off when the input is already clustered by year.
+    """
+    out = df.hint("rebalance", S.YEAR_COLUMN) if rebalance else df
+    out.write.mode("overwrite").partitionBy(S.YEAR_COLUMN).parquet(path)
 
 
 def publish(spark: SparkSession, staged: str, destination: str) -> None:
