@@ -42,13 +42,27 @@ def write_year_partitioned(df: DataFrame, path: str, rebalance: bool = True) ->
 def publish(spark: SparkSession, staged: str, destination: str) -> None:
     """Replace ``destination`` with the staged folder (exact folder, no prefix match).
 
-    Delete-then-rename: on file systems with atomic rename the window in which
-    readers see no cube is one metadata call.
+    The old folder is first moved aside, the staged one moved in, and only
+    then the old one deleted; if the move in fails the old folder is put
+    back. Readers see no folder only between the two renames, and a crash at
+    any point leaves either the old or the new data (plus, at worst, a
+    hidden ``_replaced-*`` folder to clean up).
     """
+    import uuid
+
+    backup = None
     if fs.exists(spark, destination):
-        fs.delete(spark, destination)
+        parent, _, name = destination.rstrip("/").rpartition("/")
+        # a leading "_" keeps a left-over backup out of Spark's file listings
+        backup = f"{parent}/_replaced-{name}-{uuid.uuid4().hex[:8]}"
+        if not fs.rename(spark, destination, backup):
+            raise OSError(f"could not move {destination} aside")
     if not fs.rename(spark, staged, destination):
+        if backup is not None:
+            fs.rename(spark, backup, destination)
         raise OSError(f"could not move {staged} to {destination}")
+    if backup is not None:
+        fs.delete(spark, backup)
 
 
 def write_size_adaptive(

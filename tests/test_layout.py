@@ -103,3 +103,18 @@ def test_read_cubes_widens_value(spark, tmp_dir):
     assert rows == [(1, 1.0, None, 1999), (2, 1.5, "x", 2001)]
     plan = both.where(F.col("year") > 2000)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("PartitionFilters") >= 0  # flat cubes filter on the stored column
+
+
+def test_publish_replaces_and_hides_backup(spark, tmp_dir):
+    from cubelake.plans.layout import publish
+
+    store = os.path.join(tmp_dir, "store")
+    _df(spark).write.partitionBy("productId").parquet(store)
+    staged = os.path.join(tmp_dir, "staged")
+    spark.createDataFrame([("z", 9.0, "2001")], "coordinate string, value double, year string").write.parquet(staged)
+    publish(spark, staged, os.path.join(store, "productId=1"))
+    assert not any(n.startswith("_replaced") for n in os.listdir(store))
+    back = spark.read.parquet(store)
+    assert sorted((r.productId, r.coordinate) for r in back.collect()) == [(1, "z"), (2, "c")]
+    os.makedirs(os.path.join(store, "_replaced-productId=2-deadbeef"))  # a left-over backup
+    assert spark.read.parquet(store).count() == 2
