@@ -149,6 +149,7 @@ _ORACLE = {
         FROM events
     """,
     "stream_merge": _MERGE_VECTOR,
+    "stream_merge_store": _PERIOD_MERGED,
     "freshness_diff": f"""
         SELECT product_id, strftime(release_time, '%Y-%m-%d %H:%M:%S') AS release_time
         FROM ({_ORDERS_DIFF})

@@ -60,26 +60,38 @@ def merge_into_store(
     """Merge a delta into a ``productId=``-partitioned store, in place.
 
     Only the products that occur in the delta are read (partition pruning)
-    and rewritten; every other product folder is left untouched. Each merged
-    product is staged, then swapped into the store folder by folder. Series
-    keys never cross products (a vector belongs to one product), so merging
-    product by product gives the same result as merging the whole store.
-    Returns the touched product ids.
+    and rewritten; every other product folder is left untouched:
+
+    1. the merged rows of the touched products are written to a flat staging
+       table (this also cuts the lineage to the store being replaced);
+    2. the staged rows are written into the store with dynamic partition
+       overwrite, so Spark's commit swaps exactly the touched product folders.
+
+    If the job dies in step 2, ``apply_staged(spark, staging, store)`` redoes
+    it from the staged copy. Series keys never cross products (a vector
+    belongs to one product), so merging product by product gives the same
+    result as merging the whole store. Returns the touched product ids.
     """
     from pyspark.sql import functions as F
 
-    from cubelake import fs
-    from cubelake.plans.layout import publish
-
     touched = sorted(int(r[0]) for r in delta.select(product).distinct().collect())
     if not touched:
         return []
     stored = spark.read.parquet(store).where(F.col(product).isin(touched))
     merged = merge_values(stored, delta, keys=keys, value="value", insert_new=insert_new)
     staging = f"{work or scratch_dir(spark, 'merge-store')}/staged"
-    merged.hint("rebalance", product).write.mode("overwrite").partitionBy(product).parquet(staging)
-    for pid in touched:
-        src = f"{staging}/{product}={pid}"
-        if fs.exists(spark, src):
-            publish(spark, src, f"{store.rstrip('/')}/{product}={pid}")
+    merged.write.mode("overwrite").parquet(staging)  # flat: a few files, not a folder per product
+    apply_staged(spark, staging, store, product)
     return touched
+
+
+def apply_staged(spark: SparkSession, staging: str, store: str, product: str = "productId") -> None:
+    """Replace the store's product folders with the staged ones (others untouched)."""
+    staged = spark.read.parquet(staging)
+    (
+        staged.hint("rebalance", product)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(product)
+        .parquet(store)
+    )

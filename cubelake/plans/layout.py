@@ -28,6 +28,11 @@ def split_by_key(spark: SparkSession, df: DataFrame, path: str, key: str = "prod
     writer.save(path)
 
 
+def write_keyed(df: DataFrame, path: str, key: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
+    """Hive folders ``key=…`` with one or a few files each (``rebalance`` on the key)."""
+    df.hint("rebalance", key).write.mode(mode).partitionBy(key).format(fmt).save(path)
+
+
 def write_year_partitioned(df: DataFrame, path: str, rebalance: bool = True) -> None:
     """Hive ``year=`` folders; a null year goes to the default partition.
 

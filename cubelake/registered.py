@@ -26,7 +26,7 @@ from cubelake.operators.scaling import scale_cube_value, scale_delta_value
 from cubelake.operators.stats import multiset_difference
 from cubelake.plans.cube_etl import prepare_cubes
 from cubelake.plans.delta_jobs import merge_delta, split_delta
-from cubelake.plans.layout import write_year_partitioned
+from cubelake.plans.layout import write_keyed, write_year_partitioned
 from cubelake.plans.refresh import plan_changed, refresh
 from cubelake.session import scratch_dir, ship_package, tune_session
 from cubelake.sources.archives import read_envelopes, unzip_to_landing
@@ -224,7 +224,7 @@ def merge_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     original, delta = _period_inputs(spark, sf_dir)
     store = f"{scratch_dir(spark, 'store')}/store"
-    original.write.mode("overwrite").partitionBy("productId").parquet(store)
+    write_keyed(original, store, "productId")
     merge_into_store(spark, store, delta, keys=("vectorId", "refPer"))
     back = spark.read.parquet(store)
     return back.select(*[F.col(c).cast(original.schema[c].dataType).alias(c) for c in original.columns])
@@ -247,6 +247,21 @@ def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_table(spark, derive.customer_as_stored(table(spark, sf_dir, "customer")), f"{work}/store")
 
 
+def stream_merge_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily delta files merged on write into a product-partitioned store by a stream."""
+    _prep(spark)
+    from cubelake.streaming.delta_stream import ingest_and_merge
+
+    original, delta = _period_inputs(spark, sf_dir)
+    work = scratch_dir(spark, "stream-store")
+    store, landing = f"{work}/store", f"{work}/landing"
+    write_keyed(original, store, "productId")
+    derive.write_daily_delta_csv(delta, landing)
+    ingest_and_merge(spark, f"{landing}/day=*", store, f"{work}/checkpoint", keys=("vectorId", "refPer"))
+    back = spark.read.parquet(store)
+    return back.select(*[F.col(c).cast(original.schema[c].dataType).alias(c) for c in original.columns])
+
+
 # ------------------------------------------------------ catalog and registry
 
 def _orders_catalog(orders: DataFrame) -> DataFrame:
@@ -447,6 +462,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merge_store": merge_store,
     "scale_delta": scale_delta,
     "stream_merge": stream_merge,
+    "stream_merge_store": stream_merge_store,
     "freshness_diff": freshness,
     "refresh_plan": refresh_planning,
     "changed_latest": changed_latest,

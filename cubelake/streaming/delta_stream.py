@@ -82,3 +82,46 @@ def current_table(
     """Stored table with every ingested delta applied."""
     deltas = spark.read.schema(S.DELTA_SCHEMA).parquet(store)
     return merge_values(original, deltas, keys=keys, value="value", insert_new=insert_new)
+
+
+def ingest_and_merge(
+    spark: SparkSession,
+    landing: str,
+    store: str,
+    checkpoint: str,
+    keys: Sequence[str] = ("vectorId",),
+    insert_new: bool = False,
+    max_files_per_trigger: int | None = None,
+    wait: bool = True,
+):
+    """Merge on write: each micro-batch of landed delta files is merged into a
+    ``productId=``-partitioned store (only the products it touches are
+    rewritten).
+
+    A replayed batch (after a failure, same batch id) merges the same rows
+    again and leaves the same store: the winner per key does not depend on
+    the stored value. Batches are applied in arrival order; use
+    ``max_files_per_trigger=1`` when later files must override earlier ones
+    for the same key.
+    """
+    from cubelake.plans.delta_jobs import merge_into_store
+
+    def apply(batch, batch_id):
+        batch = batch.persist()
+        try:
+            merge_into_store(
+                spark, store, batch, keys=keys, insert_new=insert_new, work=f"{checkpoint}/merge-work/{batch_id}"
+            )
+        finally:
+            batch.unpersist()
+
+    query = (
+        delta_stream(spark, landing, max_files_per_trigger)
+        .writeStream.foreachBatch(apply)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    if wait:
+        query.awaitTermination()
+    return query

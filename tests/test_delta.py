@@ -171,3 +171,24 @@ def test_merge_into_store_touches_only_delta_products(spark, tmp_dir):
                  if r.value is not None)
     assert got == [(1, 10, "2023-01", 21.0), (1, 10, "2023-02", 21.0), (2, 20, "2023-01", 4.0)]
     assert spark.read.parquet(store).count() == 4
+
+
+def test_stream_merge_on_write(spark, tmp_dir):
+    from cubelake.streaming.delta_stream import ingest_and_merge
+
+    store = os.path.join(tmp_dir, "store")
+    spark.createDataFrame(
+        [(23100309, 111, "2023-06-01", 0.0), (23100309, 112, "2023-06-01", 0.0), (17100009, 200, "2023-04-01", 0.0),
+         (5, 5, "2023-01-01", 5.0)],
+        "productId bigint, vectorId bigint, refPer string, value double",
+    ).write.partitionBy("productId").parquet(store)
+    landing = os.path.join(tmp_dir, "landing")
+    os.makedirs(landing)
+    _write(os.path.join(landing, "20230715.csv"), ROWS[:2])
+    ckpt = os.path.join(tmp_dir, "ckpt")
+    ingest_and_merge(spark, landing, store, ckpt, keys=("vectorId", "refPer"))
+    _write(os.path.join(landing, "20230716.csv"), ROWS[3:])
+    ingest_and_merge(spark, landing, store, ckpt, keys=("vectorId", "refPer"))
+    ingest_and_merge(spark, landing, store, ckpt, keys=("vectorId", "refPer"))  # nothing new
+    got = {r.vectorId: r.value for r in spark.read.parquet(store).collect()}
+    assert got == {111: 12.5, 112: None, 200: 39000000.0, 5: 5.0}
