@@ -312,3 +312,63 @@ def write_envelopes(customer: DataFrame, path: str) -> None:
         F.concat(F.lit("https://example.invalid/n1/tbl/csv/"), F.col("cube").cast("string"), F.lit("-eng.zip")).alias("object"),
     )
     env.write.mode("overwrite").partitionBy("cube").json(path)
+
+
+# ------------------------------------------------------------ shared landings
+#
+# Landed inputs are read-only once written, so queries of one session share
+# them: each is built the first time a query needs it (or up front by
+# ``prebuild``) under the session's shared root.
+
+_LANDED: dict[tuple[str, str, str], str] = {}
+
+
+def _builders() -> dict:
+    def events(spark, sf):
+        return table(spark, sf, "events")
+
+    def purchases_as_delta(spark, sf):
+        return events_as_delta(events(spark, sf).where(F.col("event_type") == "purchase"))
+
+    return {
+        "events_delta_csv": lambda spark, sf, out: write_delta_csv(events_as_delta(events(spark, sf)), out),
+        "daily_delta_csv": lambda spark, sf, out: write_daily_delta_csv(events_as_delta(events(spark, sf)), out),
+        "daily_purchase_csv": lambda spark, sf, out: write_daily_delta_csv(purchases_as_delta(spark, sf), out),
+        "daily_delta_zips": lambda spark, sf, out: write_daily_delta_zips(
+            spark, events_as_delta(events(spark, sf)), f"{out}-csv", out
+        ).collect(),
+        "part_cubes": lambda spark, sf, out: write_cube_csvs(part_cube_rows(table(spark, sf, "part")), out),
+        "part_cubes_ragged": lambda spark, sf, out: write_cube_csvs(
+            part_cube_rows(table(spark, sf, "part")), out, ragged_product=13
+        ),
+        "changes": lambda spark, sf, out: write_changes(orders_as_changes(table(spark, sf, "orders")), out),
+        "catalog": lambda spark, sf, out: write_json_arrays(orders_as_catalog(table(spark, sf, "orders")), out),
+        "array_rows": lambda spark, sf, out: write_array_rows(
+            customer_as_text(table(spark, sf, "customer")), out, CUSTOMER_TEXT_COLUMNS
+        ),
+        "zipped_cubes": lambda spark, sf, out: (
+            write_zipped_cubes(spark, table(spark, sf, "customer"), f"{out}-csv", f"{out}/zips").collect(),
+            write_envelopes(table(spark, sf, "customer"), f"{out}/envelopes"),
+        ),
+    }
+
+
+LANDINGS = list(_builders())
+
+
+def landed(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Path of the named landed input for ``sf_dir``, built once per session."""
+    from cubelake.session import scratch_dir
+
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    if key not in _LANDED:
+        out = f"{scratch_dir(spark, 'landed')}/{name}"
+        _builders()[name](spark, sf_dir.rstrip("/"), out)
+        _LANDED[key] = out
+    return _LANDED[key]
+
+
+def prebuild(spark: SparkSession, sf_dir: str, names: list[str] | None = None) -> None:
+    """Build the landed inputs up front (the benchmark's untimed setup)."""
+    for name in names or LANDINGS:
+        landed(spark, sf_dir, name)

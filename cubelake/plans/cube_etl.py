@@ -47,7 +47,8 @@ def _step(name: str):
 
 
 STATUS_SCHEMA = (
-    "product_id bigint, ok boolean, reason string, layout string, rows bigint, bytes bigint, destination string"
+    "product_id bigint, ok boolean, reason string, layout string, rows bigint, bytes bigint, destination string, "
+    "schema string"
 )
 
 
@@ -60,6 +61,17 @@ class CubeStatus:
     rows: int | None = None
     bytes: int | None = None
     destination: str | None = None
+    schema: str | None = None  # DDL of the published cube
+
+
+def cube_schema(names: list[str], types: tuple[str, ...]) -> str:
+    """DDL of a published cube (what ``read_cube(..., schema=)`` expects).
+
+    ``year`` is declared as text: flat cubes store it as text and a
+    partition value reads as text too; ``read_cube`` turns it into INT.
+    """
+    cols = [f"`{n}` {'string' if t in ('string', 'null') else t}" for n, t in zip(names, types)]
+    return ", ".join(cols + [f"`{S.YEAR_COLUMN}` string"])
 
 
 def typed_columns(names: list[str], types: tuple[str, ...], blank_strings: bool = True) -> list:
@@ -175,9 +187,11 @@ def prepare_cubes(
                 typed.write.mode("overwrite").partitionBy("product_id").parquet(stage)
             with _step(f"place group {gi}-{ti}"):
                 _place(spark, stage, f"{work}/large/g{gi}-t{ti}", tpids, statuses, destination, threshold)
+            for pid in tpids:
+                statuses[pid].schema = cube_schema(names, types)
 
     rows = [
-        (s.product_id, s.ok, s.reason, s.layout, s.rows, s.bytes, s.destination)
+        (s.product_id, s.ok, s.reason, s.layout, s.rows, s.bytes, s.destination, s.schema)
         for s in sorted(statuses.values(), key=lambda s: (s.product_id is None, s.product_id or 0))
     ]
     return spark.createDataFrame(rows, STATUS_SCHEMA)
@@ -235,7 +249,8 @@ def prepare_cube(spark: SparkSession, source: str, outfile: str | None = None, w
         status = unzip_to_landing(spark, source, landing, rule="digits").collect()
         if not status or not status[0]["ok"]:
             reason = status[0]["reason"] if status else "no archive"
-            return spark.createDataFrame([(int(digits) if digits else None, False, reason, None, None, None, None)], STATUS_SCHEMA)
+            row = (int(digits) if digits else None, False, reason, None, None, None, None, None)
+            return spark.createDataFrame([row], STATUS_SCHEMA)
         landing_src = landing
     else:
         # a plain CSV: its folder is the landing root, restricted to this id

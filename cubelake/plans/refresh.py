@@ -104,8 +104,10 @@ def refresh(
         r = rows.get(pid)
         if r is None:
             reason = failed_zip.get(pid, "not landed")
-            r = dict(product_id=pid, ok=False, reason=reason, layout=None, rows=None, bytes=None, destination=None)
-        out.append((*[r[k] for k in ("product_id", "ok", "reason", "layout", "rows", "bytes", "destination")], release))
+            r = dict(product_id=pid, ok=False, reason=reason, layout=None, rows=None, bytes=None, destination=None,
+                     schema=None)
+        fields = ("product_id", "ok", "reason", "layout", "rows", "bytes", "destination", "schema")
+        out.append((*[r[k] for k in fields], release))
     result = spark.createDataFrame(out, STATUS_SCHEMA + ", release_time timestamp")
     published = result.where("ok").select("product_id", "release_time")
     if published.take(1):

@@ -103,9 +103,8 @@ def cube_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- delta jobs
 
 def _split_events(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    work = scratch_dir(spark, "split")
-    landing, target = f"{work}/landing", f"{work}/split"
-    derive.write_delta_csv(derive.events_as_delta(table(spark, sf_dir, "events")), landing)
+    landing = derive.landed(spark, sf_dir, "events_delta_csv")
+    target = f"{scratch_dir(spark, 'split')}/split"
     split_delta(spark, landing, target)
     return landing, target
 
@@ -157,9 +156,8 @@ def delta_zip_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cubelake.sources.delta_csv import read_delta
 
     work = scratch_dir(spark, "delta-zips")
-    delta = derive.events_as_delta(table(spark, sf_dir, "events"))
-    derive.write_daily_delta_zips(spark, delta, f"{work}/csv", f"{work}/zips").collect()
-    status = unzip_to_landing(spark, f"{work}/zips", f"{work}/landing", rule="stem").collect()
+    zips = derive.landed(spark, sf_dir, "daily_delta_zips")
+    status = unzip_to_landing(spark, zips, f"{work}/landing", rule="stem").collect()
     if not status or not all(s["ok"] for s in status):
         raise RuntimeError(f"unzip failed: {[s for s in status if not s['ok']]}")
     split_by_key(spark, read_delta(spark, f"{work}/landing"), f"{work}/split", "productId")
@@ -241,8 +239,7 @@ def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily delta files ingested by a stream (availableNow), merged on read."""
     _prep(spark)
     work = scratch_dir(spark, "stream")
-    landing = f"{work}/landing"
-    derive.write_daily_delta_csv(derive.events_as_delta(table(spark, sf_dir, "events")), landing)
+    landing = derive.landed(spark, sf_dir, "daily_delta_csv")
     ingest_deltas(spark, f"{landing}/day=*", f"{work}/store", f"{work}/checkpoint")
     return current_table(spark, derive.customer_as_stored(table(spark, sf_dir, "customer")), f"{work}/store")
 
@@ -252,11 +249,10 @@ def stream_merge_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     _prep(spark)
     from cubelake.streaming.delta_stream import ingest_and_merge
 
-    original, delta = _period_inputs(spark, sf_dir)
+    original, _ = _period_inputs(spark, sf_dir)
     work = scratch_dir(spark, "stream-store")
-    store, landing = f"{work}/store", f"{work}/landing"
+    store, landing = f"{work}/store", derive.landed(spark, sf_dir, "daily_purchase_csv")
     write_keyed(original, store, "productId")
-    derive.write_daily_delta_csv(delta, landing)
     ingest_and_merge(spark, f"{landing}/day=*", store, f"{work}/checkpoint", keys=("vectorId", "refPer"))
     back = spark.read.parquet(store)
     return back.select(*[F.col(c).cast(original.schema[c].dataType).alias(c) for c in original.columns])
@@ -299,8 +295,7 @@ def refresh_planning(spark: SparkSession, sf_dir: str) -> DataFrame:
 def changed_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changed-cube lists per day over a date range, latest release per product."""
     _prep(spark)
-    root = f"{scratch_dir(spark, 'changes')}/changed"
-    derive.write_changes(derive.orders_as_changes(table(spark, sf_dir, "orders")), root)
+    root = derive.landed(spark, sf_dir, "changes")
     plan = plan_changed(spark, root, "1996-03-01", "1999-06-30")
     return plan.select("product_id", _ts("release_time"))
 
@@ -308,8 +303,7 @@ def changed_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def catalog_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalog JSON arrays -> (product_id, release_time)."""
     _prep(spark)
-    root = f"{scratch_dir(spark, 'catalog')}/catalog"
-    derive.write_json_arrays(derive.orders_as_catalog(table(spark, sf_dir, "orders")), root)
+    root = derive.landed(spark, sf_dir, "catalog")
     return read_catalog(spark, root).select("product_id", _ts("release_time"))
 
 
@@ -360,10 +354,10 @@ TYPED_CUBE_COLUMNS = [
 ]
 
 
-def _land_part_cubes(spark: SparkSession, sf_dir: str, ragged_product: int | None = None) -> tuple[str, str]:
-    work = scratch_dir(spark, "cubes")
-    derive.write_cube_csvs(derive.part_cube_rows(table(spark, sf_dir, "part")), f"{work}/landing", ragged_product)
-    return work, f"{work}/landing"
+def _land_part_cubes(spark: SparkSession, sf_dir: str, ragged: bool = False) -> tuple[str, str]:
+    """A fresh work folder and the landed part cubes (one ragged cube, 13, if asked)."""
+    landing = derive.landed(spark, sf_dir, "part_cubes_ragged" if ragged else "part_cubes")
+    return scratch_dir(spark, "cubes"), landing
 
 
 def typed_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -376,7 +370,7 @@ def typed_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     for r in status:
         if not r["ok"]:
             continue
-        cube = read_cube(spark, lake, r["product_id"])
+        cube = read_cube(spark, lake, r["product_id"], r["schema"])
         kind = "double" if isinstance(cube.schema["VALUE"].dataType, T.DoubleType) else "bigint"
         frames.append(
             cube.select(
@@ -400,7 +394,7 @@ def refresh_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Diff-based refresh over landed cubes; one malformed cube fails alone."""
     _prep(spark)
     part = table(spark, sf_dir, "part")
-    work, landing = _land_part_cubes(spark, sf_dir, ragged_product=13)
+    work, landing = _land_part_cubes(spark, sf_dir, ragged=True)
     brand = F.regexp_extract("p_brand", r"([0-9]+)$", 1).cast("bigint")
     released = F.timestamp_seconds(F.unix_timestamp(F.lit("2024-01-01 12:30:00")) + F.col("p_size") * F.lit(86400))
     catalog = part.groupBy(brand.alias("product_id")).agg(F.max(released).alias("release_time"))
@@ -416,20 +410,16 @@ def refresh_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 def json_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Array-of-arrays JSON responses -> text table named by row 0."""
     _prep(spark)
-    path = f"{scratch_dir(spark, 'json-rows')}/responses"
-    derive.write_array_rows(derive.customer_as_text(table(spark, sf_dir, "customer")), path, derive.CUSTOMER_TEXT_COLUMNS)
-    return read_json_rows(spark, path)
+    return read_json_rows(spark, derive.landed(spark, sf_dir, "array_rows"))
 
 
 def zip_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Envelope check, distributed unzip, then a plain CSV read of the members."""
     _prep(spark)
-    customer = table(spark, sf_dir, "customer")
+    landed = derive.landed(spark, sf_dir, "zipped_cubes")
     work = scratch_dir(spark, "zips")
-    derive.write_zipped_cubes(spark, customer, f"{work}/csv", f"{work}/zips").collect()
-    derive.write_envelopes(customer, f"{work}/envelopes")
-    ready = [r["product_id"] for r in read_envelopes(spark, f"{work}/envelopes").where("ok").collect()]
-    status = unzip_to_landing(spark, f"{work}/zips", f"{work}/landing", rule="digits").collect()
+    ready = [r["product_id"] for r in read_envelopes(spark, f"{landed}/envelopes").where("ok").collect()]
+    status = unzip_to_landing(spark, f"{landed}/zips", f"{work}/landing", rule="digits", only=ready).collect()
     if not all(s["ok"] for s in status):
         raise RuntimeError(f"unzip failed: {[s for s in status if not s['ok']]}")
     df = (

@@ -24,18 +24,26 @@ def normalise_year(df: DataFrame) -> DataFrame:
     return df
 
 
-def read_cube(spark: SparkSession, lake: str, product_id: int) -> DataFrame:
-    """One published cube; read from its root so ``year`` is kept."""
-    return normalise_year(spark.read.parquet(cube_path(lake, product_id)))
+def read_cube(spark: SparkSession, lake: str, product_id: int, schema: str | None = None) -> DataFrame:
+    """One published cube; read from its root so ``year`` is kept.
+
+    ``schema`` (the DDL the ETL reports per cube) skips footer inference,
+    which otherwise costs a small job per cube.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return normalise_year(reader.parquet(cube_path(lake, product_id)))
 
 
-def read_cubes(spark: SparkSession, lake: str, product_ids, widen_value: bool = True) -> DataFrame:
+def read_cubes(
+    spark: SparkSession, lake: str, product_ids, widen_value: bool = True, schemas: dict | None = None
+) -> DataFrame:
     """Several cubes as one table with a ``product_id`` column.
 
     Cubes differ in their columns and VALUE is BIGINT in some and DOUBLE in
     others; the union is by name (missing columns are null) and, with
     ``widen_value``, VALUE is widened to DOUBLE on purpose. Each cube keeps
     its own scan, so filters and pruning still reach every one of them.
+    ``schemas`` maps product ids to their DDL (from the ETL status).
     """
     from functools import reduce
 
@@ -43,7 +51,7 @@ def read_cubes(spark: SparkSession, lake: str, product_ids, widen_value: bool =
 
     frames = []
     for pid in product_ids:
-        cube = read_cube(spark, lake, pid)
+        cube = read_cube(spark, lake, pid, (schemas or {}).get(pid))
         if widen_value and S.VALUE_COLUMN in cube.columns:
             cube = cube.withColumn(S.VALUE_COLUMN, F.col(S.VALUE_COLUMN).cast(T.DoubleType()))
         frames.append(cube.withColumn("product_id", F.lit(int(pid)).cast("bigint")))

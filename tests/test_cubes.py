@@ -162,3 +162,18 @@ def test_refresh_twice_plans_nothing(spark, tmp_dir):
     with open(catalog, "w") as f:  # one product gets a newer release
         json.dump([{"productId": 22, "releaseTime": "2023-09-01T12:30"}], f)
     assert [r.product_id for r in plan_refresh(spark, catalog, reg).collect()] == [22]
+
+
+def test_status_schema_reads_back(spark, tmp_dir):
+    land = os.path.join(tmp_dir, "landing")
+    _land(land, "31.csv", CUBE)
+    body = "".join(f"{1990 + i % 5},G{i},{i},0\n" for i in range(3000))
+    _land(land, "32.csv", "REF_DATE,GEO,VALUE,DECIMALS\n" + body)
+    lake = os.path.join(tmp_dir, "lake")
+    status = {s.product_id: s for s in prepare_cubes(spark, land, lake, threshold=12 * 1024).collect()}
+    assert status[31].layout == "flat" and status[32].layout == "partitioned"
+    for pid, st in status.items():
+        inferred = read_cube(spark, lake, pid)
+        given = read_cube(spark, lake, pid, st.schema)
+        assert given.schema == inferred.schema
+        assert sorted(map(str, given.collect())) == sorted(map(str, inferred.collect()))
