@@ -6,8 +6,11 @@ Filters on GEO and Sex go to the parquet scan (PushedFilters), the year
 filter prunes folders (PartitionFilters).
 """
 
+import os
 import sys
 
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 from cubelake import get_spark
 from cubelake.sources.lake import register_cube
 

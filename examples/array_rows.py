@@ -3,8 +3,11 @@
     python examples/array_rows.py RESPONSES_DIR
 """
 
+import os
 import sys
 
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 from cubelake import get_spark
 from cubelake.sources.json_rows import read_json_rows
 

@@ -6,8 +6,11 @@ Envelopes whose status is not SUCCESS are skipped; the matching archives are
 unpacked by one distributed job and their CSVs read with plain inference.
 """
 
+import os
 import sys
 
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 from pyspark.sql import functions as F
 
 from cubelake import get_spark, scratch_dir
