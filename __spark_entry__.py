@@ -234,5 +234,8 @@ _ORACLE = {
 }
 
 
+_ORACLE["typed_cube_partitioned"] = _ORACLE["typed_cube"]
+
+
 def oracle_sql() -> dict[str, str]:
     return {k: v for k, v in _ORACLE.items() if k in QUERIES}

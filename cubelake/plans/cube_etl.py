@@ -32,7 +32,7 @@ from cubelake.functions.columns import blank_if_null, ref_year
 from cubelake.functions.typing import cast_text
 from cubelake.operators.inference import decide_types, inference_aggregates
 from cubelake.plans import layout
-from cubelake.session import scratch_dir
+from cubelake.session import folder_parallel_writes, scratch_dir
 from cubelake.sources.cube_csv import cube_key, list_files, qualified_root, read_cube_text, read_headers
 from cubelake.sources.lake import cube_path
 
@@ -221,12 +221,13 @@ def _place(spark, stage, large_stage, pids, statuses, destination, threshold) ->
     # well-sized files (AQE splits a hot year) instead of one file per input
     # task and year.
     staged = spark.read.parquet(stage).where(F.col("product_id").isin(large))
-    (
-        staged.hint("rebalance", "product_id", S.YEAR_COLUMN)
-        .write.mode("overwrite")
-        .partitionBy("product_id", S.YEAR_COLUMN)
-        .parquet(large_stage)
-    )
+    with folder_parallel_writes(spark):
+        (
+            staged.hint("rebalance", "product_id", S.YEAR_COLUMN)
+            .write.mode("overwrite")
+            .partitionBy("product_id", S.YEAR_COLUMN)
+            .parquet(large_stage)
+        )
     for pid in large:
         layout.publish(spark, f"{large_stage}/product_id={pid}", destination(pid))
         statuses[pid].layout = "partitioned"

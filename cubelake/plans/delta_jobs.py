@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cubelake.operators.merge import merge_values
 from cubelake.plans.layout import split_by_key, write_copy
-from cubelake.session import scratch_dir
+from cubelake.session import folder_parallel_writes, scratch_dir
 from cubelake.sources.archives import unzip_to_landing
 from cubelake.sources.delta_csv import read_delta
 from cubelake.sources.lake import read_path
@@ -88,10 +88,11 @@ def merge_into_store(
 def apply_staged(spark: SparkSession, staging: str, store: str, product: str = "productId") -> None:
     """Replace the store's product folders with the staged ones (others untouched)."""
     staged = spark.read.parquet(staging)
-    (
-        staged.hint("rebalance", product)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(product)
-        .parquet(store)
-    )
+    with folder_parallel_writes(spark):
+        (
+            staged.hint("rebalance", product)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(product)
+            .parquet(store)
+        )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cubelake import fs
 from cubelake import schemas as S
+from cubelake.session import folder_parallel_writes
 
 
 def write_copy(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -25,12 +26,14 @@ def split_by_key(spark: SparkSession, df: DataFrame, path: str, key: str = "prod
     writer = df.hint("rebalance", key).write.partitionBy(key).mode(mode).format(fmt)
     if fmt == "csv":
         writer = writer.option("header", True).option("escape", '"')
-    writer.save(path)
+    with folder_parallel_writes(spark):
+        writer.save(path)
 
 
 def write_keyed(df: DataFrame, path: str, key: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     """Hive folders ``key=…`` with one or a few files each (``rebalance`` on the key)."""
-    df.hint("rebalance", key).write.mode(mode).partitionBy(key).format(fmt).save(path)
+    with folder_parallel_writes(df.sparkSession):
+        df.hint("rebalance", key).write.mode(mode).partitionBy(key).format(fmt).save(path)
 
 
 def write_year_partitioned(df: DataFrame, path: str, rebalance: bool = True) -> None:
@@ -41,7 +44,8 @@ def write_year_partitioned(df: DataFrame, path: str, rebalance: bool = True) ->
     task; turn it off when the input is already clustered by year.
     """
     out = df.hint("rebalance", S.YEAR_COLUMN) if rebalance else df
-    out.write.mode("overwrite").partitionBy(S.YEAR_COLUMN).parquet(path)
+    with folder_parallel_writes(df.sparkSession):
+        out.write.mode("overwrite").partitionBy(S.YEAR_COLUMN).parquet(path)
 
 
 def publish(spark: SparkSession, staged: str, destination: str) -> None:

@@ -363,9 +363,19 @@ def _land_part_cubes(spark: SparkSession, sf_dir: str, ragged: bool = False) ->
 def typed_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed cube CSVs (junk-prefixed, repeated names, quotes, NA) -> typed lake, read back."""
     _prep(spark)
+    return _typed_cubes(spark, sf_dir)
+
+
+def typed_cube_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same cubes forced into ``year=`` folders (threshold 0), read back."""
+    _prep(spark)
+    return _typed_cubes(spark, sf_dir, threshold=0)
+
+
+def _typed_cubes(spark: SparkSession, sf_dir: str, threshold: int = S.FLAT_LAYOUT_THRESHOLD_BYTES) -> DataFrame:
     work, landing = _land_part_cubes(spark, sf_dir)
     lake = f"{work}/lake"
-    status = prepare_cubes(spark, landing, lake, glob="*.txt", work=f"{work}/etl").collect()
+    status = prepare_cubes(spark, landing, lake, glob="*.txt", work=f"{work}/etl", threshold=threshold).collect()
     frames = []
     for r in status:
         if not r["ok"]:
@@ -461,6 +471,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "value_kind": value_kind,
     "scale_value": scale_value,
     "typed_cube": typed_cube,
+    "typed_cube_partitioned": typed_cube_partitioned,
     "layout_choice": layout_choice,
     "refresh_status": refresh_status,
     "json_rows": json_rows,

@@ -126,3 +126,31 @@ def ship_package(spark: SparkSession) -> None:
             zf.write(p, f"cubelake/{p.relative_to(pkg)}")
     sc.addPyFile(target)
     _SHIPPED.add(key)
+
+
+_MIN_PARTITION = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+
+
+class folder_parallel_writes:
+    """Context for writes partitioned into many folders (product, year, day).
+
+    Their cost grows with the number of folders, not bytes, so AQE should
+    not fold a small but wide write into a couple of tasks. Inside the
+    context the coalescing floor is 1 KB; large writes are unaffected (the
+    advisory partition size dominates there). The previous value is restored.
+    """
+
+    def __init__(self, spark: SparkSession, floor: str = "1KB"):
+        self.spark, self.floor, self.old = spark, floor, None
+
+    def __enter__(self):
+        self.old = self.spark.conf.get(_MIN_PARTITION, None)
+        self.spark.conf.set(_MIN_PARTITION, self.floor)
+        return self
+
+    def __exit__(self, *exc):
+        if self.old is None:
+            self.spark.conf.unset(_MIN_PARTITION)
+        else:
+            self.spark.conf.set(_MIN_PARTITION, self.old)
+        return False
