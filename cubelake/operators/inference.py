@@ -31,7 +31,9 @@ def fixed_type(name: str) -> str | None:
     return None
 
 
-def inference_aggregates(text: DataFrame, names: list[str], key: str = "product_id") -> DataFrame:
+def inference_aggregates(
+    text: DataFrame, names: list[str], key: str = "product_id", overrides: bool = True
+) -> DataFrame:
     """One row per cube with the evidence the type decision needs.
 
     Per column one ``bit_and`` of the per-value type masks: the bits left
@@ -42,7 +44,7 @@ def inference_aggregates(text: DataFrame, names: list[str], key: str = "product_
     aggs = [F.count(F.lit(1)).alias("_rows"), F.count(F.col(CORRUPT)).alias("_bad")]
     for i, name in enumerate(names):
         c = _q(name)
-        if fixed_type(name) is not None:
+        if overrides and fixed_type(name) is not None:
             aggs.append(F.count(c).alias(f"n_{i}"))
         else:
             aggs.append(F.bit_and(type_mask(c)).alias(f"mask_{i}"))
@@ -64,22 +66,26 @@ class CubeTypes:
     types: tuple[str, ...] = field(default_factory=tuple)  # "null" = all-null text
 
 
-def decide_types(stats_row, names: list[str]) -> CubeTypes:
-    """Column types of one cube from its aggregate row (driver side, tiny)."""
+def decide_types(stats_row, names: list[str], key: str = "product_id", overrides: bool = True) -> CubeTypes:
+    """Column types of one cube from its aggregate row (driver side, tiny).
+
+    ``overrides=False`` is plain inference: no text override by name and
+    VALUE keeps its inferred type.
+    """
     r = stats_row.asDict()
-    out = CubeTypes(product_id=r["product_id"], rows=int(r["_rows"]))
+    out = CubeTypes(product_id=r[key], rows=int(r["_rows"]))
     if r["_bad"]:
         out.ok, out.reason = False, f"malformed rows: {r['_bad']}"
         return out
     max_dec = r.get("_max_dec")
     types = []
     for i, name in enumerate(names):
-        ft = fixed_type(name)
+        ft = fixed_type(name) if overrides else None
         if ft is not None:
             types.append(ft)
             continue
         mask = r[f"mask_{i}"]
-        if name == S.VALUE_COLUMN and S.DECIMALS_COLUMN in names:
+        if overrides and name == S.VALUE_COLUMN and S.DECIMALS_COLUMN in names:
             target = value_type(max_dec)
             if mask is not None and not _passes(mask, target):
                 out.ok, out.reason = False, f"VALUE does not convert to {target}"

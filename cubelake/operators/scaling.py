@@ -24,6 +24,9 @@ def scale_cube_value(df: DataFrame) -> DataFrame:
 
     Integral VALUE columns stay BIGINT; fractional ones DOUBLE.
     """
+    missing = [c for c in [S.SCALAR_ID_COLUMN, *S.SCALE_DROP_COLUMNS] if c not in df.columns]
+    if missing:
+        raise KeyError(f"columns not found: {missing}")
     integral = isinstance(df.schema[S.VALUE_COLUMN].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
     new_value = scaled_value(F.col(S.VALUE_COLUMN), F.col(S.SCALAR_ID_COLUMN), integral)
     out = df.withColumn("_scaled_value", new_value)

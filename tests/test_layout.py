@@ -118,3 +118,24 @@ def test_publish_replaces_and_hides_backup(spark, tmp_dir):
     assert sorted((r.productId, r.coordinate) for r in back.collect()) == [(1, "z"), (2, "c")]
     os.makedirs(os.path.join(store, "_replaced-productId=2-deadbeef"))  # a left-over backup
     assert spark.read.parquet(store).count() == 2
+
+
+def test_transform_csv_folder(spark, tmp_dir):
+    from cubelake.plans.csv_folder import transform_csv_folder
+
+    folder = os.path.join(tmp_dir, "folder")
+    os.makedirs(os.path.join(folder, "sub"))
+    head = "REF_DATE,GEO,UOM_ID,SCALAR_FACTOR,SCALAR_ID,VALUE,DECIMALS\n"
+    with open(os.path.join(folder, "a.csv"), "w") as f:
+        f.write(head + "2001,A,1,units,3,5,0\n2002,B,1,units,0,,0\n")
+    with open(os.path.join(folder, "sub", "b.csv"), "w") as f:
+        f.write(head + "2001,C,1,units,1,1.5,1\n")
+    with open(os.path.join(folder, "c.csv"), "w") as f:
+        f.write("REF_DATE,GEO,VALUE\n2001,D,1\n")  # no scaling columns
+    status = {os.path.basename(r.path): r for r in transform_csv_folder(spark, folder).collect()}
+    assert status["a.csv"].ok and status["b.csv"].ok and not status["c.csv"].ok
+    a = spark.read.parquet(os.path.join(folder, "a.parquet"))
+    assert a.columns == ["REF_DATE", "GEO", "SCALAR_ID", "VALUE"]
+    assert sorted((r.GEO, r.VALUE) for r in a.collect() if r.VALUE is not None) == [("A", 5000)]
+    b = spark.read.parquet(os.path.join(folder, "sub", "b.parquet")).first()
+    assert b.VALUE == 15.0 and b.REF_DATE == 2001  # plain inference: REF_DATE is a number here
