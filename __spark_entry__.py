@@ -197,6 +197,11 @@ _ORACLE = {
                CAST(p_size AS BIGINT) * CAST(power(10, p_partkey % 4) AS BIGINT) AS VALUE
         FROM part
     """,
+    "csv_folder_scaled": """
+        SELECT p_partkey, p_name AS GEO, CAST(p_partkey % 4 AS BIGINT) AS SCALAR_ID,
+               CAST(p_size AS BIGINT) * CAST(power(10, p_partkey % 4) AS BIGINT) AS VALUE
+        FROM part
+    """,
     "typed_cube": f"""
         SELECT {_BRAND} AS product_id,
                CAST(1980 + p_size AS VARCHAR) || '-' || lpad(CAST(p_partkey % 12 + 1 AS VARCHAR), 2, '0') AS REF_DATE,

@@ -346,6 +346,37 @@ def scale_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scale_cube_value(cube)
 
 
+def csv_folder_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every CSV under a folder -> parquet next to it with VALUE scaled (one file per brand)."""
+    _prep(spark)
+    from cubelake.plans.csv_folder import transform_csv_folder
+
+    part = table(spark, sf_dir, "part")
+    brand = F.regexp_extract("p_brand", r"([0-9]+)$", 1).cast("bigint")
+    folder = f"{scratch_dir(spark, 'csv-folder')}/tables"
+    (
+        part.select(
+            "p_partkey",
+            F.col("p_name").alias("GEO"),
+            F.lit(1).alias("UOM_ID"),
+            F.lit("units").alias("SCALAR_FACTOR"),
+            F.pmod(F.col("p_partkey"), F.lit(4)).alias("SCALAR_ID"),
+            F.col("p_size").alias("VALUE"),
+            F.lit(0).alias("DECIMALS"),
+            brand.alias("brand"),
+        )
+        .repartition("brand")
+        .write.partitionBy("brand")
+        .option("header", True)
+        .csv(folder)
+    )
+    status = transform_csv_folder(spark, folder).collect()
+    bad = [s for s in status if not s["ok"]]
+    if bad or not status:
+        raise RuntimeError(f"transform failed: {bad[:3]}")
+    return spark.read.parquet(*[s["output"] for s in status]).select("p_partkey", "GEO", "SCALAR_ID", "VALUE")
+
+
 TYPED_CUBE_COLUMNS = [
     ("REF_DATE", "string"), ("GEO", "string"), ("DGUID", "string"), ("Symbol", "string"),
     ("Symbol.1", "string"), ("STATUS", "string"), ("UOM_ID", "bigint"), ("SCALAR_ID", "bigint"),
@@ -470,6 +501,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "registry_latest": registry_latest,
     "value_kind": value_kind,
     "scale_value": scale_value,
+    "csv_folder_scaled": csv_folder_scaled,
     "typed_cube": typed_cube,
     "typed_cube_partitioned": typed_cube_partitioned,
     "layout_choice": layout_choice,
