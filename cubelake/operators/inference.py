@@ -106,3 +106,16 @@ def value_kinds(text: DataFrame, key: str = "product_id") -> DataFrame:
     out = text.groupBy(key).agg(max_dec.alias("max_decimals"), F.count(F.lit(1)).alias("n_rows"))
     kind = F.when(F.coalesce(F.col("max_decimals"), F.lit(0)) > 0, F.lit("double")).otherwise(F.lit("bigint"))
     return out.withColumn("value_type", kind)
+
+
+def empty_cube_types(product_id: int, names: list[str]) -> CubeTypes:
+    """Types of a cube without data rows: all-null text, VALUE by the DECIMALS rule."""
+    types = []
+    for name in names:
+        if fixed_type(name) is not None:
+            types.append(fixed_type(name))
+        elif name == S.VALUE_COLUMN and S.DECIMALS_COLUMN in names:
+            types.append(value_type(None))
+        else:
+            types.append("null")
+    return CubeTypes(product_id=product_id, rows=0, types=tuple(types))

@@ -60,6 +60,15 @@ def transform_csv_folder(spark: SparkSession, folder: str, glob: str = "*.csv",
             for r in inference_aggregates(text, names, key=FILE_KEY, overrides=False).collect()
         ]
         key_to_path = {_file_key(p): p for p in paths}
+        seen = {key_to_path[d.product_id] for d in decided}
+        for p in paths:
+            if p not in seen:  # header only: an empty table with the file's columns
+                empty = spark.createDataFrame([], ", ".join(f"`{n}` string" for n in names))
+                try:
+                    scale_cube_value(empty).write.mode("overwrite").parquet(sibling_parquet(p))
+                    status[p] = (p, True, None, 0, sibling_parquet(p))
+                except KeyError as exc:
+                    status[p] = (p, False, f"cannot scale: {exc}", 0, None)
         by_types: dict[tuple[str, ...], list[str]] = defaultdict(list)
         for d in decided:
             path = key_to_path[d.product_id]

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from cubelake import schemas as S
 from cubelake.functions.columns import blank_if_null, ref_year
 from cubelake.functions.typing import cast_text
-from cubelake.operators.inference import decide_types, inference_aggregates
+from cubelake.operators.inference import decide_types, empty_cube_types, inference_aggregates
 from cubelake.plans import layout
 from cubelake.session import folder_parallel_writes, scratch_dir
 from cubelake.sources.cube_csv import cube_key, list_files, qualified_root, read_cube_text, read_headers
@@ -169,6 +169,8 @@ def prepare_cubes(
         text = read_cube_text(spark, paths, names).withColumn("product_id", cube_key("_path", root))
         with _step(f"infer group {gi}"):
             decided = [decide_types(r, names) for r in inference_aggregates(text, names).collect()]
+        seen = {d.product_id for d in decided}
+        decided += [empty_cube_types(pid, names) for pid in pids if pid not in seen]  # header-only files
         by_types: dict[tuple[str, ...], list[int]] = defaultdict(list)
         for d in decided:
             if not d.ok:
@@ -186,7 +188,8 @@ def prepare_cubes(
             with _step(f"stage group {gi}-{ti}"):
                 typed.write.mode("overwrite").partitionBy("product_id").parquet(stage)
             with _step(f"place group {gi}-{ti}"):
-                _place(spark, stage, f"{work}/large/g{gi}-t{ti}", tpids, statuses, destination, threshold)
+                empty_schema = typed.drop("product_id").schema
+                _place(spark, stage, f"{work}/large/g{gi}-t{ti}", tpids, statuses, destination, threshold, empty_schema)
             for pid in tpids:
                 statuses[pid].schema = cube_schema(names, types)
 
@@ -197,7 +200,7 @@ def prepare_cubes(
     return spark.createDataFrame(rows, STATUS_SCHEMA)
 
 
-def _place(spark, stage, large_stage, pids, statuses, destination, threshold) -> None:
+def _place(spark, stage, large_stage, pids, statuses, destination, threshold, empty_schema) -> None:
     from cubelake.operators.stats import dataset_sizes
 
     sizes = {
@@ -209,7 +212,12 @@ def _place(spark, stage, large_stage, pids, statuses, destination, threshold) ->
     for pid in pids:
         size = sizes.get(pid, 0)
         statuses[pid].bytes = size
-        if size < threshold:
+        if pid not in sizes:
+            # a header without rows: publish an empty table with the cube's columns
+            spark.createDataFrame([], empty_schema).write.mode("overwrite").parquet(destination(pid))
+            statuses[pid].layout = "flat"
+            statuses[pid].destination = destination(pid)
+        elif size < threshold:
             layout.publish(spark, f"{stage}/product_id={pid}", destination(pid))
             statuses[pid].layout = "flat"
             statuses[pid].destination = destination(pid)

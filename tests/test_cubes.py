@@ -177,3 +177,14 @@ def test_status_schema_reads_back(spark, tmp_dir):
         given = read_cube(spark, lake, pid, st.schema)
         assert given.schema == inferred.schema
         assert sorted(map(str, given.collect())) == sorted(map(str, inferred.collect()))
+
+
+def test_header_only_cube_publishes_empty_table(spark, tmp_dir):
+    land = os.path.join(tmp_dir, "landing")
+    _land(land, "51.csv", "REF_DATE,GEO,VALUE,DECIMALS\n")
+    _land(land, "52.csv", "REF_DATE,GEO,VALUE,DECIMALS\n1999,A,1,0\n")
+    lake = os.path.join(tmp_dir, "lake")
+    status = {s.product_id: s for s in prepare_cubes(spark, land, lake).collect()}
+    assert status[51].ok and status[51].rows == 0 and status[52].ok
+    empty = read_cube(spark, lake, 51)
+    assert empty.count() == 0 and "VALUE" in empty.columns

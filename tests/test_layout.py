@@ -132,8 +132,11 @@ def test_transform_csv_folder(spark, tmp_dir):
         f.write(head + "2001,C,1,units,1,1.5,1\n")
     with open(os.path.join(folder, "c.csv"), "w") as f:
         f.write("REF_DATE,GEO,VALUE\n2001,D,1\n")  # no scaling columns
+    with open(os.path.join(folder, "d.csv"), "w") as f:
+        f.write(head)  # header only
     status = {os.path.basename(r.path): r for r in transform_csv_folder(spark, folder).collect()}
     assert status["a.csv"].ok and status["b.csv"].ok and not status["c.csv"].ok
+    assert status["d.csv"].ok and spark.read.parquet(os.path.join(folder, "d.parquet")).count() == 0
     a = spark.read.parquet(os.path.join(folder, "a.parquet"))
     assert a.columns == ["REF_DATE", "GEO", "SCALAR_ID", "VALUE"]
     assert sorted((r.GEO, r.VALUE) for r in a.collect() if r.VALUE is not None) == [("A", 5000)]
