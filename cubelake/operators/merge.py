@@ -71,7 +71,10 @@ def merge_values(
     # Keys of the delta that exist in the stored table: a semi join with the
     # (small) winners as the build side, over the stored key columns only.
     matched = original.select(*keys).join(winners.select(*keys), keys, "left_semi").distinct()
-    new_rows = winners.join(matched, keys, "left_anti")
+    has_key = F.lit(True)
+    for k in keys:
+        has_key = has_key & F.col(k).isNotNull()
+    new_rows = winners.where(has_key).join(matched, keys, "left_anti")  # a null key is never inserted
     new_rows = new_rows.select(
         *[
             (F.col(c) if c in new_rows.columns else F.lit(None)).cast(original.schema[c].dataType).alias(c)

@@ -192,3 +192,12 @@ def test_stream_merge_on_write(spark, tmp_dir):
     ingest_and_merge(spark, landing, store, ckpt, keys=("vectorId", "refPer"))  # nothing new
     got = {r.vectorId: r.value for r in spark.read.parquet(store).collect()}
     assert got == {111: 12.5, 112: None, 200: 39000000.0, 5: 5.0}
+
+
+def test_merge_insert_skips_null_keys(spark):
+    delta = _delta(spark).unionByName(
+        spark.createDataFrame([(None, "2023-01", "c", 1.0, "2023-07-01T08:30")],
+                              "vectorId bigint, refPer string, coordinate string, value double, releaseTime string")
+    )
+    got = merge_values(_stored(spark), delta, keys=("vectorId", "refPer"), insert_new=True).collect()
+    assert len(got) == 6 and all(r.vectorId is not None for r in got)
