@@ -201,3 +201,10 @@ def test_merge_insert_skips_null_keys(spark):
     )
     got = merge_values(_stored(spark), delta, keys=("vectorId", "refPer"), insert_new=True).collect()
     assert len(got) == 6 and all(r.vectorId is not None for r in got)
+
+
+def test_merge_keeps_non_value_columns(spark):
+    stored = _stored(spark)
+    merged = merge_values(stored, _delta(spark))
+    cols = [c for c in stored.columns if c != "value"]
+    assert multiset_difference(stored.select(*cols), merged.select(*cols)).count() == 0
