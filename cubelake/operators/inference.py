@@ -119,3 +119,54 @@ def empty_cube_types(product_id: int, names: list[str]) -> CubeTypes:
         else:
             types.append("null")
     return CubeTypes(product_id=product_id, rows=0, types=tuple(types))
+
+
+# ------------------------------------------------------- all headers at once
+
+_QUOTED_FIELD = r'"([^"]|"")*"'
+
+
+def field_count(raw_line) -> "F.Column":
+    """Number of CSV fields of a raw line (quoted separators do not count)."""
+    return F.size(F.split(F.regexp_replace(raw_line, _QUOTED_FIELD, ""), ",", -1))
+
+
+def positional_names(width: int) -> list[str]:
+    return [f"c{i}" for i in range(width)]
+
+
+def positional_aggregates(text: DataFrame, width: int, widths: dict[int, int], key: str = "product_id") -> DataFrame:
+    """Per-cube evidence for cubes with different headers, in one pass.
+
+    ``text`` is a scan of every cube with ``width`` positional text columns
+    (at least the widest header) plus the corrupt-record column. A row whose
+    token count differs from ``width`` keeps its raw line there, so its true
+    field count is known; a row is malformed when that count differs from
+    its own cube's header width (``widths``, one entry per cube). For every
+    position the pass keeps the type-mask ``bit_and`` and the largest integer
+    (for DECIMALS, wherever it sits).
+    """
+    pairs = []
+    for pid, w in widths.items():
+        pairs += [F.lit(int(pid)), F.lit(int(w))]
+    expected = F.element_at(F.create_map(*pairs), F.col(key))
+    tokens = F.when(F.col(CORRUPT).isNull(), F.lit(width)).otherwise(field_count(F.col(CORRUPT)))
+    aggs = [F.count(F.lit(1)).alias("_rows"), F.count_if(tokens != expected).alias("_bad")]
+    for i, name in enumerate(positional_names(width)):
+        c = F.col(name)
+        aggs.append(F.bit_and(type_mask(c)).alias(f"mask_{i}"))
+        aggs.append(F.max(c.try_cast("bigint")).alias(f"max_{i}"))
+    return text.groupBy(key).agg(*aggs)
+
+
+def decide_positional(stats_row, names: list[str]) -> CubeTypes:
+    """``decide_types`` for a row of ``positional_aggregates`` and a cube's header."""
+    from pyspark.sql import Row
+
+    r = stats_row.asDict()
+    d = {"product_id": r["product_id"], "_rows": r["_rows"], "_bad": r["_bad"]}
+    if S.DECIMALS_COLUMN in names:
+        d["_max_dec"] = r[f"max_{names.index(S.DECIMALS_COLUMN)}"]
+    for i in range(len(names)):
+        d[f"mask_{i}"] = r[f"mask_{i}"]
+    return decide_types(Row(**d), names)

@@ -1,12 +1,14 @@
 """Full-cube ETL: landed CSVs -> typed parquet cubes in the lake.
 
-One run handles any number of cubes with a handful of Spark jobs:
+One run handles any number of cubes, whatever their headers:
 
 1. list the landed files and read each file's header line (one small job);
-2. group cubes by header; per group one all-text scan feeds one aggregate
-   that yields row counts, malformed rows, type evidence and max(DECIMALS);
+2. one all-text scan of every cube with positional columns (as wide as the
+   widest header) feeds one aggregate with, per cube, the row count, the
+   malformed rows (field count against its own header), the type evidence of
+   every position and the largest integer per position (for DECIMALS);
 3. per (header, types) group one typed write into staging, partitioned by
-   ``product_id`` with ``year`` stored in the files;
+   ``product_id`` with ``year`` stored in the files; groups run side by side;
 4. a listing job measures each staged cube; small cubes are moved into
    place as they are (flat), large ones are rewritten into ``year=`` folders
    by one job per group, then moved into place.
@@ -20,6 +22,7 @@ from __future__ import annotations
 import logging
 import time
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable, Iterable
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -30,7 +33,12 @@ from pyspark.sql import functions as F
 from cubelake import schemas as S
 from cubelake.functions.columns import blank_if_null, ref_year
 from cubelake.functions.typing import cast_text
-from cubelake.operators.inference import decide_types, empty_cube_types, inference_aggregates
+from cubelake.operators.inference import (
+    decide_positional,
+    empty_cube_types,
+    positional_aggregates,
+    positional_names,
+)
 from cubelake.plans import layout
 from cubelake.session import folder_parallel_writes, scratch_dir
 from cubelake.sources.cube_csv import cube_key, list_files, qualified_root, read_cube_text, read_headers
@@ -101,13 +109,14 @@ def prepare_cubes(
     blank_strings: bool = True,
     work: str | None = None,
     glob: str = "*.csv",
+    parallel_groups: int = 4,
 ) -> DataFrame:
     """Turn every landed cube under ``landing`` into a published parquet cube.
 
     ``destination(product_id)`` names the output folder (default
     ``<lake>/<product_id>.parquet``); ``only`` restricts the run to some ids;
-    ``glob`` selects the landed files.
-    Returns a status table, one row per cube.
+    ``glob`` selects the landed files; ``parallel_groups`` typed writes run
+    at the same time. Returns a status table, one row per cube.
     """
     if destination is None:
         if lake is None:
@@ -163,36 +172,52 @@ def prepare_cubes(
             continue
         by_header[names].append(pid)
 
-    for gi, (names_t, pids) in enumerate(sorted(by_header.items(), key=lambda kv: min(kv[1]))):
-        names = list(names_t)
-        paths = [r.path for pid in pids for r in by_cube[pid]]
-        text = read_cube_text(spark, paths, names).withColumn("product_id", cube_key("_path", root))
-        with _step(f"infer group {gi}"):
-            decided = [decide_types(r, names) for r in inference_aggregates(text, names).collect()]
-        seen = {d.product_id for d in decided}
-        decided += [empty_cube_types(pid, names) for pid in pids if pid not in seen]  # header-only files
-        by_types: dict[tuple[str, ...], list[int]] = defaultdict(list)
-        for d in decided:
+    # One scan and one aggregate for all cubes, whatever their headers.
+    names_of = {pid: names for names, pids in by_header.items() for pid in pids}
+    if names_of:
+        width = max(len(n) for n in names_of.values())
+        all_paths = [r.path for pid in sorted(names_of) for r in by_cube[pid]]
+        wide = read_cube_text(spark, all_paths, positional_names(width)).withColumn(
+            "product_id", cube_key("_path", root)
+        )
+        with _step("infer all cubes"):
+            stats = positional_aggregates(wide, width, {p: len(n) for p, n in names_of.items()}).collect()
+        decided = {r["product_id"]: decide_positional(r, list(names_of[r["product_id"]])) for r in stats}
+        for pid, names in names_of.items():  # header-only files have no rows
+            decided.setdefault(pid, empty_cube_types(pid, list(names)))
+
+        groups: dict[tuple, list[int]] = defaultdict(list)
+        for pid, d in decided.items():
             if not d.ok:
-                statuses[d.product_id] = CubeStatus(d.product_id, False, d.reason, rows=d.rows)
+                statuses[pid] = CubeStatus(pid, False, d.reason, rows=d.rows)
             else:
-                statuses[d.product_id] = CubeStatus(d.product_id, True, rows=d.rows)
-                by_types[d.types].append(d.product_id)
-
-        for ti, (types, tpids) in enumerate(sorted(by_types.items(), key=lambda kv: min(kv[1]))):
-            stage = f"{work}/stage/g{gi}-t{ti}"
-            tpaths = [r.path for pid in tpids for r in by_cube[pid]]
-            typed = read_cube_text(spark, tpaths, names).select(
+                statuses[pid] = CubeStatus(pid, True, rows=d.rows)
+                groups[(names_of[pid], d.types)].append(pid)
+
+        def build(gi: int, names_t: tuple, types: tuple, gpids: list[int]) -> None:
+            names = list(names_t)
+            stage = f"{work}/stage/g{gi}"
+            gpaths = [r.path for pid in gpids for r in by_cube[pid]]
+            typed = read_cube_text(spark, gpaths, names).select(
                 cube_key("_path", root).alias("product_id"), *typed_columns(names, types, blank_strings)
             )
-            with _step(f"stage group {gi}-{ti}"):
+            with _step(f"stage group {gi}"):
                 typed.write.mode("overwrite").partitionBy("product_id").parquet(stage)
-            with _step(f"place group {gi}-{ti}"):
+            with _step(f"place group {gi}"):
                 empty_schema = typed.drop("product_id").schema
-                _place(spark, stage, f"{work}/large/g{gi}-t{ti}", tpids, statuses, destination, threshold, empty_schema)
-            for pid in tpids:
+                _place(spark, stage, f"{work}/large/g{gi}", gpids, statuses, destination, threshold, empty_schema)
+            for pid in gpids:
                 statuses[pid].schema = cube_schema(names, types)
 
+        # Typed writes differ in schema per (header, types) group, so each is
+        # its own job; they run side by side so that many small cubes do not
+        # queue behind each other.
+        ordered = sorted(groups.items(), key=lambda kv: min(kv[1]))
+        with ThreadPoolExecutor(max_workers=max(1, min(parallel_groups, len(ordered)))) as pool:
+            futures = [pool.submit(build, gi, key[0], key[1], gpids) for gi, (key, gpids) in enumerate(ordered)]
+            for f in futures:
+                f.result()
+
     rows = [
         (s.product_id, s.ok, s.reason, s.layout, s.rows, s.bytes, s.destination, s.schema)
         for s in sorted(statuses.values(), key=lambda s: (s.product_id is None, s.product_id or 0))
