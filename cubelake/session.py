@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -137,20 +138,33 @@ class folder_parallel_writes:
     Their cost grows with the number of folders, not bytes, so AQE should
     not fold a small but wide write into a couple of tasks. Inside the
     context the coalescing floor is 1 KB; large writes are unaffected (the
-    advisory partition size dominates there). The previous value is restored.
+    advisory partition size dominates there). Nested and concurrent uses
+    (writes from several driver threads) share one setting; the first entry
+    saves the old value and the last exit restores it.
     """
 
+    _lock = threading.Lock()
+    _depth: dict[int, int] = {}
+    _saved: dict[int, str | None] = {}
+
     def __init__(self, spark: SparkSession, floor: str = "1KB"):
-        self.spark, self.floor, self.old = spark, floor, None
+        self.spark, self.floor, self.key = spark, floor, id(spark)
 
     def __enter__(self):
-        self.old = self.spark.conf.get(_MIN_PARTITION, None)
-        self.spark.conf.set(_MIN_PARTITION, self.floor)
+        with self._lock:
+            if self._depth.get(self.key, 0) == 0:
+                self._saved[self.key] = self.spark.conf.get(_MIN_PARTITION, None)
+                self.spark.conf.set(_MIN_PARTITION, self.floor)
+            self._depth[self.key] = self._depth.get(self.key, 0) + 1
         return self
 
     def __exit__(self, *exc):
-        if self.old is None:
-            self.spark.conf.unset(_MIN_PARTITION)
-        else:
-            self.spark.conf.set(_MIN_PARTITION, self.old)
+        with self._lock:
+            self._depth[self.key] -= 1
+            if self._depth[self.key] == 0:
+                old = self._saved.pop(self.key, None)
+                if old is None:
+                    self.spark.conf.unset(_MIN_PARTITION)
+                else:
+                    self.spark.conf.set(_MIN_PARTITION, old)
         return False

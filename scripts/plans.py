@@ -31,7 +31,7 @@ def main() -> None:
 
     from cubelake import derive
     from cubelake import registered as R
-    from cubelake.operators.inference import inference_aggregates
+    from cubelake.operators.inference import positional_aggregates, positional_names
     from cubelake.session import get_spark
     from cubelake.sources.cube_csv import cube_key, list_files, qualified_root, read_cube_text, read_headers
     from cubelake.sources.delta_csv import read_delta
@@ -61,10 +61,16 @@ def main() -> None:
     cubes = derive.landed(spark, sf, "part_cubes")
     root = qualified_root(spark, cubes)
     heads = read_headers(list_files(spark, cubes, "*.txt").select("path")).collect()
-    names = list(heads[0].names)
-    text = read_cube_text(spark, [h.path for h in heads], names).withColumn("product_id", cube_key("_path", root))
-    add("cube ETL type inference", "One aggregate pass for all cubes of a header: partial per task, one row per cube.",
-        inference_aggregates(text, names))
+    widths = {}
+    for h in heads:
+        widths[spark.range(1).select(cube_key(F.lit(h.path), root)).first()[0]] = len(h.names)
+    width = max(widths.values())
+    text = read_cube_text(spark, [h.path for h in heads], positional_names(width)).withColumn(
+        "product_id", cube_key("_path", root)
+    )
+    add("cube ETL type inference",
+        "One aggregate pass for all cubes and headers: partial per task, one row per cube.",
+        positional_aggregates(text, width, widths))
     print("\n".join(out))
     spark.stop()
 

@@ -142,3 +142,22 @@ def test_transform_csv_folder(spark, tmp_dir):
     assert sorted((r.GEO, r.VALUE) for r in a.collect() if r.VALUE is not None) == [("A", 5000)]
     b = spark.read.parquet(os.path.join(folder, "sub", "b.parquet")).first()
     assert b.VALUE == 15.0 and b.REF_DATE == 2001  # plain inference: REF_DATE is a number here
+
+
+def test_folder_parallel_writes_restores_setting(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from cubelake.session import folder_parallel_writes
+
+    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    before = spark.conf.get(key)
+
+    def work(_):
+        with folder_parallel_writes(spark):
+            assert spark.conf.get(key) == "1KB"
+            with folder_parallel_writes(spark):
+                pass
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(work, range(16)))
+    assert spark.conf.get(key) == before
