@@ -10,6 +10,7 @@ by a key range (at most ``CHUNK`` rows), never by a whole table.
 
 from __future__ import annotations
 
+import hashlib
 import shutil
 import zipfile
 
@@ -201,17 +202,19 @@ def orders_as_changes(orders: DataFrame) -> DataFrame:
 def write_changes(changes: DataFrame, root: str) -> None:
     """``change_date=YYYY-MM-DD/`` folders holding the day's JSON records.
 
-    Hash-partitioned on the day into the session's shuffle width, so every
-    day folder is written by one task and the days are spread over all
-    tasks. (A day's list is bounded by the size of the product catalog.)
+    ``rebalance`` on the day: one or a few files per day folder, a busy day
+    split over several tasks by AQE, and all cores busy even when the data
+    is small (many folders, few bytes).
     """
-    width = int(changes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (
-        changes.repartition(width, "change_date")
-        .write.mode("overwrite")
-        .partitionBy("change_date")
-        .json(root)
-    )
+    from cubelake.session import folder_parallel_writes
+
+    with folder_parallel_writes(changes.sparkSession):
+        (
+            changes.hint("rebalance", "change_date")
+            .write.mode("overwrite")
+            .partitionBy("change_date")
+            .json(root)
+        )
 
 
 # ------------------------------------------------------------- array-of-arrays
@@ -241,12 +244,16 @@ def write_array_rows(text: DataFrame, path: str, columns: list[str]) -> None:
 
 # -------------------------------------------------------------------- archives
 
-def zip_parts(spark: SparkSession, root: str, zip_root: str, key: str, suffix: str = "") -> DataFrame:
+def zip_parts(
+    spark: SparkSession, root: str, zip_root: str, key: str, suffix: str = "", per_part: bool = False
+) -> DataFrame:
     """Zip every CSV part under ``root`` as ``<zip_root>/<v><suffix>.zip``.
 
     ``v`` is the value of the ``key=v`` folder of the part, and the member is
-    ``<v>.csv``; the writer must leave one part per folder. Each part is a
-    bounded key range. Returns the job's rows (collect to run it).
+    ``<v>.csv``. With ``per_part`` every part gets its own archive,
+    ``<v>-<part>.zip`` holding ``<v>-<part>.csv`` (so a folder may hold many
+    parts); otherwise the writer must leave one part per folder. Returns the
+    job's rows (collect to run it).
     """
     from cubelake.sources.archives import _open_output
     from cubelake.sources.cube_csv import _open_input, list_files
@@ -259,6 +266,9 @@ def zip_parts(spark: SparkSession, root: str, zip_root: str, key: str, suffix: s
             out = []
             for path in pdf["path"]:
                 value = path.split(marker, 1)[1].split("/", 1)[0]
+                if per_part:
+                    part = hashlib.sha1(path.rsplit("/", 1)[-1].encode()).hexdigest()[:10]
+                    value = f"{value}-{part}"
                 target = f"{zip_root.rstrip('/')}/{value}{suffix}.zip"
                 with _open_input(path) as src, _open_output(target) as raw:
                     with zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as zf:
@@ -289,18 +299,21 @@ def write_zipped_cubes(spark: SparkSession, customer: DataFrame, csv_root: str,
 
 
 def write_daily_delta_zips(spark: SparkSession, delta: DataFrame, csv_root: str, zip_root: str) -> DataFrame:
-    """One delta file per day, zipped as ``YYYYMMDD.zip`` holding ``YYYYMMDD.csv``."""
+    """Daily delta files, zipped as ``YYYYMMDD-<part>.zip`` holding ``YYYYMMDD-<part>.csv``.
+
+    No shuffle: each task writes its own part of every day it holds, so no
+    day is funnelled through one task.
+    """
     day = F.regexp_replace(F.col("refPer"), "-", "")
     (
         delta.withColumn("day", day)
-        .repartition("day")
         .write.mode("overwrite")
         .partitionBy("day")
         .option("header", True)
         .option("escape", '"')
         .csv(csv_root)
     )
-    return zip_parts(spark, csv_root, zip_root, "day")
+    return zip_parts(spark, csv_root, zip_root, "day", per_part=True)
 
 
 def write_envelopes(customer: DataFrame, path: str) -> None:
