@@ -153,8 +153,8 @@ def write_cube_csvs(rows: DataFrame, landing: str, ragged_product: int | None =
     )
     plain = ",".join(CUBE_HEADER)
     quoted = ",".join(f'"{n}"' for n in CUBE_HEADER)
-    header_text = F.when(F.pmod(F.col("cube"), F.lit(2)) == 0, F.concat(F.lit("﻿"), F.lit(quoted))).otherwise(
-        F.concat(F.lit("ï»¿"), F.lit(plain))
+    header_text = F.when(F.pmod(F.col("cube"), F.lit(2)) == 0, F.concat(F.lit("\ufeff"), F.lit(quoted))).otherwise(
+        F.concat(F.lit("\u00ef\u00bb\u00bf"), F.lit(plain))
     )
     headers = data.select("cube", "part").distinct().select("cube", "part", F.lit(0).alias("ord"), header_text.alias("value"))
     (

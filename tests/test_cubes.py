@@ -12,7 +12,7 @@ from cubelake.sources.cube_csv import parse_header, strip_junk_prefix, unique_na
 from cubelake.sources.lake import read_cube, register_cube
 
 CUBE = (
-    '﻿"REF_DATE","GEO","DGUID","Sex","UOM_ID","SCALAR_FACTOR","SCALAR_ID","STATUS","Symbol","Symbol",'
+    '\ufeff"REF_DATE","GEO","DGUID","Sex","UOM_ID","SCALAR_FACTOR","SCALAR_ID","STATUS","Symbol","Symbol",'
     '"VALUE","DECIMALS","TERMINATED","Flag","Day","Stamp"\n'
     '1999-04,"Ontario, ""east""",2016A000235,Males,81,units,0,,,x,12,0,,true,1999-04-01,1999-04-01 10:00\n'
     "2001-01,Quebec,,Both sexes,81,units,0,..,,,,0,,False,2001-01-01,2001-01-01T11:30\n"
@@ -27,10 +27,10 @@ def _land(root, name, text):
 
 
 def test_header_rules():
-    assert strip_junk_prefix("ï»¿REF_DATE,GEO") == "REF_DATE,GEO"
-    assert strip_junk_prefix("﻿\"REF_DATE\"") == '"REF_DATE"'
+    assert strip_junk_prefix("\u00ef\u00bb\u00bfREF_DATE,GEO") == "REF_DATE,GEO"
+    assert strip_junk_prefix("\ufeff\"REF_DATE\"") == '"REF_DATE"'
     assert unique_names(["A", "Symbol", "Symbol", "Symbol", "Symbol.1"]) == ["A", "Symbol", "Symbol.1", "Symbol.2", "Symbol.1.1"]
-    assert parse_header('﻿"REF_DATE","a,b",c') == ["REF_DATE", "a,b", "c"]
+    assert parse_header('\ufeff"REF_DATE","a,b",c') == ["REF_DATE", "a,b", "c"]
 
 
 def test_prepare_types_and_values(spark, tmp_dir):
@@ -105,7 +105,7 @@ def test_size_adaptive_layout(spark, tmp_dir):
 def test_multi_part_cube_and_zip(spark, tmp_dir):
     land = os.path.join(tmp_dir, "landing")
     _land(os.path.join(land, "7"), "part-0.csv", "REF_DATE,GEO,VALUE,DECIMALS\n1999,A,1,0\n")
-    _land(os.path.join(land, "7"), "part-1.csv", "﻿REF_DATE,GEO,VALUE,DECIMALS\n2000,B,2,0\n")
+    _land(os.path.join(land, "7"), "part-1.csv", "\ufeffREF_DATE,GEO,VALUE,DECIMALS\n2000,B,2,0\n")
     status = prepare_cubes(spark, land, os.path.join(tmp_dir, "lake")).collect()
     assert status[0].ok and status[0].rows == 2
 

@@ -67,7 +67,7 @@ def test_header_fallback_matches(spark, tmp_dir):
     land = os.path.join(tmp_dir, "landing")
     os.makedirs(land)
     with open(os.path.join(land, "1.csv"), "w", encoding="utf-8") as f:
-        f.write('﻿"REF_DATE","Symbol","Symbol"\n1999,a,b\n2000,c,d\n')
+        f.write('\ufeff"REF_DATE","Symbol","Symbol"\n1999,a,b\n2000,c,d\n')
     with open(os.path.join(land, "2.csv"), "w") as f:
         f.write("REF_DATE,GEO\n")
     files = list_files(spark, land)
