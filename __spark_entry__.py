@@ -167,6 +167,12 @@ _ORACLE = {
         WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-03-01' AND DATE '1999-06-30'
         GROUP BY o_custkey
     """,
+    "changed_on_day": """
+        SELECT o_custkey AS product_id,
+               strftime(o_orderdate, '%Y-%m-%d') || ' 08:30:00' AS release_time
+        FROM orders
+        WHERE CAST(o_orderdate AS DATE) = DATE '1998-08-02'
+    """,
     "catalog_json": """
         SELECT o_orderkey AS product_id, strftime(o_orderdate, '%Y-%m-%d') || ' 12:30:00' AS release_time
         FROM orders

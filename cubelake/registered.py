@@ -300,6 +300,15 @@ def changed_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("product_id", _ts("release_time"))
 
 
+def changed_on_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changed-cube list of one day, as listed (no dedup); one folder is read."""
+    _prep(spark)
+    from cubelake.sources.catalog import read_changed_on
+
+    day = read_changed_on(spark, derive.landed(spark, sf_dir, "changes"), "1998-08-02")
+    return day.select("product_id", _ts("release_time"))
+
+
 def catalog_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalog JSON arrays -> (product_id, release_time)."""
     _prep(spark)
@@ -497,6 +506,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "freshness_diff": freshness,
     "refresh_plan": refresh_planning,
     "changed_latest": changed_latest,
+    "changed_on_day": changed_on_day,
     "catalog_json": catalog_json,
     "registry_latest": registry_latest,
     "value_kind": value_kind,
