@@ -142,14 +142,19 @@ def positional_aggregates(text: DataFrame, width: int, widths: dict[int, int], k
     (at least the widest header) plus the corrupt-record column. A row whose
     token count differs from ``width`` keeps its raw line there, so its true
     field count is known; a row is malformed when that count differs from
-    its own cube's header width (``widths``, one entry per cube). For every
+    its own cube's header width (``widths``, one entry per cube, joined as a
+    broadcast table of that size). For every
     position the pass keeps the type-mask ``bit_and`` and the largest integer
     (for DECIMALS, wherever it sits).
     """
-    pairs = []
-    for pid, w in widths.items():
-        pairs += [F.lit(int(pid)), F.lit(int(w))]
-    expected = F.element_at(F.create_map(*pairs), F.col(key))
+    # One row per cube: small and bounded by the number of cubes, so the
+    # planner broadcasts it; the expression stays the same size for any lake.
+    spark = text.sparkSession
+    expected_df = spark.createDataFrame(
+        [(int(p), int(w)) for p, w in widths.items()], f"{key} bigint, _expected int"
+    )
+    text = text.join(F.broadcast(expected_df), key, "left")
+    expected = F.col("_expected")
     tokens = F.when(F.col(CORRUPT).isNull(), F.lit(width)).otherwise(field_count(F.col(CORRUPT)))
     aggs = [F.count(F.lit(1)).alias("_rows"), F.count_if(tokens != expected).alias("_bad")]
     for i, name in enumerate(positional_names(width)):
