@@ -110,13 +110,16 @@ def prepare_cubes(
     work: str | None = None,
     glob: str = "*.csv",
     parallel_groups: int = 4,
+    on_published: Callable[[list[int]], None] | None = None,
 ) -> DataFrame:
     """Turn every landed cube under ``landing`` into a published parquet cube.
 
     ``destination(product_id)`` names the output folder (default
     ``<lake>/<product_id>.parquet``); ``only`` restricts the run to some ids;
     ``glob`` selects the landed files; ``parallel_groups`` typed writes run
-    at the same time. Returns a status table, one row per cube.
+    at the same time; ``on_published(ids)`` is called (from worker threads)
+    as soon as a group of cubes is in place. Returns a status table, one row
+    per cube.
     """
     if destination is None:
         if lake is None:
@@ -208,6 +211,8 @@ def prepare_cubes(
                 _place(spark, stage, f"{work}/large/g{gi}", gpids, statuses, destination, threshold, empty_schema)
             for pid in gpids:
                 statuses[pid].schema = cube_schema(names, types)
+            if on_published is not None:
+                on_published(list(gpids))
 
         # Typed writes differ in schema per (header, types) group, so each is
         # its own job; they run side by side so that many small cubes do not

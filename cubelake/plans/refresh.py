@@ -7,6 +7,7 @@ Downloads are not part of this package: cubes are expected as ``.zip`` or
 from __future__ import annotations
 
 import datetime as dt
+import threading
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,6 +72,22 @@ def refresh(
     if not planned:
         return spark.createDataFrame([], STATUS_SCHEMA + ", release_time timestamp")
 
+    # Register each group of cubes as soon as it is published, so an aborted
+    # run keeps what it finished (appends to one table never overlap).
+    lock = threading.Lock()
+    registered: set[int] = set()
+
+    def on_published(pids: list[int]) -> None:
+        with lock:
+            rows = [(pid, planned[pid]) for pid in pids if pid in planned and pid not in registered]
+            if not rows:
+                return
+            batch = spark.createDataFrame(rows, "product_id bigint, release_time timestamp")
+            append_registry(spark, registry_path, batch)
+            registered.update(pid for pid, _ in rows)
+
+    prepare_options = {**prepare_options, "on_published": on_published}
+
     unzipped = f"{work}/unzipped"
     zip_status = unzip_to_landing(spark, landing, unzipped, rule="digits", only=sorted(planned)).collect()
     failed_zip = {}
@@ -108,11 +125,7 @@ def refresh(
                      schema=None)
         fields = ("product_id", "ok", "reason", "layout", "rows", "bytes", "destination", "schema")
         out.append((*[r[k] for k in fields], release))
-    result = spark.createDataFrame(out, STATUS_SCHEMA + ", release_time timestamp")
-    published = result.where("ok").select("product_id", "release_time")
-    if published.take(1):
-        append_registry(spark, registry_path, published)
-    return result
+    return spark.createDataFrame(out, STATUS_SCHEMA + ", release_time timestamp")
 
 
 def _ok_ids(status: DataFrame | None) -> set[int]:
