@@ -225,6 +225,12 @@ _ORACLE = {
                CASE WHEN {_BRAND} % 2 = 1 THEN 'double' ELSE 'bigint' END AS value_type
         FROM part
     """,
+    "large_cube": """
+        SELECT CAST(year(l_shipdate) AS INTEGER) AS year, l_returnflag AS GEO, l_linestatus AS Sex,
+               COUNT(*) AS n_rows, MIN(l_extendedprice) AS min_value, MAX(l_extendedprice) AS max_value,
+               COUNT(DISTINCT l_orderkey) AS n_orders
+        FROM lineitem GROUP BY ALL
+    """,
     "refresh_status": f"""
         SELECT {_BRAND} AS product_id, {_BRAND} <> 13 AS ok,
                CASE WHEN {_BRAND} = 13 THEN 'malformed' END AS reason_kind,

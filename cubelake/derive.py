@@ -366,7 +366,29 @@ def _builders() -> dict:
     }
 
 
-LANDINGS = list(_builders())
+def lineitem_cube_rows(lineitem: DataFrame) -> DataFrame:
+    """``lineitem`` as one large cube (id 1): daily REF_DATE, two dimensions, a fractional VALUE."""
+    return lineitem.select(
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("REF_DATE"),
+        F.col("l_returnflag").alias("GEO"),
+        F.col("l_linestatus").alias("Sex"),
+        F.col("l_orderkey").alias("ORDER_ID"),
+        F.col("l_linenumber").alias("LINE"),
+        F.col("l_extendedprice").alias("VALUE"),
+        F.lit(2).alias("DECIMALS"),
+    )
+
+
+def write_large_cube(lineitem: DataFrame, landing: str) -> None:
+    """One cube folder ``cube=1/`` of CSV parts, each with its header line (Spark's CSV writer)."""
+    lineitem_cube_rows(lineitem).write.mode("overwrite").option("header", True).csv(f"{landing}/cube=1")
+
+
+def _large_cube_builder(spark, sf, out):
+    write_large_cube(table(spark, sf, "lineitem"), out)
+
+
+LANDINGS = list(_builders()) + ["lineitem_cube"]
 
 
 def landed(spark: SparkSession, sf_dir: str, name: str) -> str:
@@ -376,7 +398,8 @@ def landed(spark: SparkSession, sf_dir: str, name: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     if key not in _LANDED:
         out = f"{scratch_dir(spark, 'landed')}/{name}"
-        _builders()[name](spark, sf_dir.rstrip("/"), out)
+        builders = {**_builders(), "lineitem_cube": _large_cube_builder}
+        builders[name](spark, sf_dir.rstrip("/"), out)
         _LANDED[key] = out
     return _LANDED[key]
 

@@ -114,3 +114,12 @@ def type_mask(c: Column) -> Column:
         .otherwise(none)
     )
     return F.when(~is_null_spelling(c), mask)
+
+
+def int_or_null(c: Column) -> Column:
+    """BIGINT value of integer text, else null, without trying to cast other text.
+
+    A failed cast is expensive per value; the pattern test rules out text
+    that cannot be an integer first.
+    """
+    return F.when(c.rlike(_INT_RE), c.try_cast("bigint"))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from cubelake import schemas as S
 from cubelake.functions.columns import is_null_spelling
-from cubelake.functions.typing import CANDIDATES, is_string_override, type_mask, value_type
+from cubelake.functions.typing import CANDIDATES, int_or_null, is_string_override, type_mask, value_type
 from cubelake.sources.cube_csv import CORRUPT
 
 
@@ -49,7 +49,7 @@ def inference_aggregates(
         else:
             aggs.append(F.bit_and(type_mask(c)).alias(f"mask_{i}"))
     if S.DECIMALS_COLUMN in names:
-        aggs.append(F.max(_q(S.DECIMALS_COLUMN).try_cast("bigint")).alias("_max_dec"))
+        aggs.append(F.max(int_or_null(_q(S.DECIMALS_COLUMN))).alias("_max_dec"))
     return text.groupBy(key).agg(*aggs)
 
 
@@ -102,7 +102,7 @@ def decide_types(stats_row, names: list[str], key: str = "product_id", overrides
 
 def value_kinds(text: DataFrame, key: str = "product_id") -> DataFrame:
     """Per cube: ``max(DECIMALS)`` (null counts as 0) and the VALUE type it implies."""
-    max_dec = F.max(_q(S.DECIMALS_COLUMN).try_cast("bigint"))
+    max_dec = F.max(int_or_null(_q(S.DECIMALS_COLUMN)))
     out = text.groupBy(key).agg(max_dec.alias("max_decimals"), F.count(F.lit(1)).alias("n_rows"))
     kind = F.when(F.coalesce(F.col("max_decimals"), F.lit(0)) > 0, F.lit("double")).otherwise(F.lit("bigint"))
     return out.withColumn("value_type", kind)
@@ -160,7 +160,7 @@ def positional_aggregates(text: DataFrame, width: int, widths: dict[int, int], k
     for i, name in enumerate(positional_names(width)):
         c = F.col(name)
         aggs.append(F.bit_and(type_mask(c)).alias(f"mask_{i}"))
-        aggs.append(F.max(c.try_cast("bigint")).alias(f"max_{i}"))
+        aggs.append(F.max(int_or_null(c)).alias(f"max_{i}"))
     return text.groupBy(key).agg(*aggs)
 
 

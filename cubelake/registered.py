@@ -1,4 +1,4 @@
-"""Registered queries over the driver's tables, with their SQL oracles.
+"""Registered queries over the driver's tables (their SQL oracles are in ``__spark_entry__``).
 
 Each query runs one operator of the pipeline (or a whole job) on inputs that
 Spark derives from the driver's tables, over the whole tables. Timestamps are
@@ -432,6 +432,23 @@ def _typed_cubes(spark: SparkSession, sf_dir: str, threshold: int = S.FLAT_LAYOU
     return reduce(DataFrame.unionByName, frames)
 
 
+def large_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One large cube (lineitem, multi-part CSV) through the ETL with the default layout rule."""
+    _prep(spark)
+    landing = derive.landed(spark, sf_dir, "lineitem_cube")
+    work = scratch_dir(spark, "large-cube")
+    status = prepare_cubes(spark, landing, f"{work}/lake", work=f"{work}/etl").collect()
+    if len(status) != 1 or not status[0]["ok"]:
+        raise RuntimeError(f"large cube failed: {status}")
+    cube = read_cube(spark, f"{work}/lake", 1, status[0]["schema"])
+    return cube.groupBy("year", "GEO", "Sex").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.min("VALUE").alias("min_value"),
+        F.max("VALUE").alias("max_value"),
+        F.countDistinct("ORDER_ID").alias("n_orders"),
+    )
+
+
 def layout_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Size-adaptive layout with a small threshold: flat vs ``year=`` folders."""
     _prep(spark)
@@ -514,6 +531,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_folder_scaled": csv_folder_scaled,
     "typed_cube": typed_cube,
     "typed_cube_partitioned": typed_cube_partitioned,
+    "large_cube": large_cube,
     "layout_choice": layout_choice,
     "refresh_status": refresh_status,
     "json_rows": json_rows,
