@@ -21,6 +21,19 @@ if _HERE not in sys.path:
 
 from cubelake.registered import QUERIES, cube_filter  # noqa: E402
 
+try:  # the subpackage may be absent; whatever else goes wrong in it is an error
+    import cubelake.llm  # noqa: F401
+except ImportError:
+    _LLM_QUERIES, _LLM_ORACLE = {}, {}
+else:
+    from corpus_pipeline import ORACLE_SQL as _PIPELINE_SQL  # noqa: E402
+    from corpus_pipeline import run as _pipeline  # noqa: E402
+    from cubelake.llm.queries import ORACLE as _LLM_ORACLE  # noqa: E402
+    from cubelake.llm.queries import QUERIES as _LLM_QUERIES  # noqa: E402
+
+    _LLM_QUERIES = {**_LLM_QUERIES, "pipeline": _pipeline}
+    _LLM_ORACLE = {**_LLM_ORACLE, **({"pipeline": _PIPELINE_SQL} if _PIPELINE_SQL else {})}
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -30,7 +43,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    return {**QUERIES, **_LLM_QUERIES}
 
 
 # Shared SQL pieces -----------------------------------------------------------
@@ -255,4 +268,4 @@ _ORACLE["typed_cube_partitioned"] = _ORACLE["typed_cube"]
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for k, v in _ORACLE.items() if k in QUERIES}
+    return {k: v for k, v in _ORACLE.items() if k in QUERIES} | _LLM_ORACLE
