@@ -118,16 +118,17 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     """
     texts = docs.select(
         F.monotonically_increasing_id().alias("__row"),
-        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("doc_id").cast("long").alias("__id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("__text"),
     )
-    slim = texts.select("__row", "doc_id", F.char_length("__text").cast("long").alias("n_chars"))
+    slim = texts.select("__row", F.col("__id").alias("doc_id"), F.char_length("__text").cast("long").alias("n_chars"))
     order = ordered(slim, ["doc_id", "__row"], "merkle")
     order = order.withColumn("__me", F.struct(F.col("__row"), F.expr("n_chars div 4").alias("k")))
     links = following(order, "__me", "__before", circular=True, back=True).select(
-        "__row", "n_chars", F.col("__before.__row").alias("__to"), F.col("__before.k").cast("int").alias("__k")
+        "__row", "doc_id", "n_chars", F.col("__before.__row").alias("__to"), F.col("__before.k").cast("int").alias("__k")
     )
-    here = texts.join(links, "__row").withColumn("fingerprint", fingerprint(F.col("__text")))
+    # Both uses of ``here`` read the same columns of ``texts``, so its shuffle is done once and reused.
+    here = texts.select("__row", "__text").join(links, "__row").withColumn("fingerprint", fingerprint(F.col("__text")))
     sent = here.select(
         F.col("__to").alias("__row"),
         F.expr("substring(__text, 1, __k)").alias("__head"),
