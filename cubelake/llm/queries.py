@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cubelake.llm import bpe, merkle, shards
+from cubelake.llm import bpe, lang_id, merkle, packing, shards, toxicity
 from cubelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_id.identify_documents(table(spark, sf_dir, "documents"))
+
+
 def op2_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_documents(table(spark, sf_dir, "documents"), shards=24)
 
@@ -25,10 +29,21 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_toxicity_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_language_filters": op1_language_filters,
     "op2_byte_shards": op2_byte_shards,
     "op4_merkle_fingerprints": op4_merkle_fingerprints,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_toxicity_gru": op7_toxicity_gru,
+    "op8_window_packing": op8_window_packing,
 }
 
 ORACLE: dict[str, str] = {}
