@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cubelake.llm import bpe, lang_id, merkle, packing, shards, toxicity
+from cubelake.llm import ann, bpe, html_text, lang_id, merkle, packing, shards, toxicity
 from cubelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +38,14 @@ def op8_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op10_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_filters": op1_language_filters,
     "op2_byte_shards": op2_byte_shards,
@@ -44,6 +53,8 @@ QUERIES: dict[str, Query] = {
     "op6_byte_bpe": op6_byte_bpe,
     "op7_toxicity_gru": op7_toxicity_gru,
     "op8_window_packing": op8_window_packing,
+    "op9_learned_partitions": op9_learned_partitions,
+    "op10_page_differencing": op10_page_differencing,
 }
 
 ORACLE: dict[str, str] = {}
