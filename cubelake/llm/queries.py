@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cubelake.llm import ann, bpe, html_text, lang_id, merkle, packing, shards, toxicity
+from cubelake.llm import ann, bpe, html_text, jaccard, lang_id, merkle, packing, shards, toxicity
 from cubelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,11 @@ def op4_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    links = jaccard.link_components(table(spark, sf_dir, "documents"), size=3, percent=90)
+    return links.select("doc_id", "n_shingles", "component_id")
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -50,6 +55,7 @@ QUERIES: dict[str, Query] = {
     "op1_language_filters": op1_language_filters,
     "op2_byte_shards": op2_byte_shards,
     "op4_merkle_fingerprints": op4_merkle_fingerprints,
+    "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_toxicity_gru": op7_toxicity_gru,
     "op8_window_packing": op8_window_packing,
