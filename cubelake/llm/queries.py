@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cubelake.llm import ann, bpe, html_text, jaccard, lang_id, merkle, packing, shards, toxicity
+from cubelake.llm import ann, bpe, html_text, jaccard, lang_id, merkle, packing, shards, toxicity, url_filter
 from cubelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,42 @@ def op2_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_documents(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op3_temporal_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a capture, against lists whose dated entries are derived from ``events``.
+
+    Pages carry no time: the fetch time is spread over the month of the
+    events by page_id. An event concerns the page numbered like its user; its
+    type says whether that page's host, domain or first path segment is added
+    to or removed from a list.
+    """
+    pages = table(spark, sf_dir, "pages")
+    captures = pages.select(
+        "page_id",
+        "url",
+        F.timestamp_seconds(F.lit(1704067200) + F.pmod(F.col("page_id") * 7919, F.lit(2592000))).alias("fetched_at"),
+    )
+    subject = pages.select(
+        F.col("page_id").alias("user_id"),
+        url_filter.host_of(F.col("url")).alias("host"),
+        F.split(url_filter.path_of(F.col("url")), "/")[1].alias("first"),
+    )
+    events = table(spark, sf_dir, "events").filter(F.col("event_type").isin("purchase", "signup", "error"))
+    labels = F.split("host", r"\.")
+    entries = events.join(subject, "user_id").select(
+        F.when(F.col("user_id") % 4 == 0, "allow").otherwise("deny").alias("list"),
+        F.element_at(F.array(F.lit("host"), F.lit("domain"), F.lit("prefix")), (F.col("event_id") % 3 + 1).cast("int")).alias("kind"),
+        F.when(F.col("event_id") % 3 == 0, F.col("host"))
+        .when(F.col("event_id") % 3 == 1, F.array_join(F.slice(labels, -3, 3), "."))
+        .otherwise(F.concat_ws("/", "host", "first"))
+        .alias("pattern"),
+        F.when(F.col("event_type") == "error", "remove").otherwise("add").alias("action"),
+        F.date_trunc("second", "ts").alias("at"),
+    )
+    found = url_filter.evaluate(captures, entries)
+    times = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("fetched_at", "valid_from")}
+    return found.withColumns(times)
+
+
 def op4_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fingerprint_edits(table(spark, sf_dir, "documents"))
 
@@ -54,6 +90,7 @@ def op10_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_language_filters": op1_language_filters,
     "op2_byte_shards": op2_byte_shards,
+    "op3_temporal_url_lists": op3_temporal_url_lists,
     "op4_merkle_fingerprints": op4_merkle_fingerprints,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_byte_bpe": op6_byte_bpe,
@@ -63,4 +100,47 @@ QUERIES: dict[str, Query] = {
     "op10_page_differencing": op10_page_differencing,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_temporal_url_lists": r"""
+        WITH p AS (
+            SELECT page_id, url, to_timestamp(1704067200 + page_id * 7919 % 2592000) AT TIME ZONE 'UTC' AS fetched_at,
+                   lower(regexp_extract(url, '^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)', 1)) AS host,
+                   regexp_extract(url, '^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//[^/?#]*([^?#]*)', 1) AS path
+            FROM pages),
+        e AS (
+            SELECT DISTINCT CASE WHEN user_id % 4 = 0 THEN 'allow' ELSE 'deny' END AS list,
+                   CASE event_id % 3 WHEN 0 THEN 'host' WHEN 1 THEN 'domain' ELSE 'prefix' END AS kind,
+                   lower(trim(CASE event_id % 3 WHEN 0 THEN host
+                              WHEN 1 THEN array_to_string(list_slice(string_split(host, '.'), -3, -1), '.')
+                              ELSE host || '/' || string_split(path, '/')[2] END, './')) AS pattern,
+                   CASE WHEN event_type = 'error' THEN 'remove' ELSE 'add' END AS action,
+                   date_trunc('second', ts) AS entry_at
+            FROM events JOIN p ON p.page_id = events.user_id
+            WHERE event_type IN ('purchase', 'signup', 'error')),
+        i AS (
+            SELECT list, kind, pattern, action, entry_at AS valid_from,
+                   lead(entry_at) OVER (PARTITION BY list, kind, pattern ORDER BY entry_at, action) AS valid_to
+            FROM e),
+        v AS (SELECT * FROM i WHERE action = 'add' AND (valid_to IS NULL OR valid_to > valid_from)),
+        k AS (
+            SELECT page_id, fetched_at, 'host' AS kind, host AS pattern FROM p
+            UNION ALL
+            SELECT page_id, fetched_at, 'domain', unnest(list_transform(range(1, len(string_split(host, '.')) + 1),
+                   lambda n: array_to_string(list_slice(string_split(host, '.'), n, len(string_split(host, '.'))), '.')))
+            FROM p
+            UNION ALL
+            SELECT page_id, fetched_at, 'prefix', unnest(list_transform(range(1, len(s) + 1),
+                   lambda n: host || '/' || array_to_string(list_slice(s, 1, n), '/')))
+            FROM (SELECT *, list_filter(string_split(lower(path), '/'), lambda x: x <> '') AS s FROM p)),
+        m AS (
+            SELECT k.page_id, v.*, row_number() OVER (
+                       PARTITION BY k.page_id
+                       ORDER BY length(v.pattern) DESC, v.list = 'allow' DESC, v.kind DESC, v.valid_from DESC) AS rn
+            FROM k JOIN v ON v.kind = k.kind AND v.pattern = k.pattern AND v.valid_from <= k.fetched_at
+                         AND (v.valid_to IS NULL OR k.fetched_at < v.valid_to))
+        SELECT p.page_id, p.url, strftime(p.fetched_at, '%Y-%m-%d %H:%M:%S') AS fetched_at,
+               CASE WHEN m.list IS NULL THEN 'unlisted' WHEN m.list = 'allow' THEN 'allowed' ELSE 'blocked' END AS verdict,
+               m.list, m.kind, m.pattern, strftime(m.valid_from, '%Y-%m-%d %H:%M:%S') AS valid_from
+        FROM p LEFT JOIN m ON m.page_id = p.page_id AND m.rn = 1
+    """,
+}
