@@ -91,7 +91,7 @@ def slot_counts(docs: DataFrame, size: int) -> np.ndarray:
                 names=["block", "salt", "counts"],
             )
 
-    def add(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros((1 << SLOT_BITS) // SLOT_BLOCKS, np.int64)
         for part in rows["counts"]:
             total += np.frombuffer(part, "<i4")

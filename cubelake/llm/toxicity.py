@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterable
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -42,7 +42,9 @@ _KEEP = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
 
 def words_of(text: str | None) -> list[bytes]:
-    return (text or "").lower().encode("utf-8", "replace").translate(_KEEP).split()
+    """Lower-case words; a run of one word counts once, as what is repeated says no more."""
+    words = (text or "").lower().encode("utf-8", "replace").translate(_KEEP).split()
+    return words[:1] + [word for before, word in pairwise(words) if word != before]
 
 
 def _bucket(codes: np.ndarray) -> np.ndarray:
@@ -96,17 +98,11 @@ def _windows(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _index(texts: list[list[bytes]]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """Distinct words, the index of every word, and each text's number of words.
-
-    A run of one word counts once: what is repeated says no more.
-    """
+    """Distinct words, the index of every word, and each text's number of words."""
     known: dict[bytes, int] = defaultdict(lambda: len(known))
     lengths = np.array([len(t) for t in texts], np.int64)
     flat = np.fromiter(map(known.__getitem__, chain.from_iterable(texts)), np.int64, int(lengths.sum()))
-    owner = np.repeat(np.arange(len(texts)), lengths)
-    new = np.ones(len(flat), bool)
-    new[1:] = (flat[1:] != flat[:-1]) | (owner[1:] != owner[:-1])
-    return list(known), flat[new], np.bincount(owner[new], minlength=len(texts)).astype(np.int64)
+    return list(known), flat, lengths
 
 
 def _rows(index: np.ndarray, lengths: np.ndarray, text: np.ndarray, start: np.ndarray, pad: int) -> np.ndarray:
