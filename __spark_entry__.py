@@ -197,7 +197,10 @@ _ORACLE = {
             FROM orders WHERE o_orderstatus = 'F'
             UNION ALL
             SELECT o_custkey, o_orderdate, TIMESTAMP '2024-02-01 00:00:00'
-            FROM orders WHERE o_orderstatus = 'O'),
+            FROM orders WHERE o_orderstatus = 'O'
+            UNION ALL
+            SELECT o_custkey, o_orderdate, TIMESTAMP '2024-03-01 00:00:00'
+            FROM orders WHERE o_orderstatus = 'P'),
         w AS (SELECT *, row_number() OVER (PARTITION BY number
                                            ORDER BY created_at DESC, release_time DESC) AS rn
               FROM r)

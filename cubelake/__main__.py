@@ -62,6 +62,7 @@ def _parser() -> argparse.ArgumentParser:
             c.add_argument("--end-date", "-e", default=None)
         else:
             c.add_argument("--catalog", required=True)
+            c.add_argument("--multi-line", action="store_true", help="the catalog is pretty-printed JSON")
             c.add_argument("--start-from", type=int, default=0)
             c.add_argument("--max-product-ids", type=int, default=0)
 
@@ -98,12 +99,12 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         status = prepare_cube(spark, args.filename, args.outfile).collect()
         for s in status:
             print(f"{s.product_id}: {'ok' if s.ok else 'failed: ' + str(s.reason)} {s.layout or ''}")
-        return 0 if all(s.ok for s in status) else 1
+        return 0 if status and all(s.ok for s in status) else 1
     elif cmd == ("full", "push"):
-        from cubelake.plans.layout import publish
+        from cubelake.plans.layout import push
 
         name = args.path.rstrip("/").rsplit("/", 1)[-1]
-        publish(spark, args.path, f"{args.lake.rstrip('/')}/{name}")
+        push(spark, args.path, f"{args.lake.rstrip('/')}/{name}")
     elif cmd[0] == "full":
         from cubelake.operators.stats import status_counts
         from cubelake.plans.refresh import plan_changed, plan_refresh, refresh
@@ -112,13 +113,14 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             plan = plan_changed(spark, args.changed, args.start_date, args.end_date, skip=args.skip)
         else:
             plan = plan_refresh(
-                spark, args.catalog, args.registry, args.start_from, args.max_product_ids, skip=args.skip
+                spark, args.catalog, args.registry, args.start_from, args.max_product_ids, skip=args.skip,
+                multi_line=args.multi_line,
             )
         status = refresh(spark, plan, args.landing, args.lake, args.registry)
         for s in status.where("NOT ok").collect():
-            print(f"{s.product_id}: {s.reason}. Continuing")
+            print(f"{s.product_id} failed ({s.reason}); going on with the rest")
         counts = status_counts(status).first()
-        print(f"Successfully uploaded {counts.succeeded} out of {counts.planned} products")
+        print(f"published {counts.succeeded} of {counts.planned} planned cubes")
     elif cmd[0] == "sql":
         from cubelake.sources.lake import query_cube
 

@@ -51,7 +51,13 @@ def mkdirs(spark: SparkSession, path: str) -> bool:
     return bool(fs.mkdirs(hpath))
 
 
+def same_store(spark: SparkSession, a: str, b: str) -> bool:
+    """Whether two paths are on one file system, so that one can be renamed to the other."""
+    return _path(spark, a)[0].getUri().equals(_path(spark, b)[0].getUri())
+
+
 def rename(spark: SparkSession, src: str, dst: str) -> bool:
+    """Rename within one file system (see ``same_store``)."""
     fs, hsrc = _path(spark, src)
     _, hdst = _path(spark, dst)
     parent = hdst.getParent()

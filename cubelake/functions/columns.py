@@ -18,9 +18,13 @@ def ref_year(ref_date: Column | str) -> Column:
 
 
 def power_of_ten(exponent: Column | str, integral: bool) -> Column:
-    """``10 ** exponent``; exact BIGINT for integral cubes (exponent 0..18)."""
-    p = F.pow(F.lit(10.0), _c(exponent).cast("double"))
-    return p.cast("bigint") if integral else p
+    """``10 ** exponent``; exact BIGINT for integral cubes, where a negative exponent is an error."""
+    e = _c(exponent)
+    p = F.pow(F.lit(10.0), e.cast("double"))
+    if not integral:
+        return p
+    wrong = F.raise_error(F.concat(F.lit("negative power of ten in an integral cube: "), e.cast("string")))
+    return F.when(e < 0, wrong.cast("bigint")).otherwise(p.cast("bigint"))
 
 
 def scaled_value(value: Column | str, scalar_id: Column | str, integral: bool) -> Column:

@@ -13,13 +13,13 @@ import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cubelake import schemas as S
 from cubelake.functions.columns import is_null_spelling
 
-_INT_RE = r"^[+-]?[0-9]+$"
-_FLOAT_RE = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# Blanks may surround a number; Spark's casts trim them too.
+_INT_RE = r"^[ \t]*[+-]?[0-9]+[ \t]*$"
+_FLOAT_RE = r"^[ \t]*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?[ \t]*$"
 _DATE_RE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 _TS_RE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,9})?)?(Z)?$"
 
@@ -73,16 +73,6 @@ def value_type(max_decimals: int | None) -> str:
     return "double" if (max_decimals or 0) > 0 else "bigint"
 
 
-SPARK_TYPES = {
-    "string": T.StringType(),
-    "bigint": T.LongType(),
-    "boolean": T.BooleanType(),
-    "date": T.DateType(),
-    "timestamp": T.TimestampType(),
-    "double": T.DoubleType(),
-}
-
-
 _NUMERIC_START = list("0123456789+-.")
 _BIT = {t: 1 << i for i, t in enumerate(CANDIDATES)}
 
@@ -99,7 +89,7 @@ def type_mask(c: Column) -> Column:
     b = lambda t: F.lit(_BIT[t])
     none = F.lit(0)
     is_bool = c.isin(S.CSV_TRUE_SPELLINGS + S.CSV_FALSE_SPELLINGS)
-    starts_numeric = F.substring(c, 1, 1).isin(_NUMERIC_START)
+    starts_numeric = F.substring(F.ltrim(c), 1, 1).isin(_NUMERIC_START)
     int_mask = (
         F.when(c.try_cast("bigint").isNotNull(), b("bigint")).otherwise(none)
         .bitwiseOR(b("double"))

@@ -123,44 +123,30 @@ def empty_cube_types(product_id: int, names: list[str]) -> CubeTypes:
 
 # ------------------------------------------------------- all headers at once
 
-_QUOTED_FIELD = r'"([^"]|"")*"'
-
-
-def field_count(raw_line) -> "F.Column":
-    """Number of CSV fields of a raw line (quoted separators do not count)."""
-    return F.size(F.split(F.regexp_replace(raw_line, _QUOTED_FIELD, ""), ",", -1))
-
 
 def positional_names(width: int) -> list[str]:
     return [f"c{i}" for i in range(width)]
 
 
-def positional_aggregates(text: DataFrame, width: int, widths: dict[int, int], key: str = "product_id") -> DataFrame:
-    """Per-cube evidence for cubes with different headers, in one pass.
+def positional_aggregates(text: DataFrame, headers: list[list[str]], key: str = "product_id") -> DataFrame:
+    """Per-cube evidence for cubes whose headers differ but are equally long.
 
-    ``text`` is a scan of every cube with ``width`` positional text columns
-    (at least the widest header) plus the corrupt-record column. A row whose
-    token count differs from ``width`` keeps its raw line there, so its true
-    field count is known; a row is malformed when that count differs from
-    its own cube's header width (``widths``, one entry per cube, joined as a
-    broadcast table of that size). For every
-    position the pass keeps the type-mask ``bit_and`` and the largest integer
-    (for DECIMALS, wherever it sits).
+    ``text`` is a scan of those cubes with positional text columns; a row
+    with another number of fields keeps its raw line in the corrupt-record
+    column and counts as malformed. A position gets a type mask unless it is
+    text by name in every header, and its largest integer only if it is
+    DECIMALS in one of them; the others are counted, which makes the parser
+    look at whole rows.
     """
-    # One row per cube: small and bounded by the number of cubes, so the
-    # planner broadcasts it; the expression stays the same size for any lake.
-    spark = text.sparkSession
-    expected_df = spark.createDataFrame(
-        [(int(p), int(w)) for p, w in widths.items()], f"{key} bigint, _expected int"
-    )
-    text = text.join(F.broadcast(expected_df), key, "left")
-    expected = F.col("_expected")
-    tokens = F.when(F.col(CORRUPT).isNull(), F.lit(width)).otherwise(field_count(F.col(CORRUPT)))
-    aggs = [F.count(F.lit(1)).alias("_rows"), F.count_if(tokens != expected).alias("_bad")]
-    for i, name in enumerate(positional_names(width)):
+    aggs = [F.count(F.lit(1)).alias("_rows"), F.count(F.col(CORRUPT)).alias("_bad")]
+    for i, name in enumerate(positional_names(len(headers[0]))):
         c = F.col(name)
-        aggs.append(F.bit_and(type_mask(c)).alias(f"mask_{i}"))
-        aggs.append(F.max(int_or_null(c)).alias(f"max_{i}"))
+        if all(fixed_type(names[i]) is not None for names in headers):
+            aggs.append(F.count(c).alias(f"n_{i}"))
+        else:
+            aggs.append(F.bit_and(type_mask(c)).alias(f"mask_{i}"))
+        if any(names[i] == S.DECIMALS_COLUMN for names in headers):
+            aggs.append(F.max(int_or_null(c)).alias(f"max_{i}"))
     return text.groupBy(key).agg(*aggs)
 
 
@@ -173,5 +159,5 @@ def decide_positional(stats_row, names: list[str]) -> CubeTypes:
     if S.DECIMALS_COLUMN in names:
         d["_max_dec"] = r[f"max_{names.index(S.DECIMALS_COLUMN)}"]
     for i in range(len(names)):
-        d[f"mask_{i}"] = r[f"mask_{i}"]
+        d[f"mask_{i}"] = r.get(f"mask_{i}")
     return decide_types(Row(**d), names)

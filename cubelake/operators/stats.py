@@ -39,16 +39,14 @@ def distinct_keys(df: DataFrame, column: str) -> DataFrame:
 def multiset_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows of ``left`` not matched one-for-one in ``right`` and vice versa.
 
-    Both sides are reduced to ``(row, count)`` first, then joined once
-    (null-safe), so duplicates and nulls compare exactly.
+    One aggregate over both sides, each row counting for its side, so
+    duplicates and nulls compare exactly and there is one shuffle. The sides
+    may derive from one frame.
     """
-    cols = left.columns
-    lc = left.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n_left"))
-    rc = right.select(*cols).groupBy(*cols).agg(F.count(F.lit(1)).alias("_n_right"))
-    cond = [lc[c].eqNullSafe(rc[c]) for c in cols]
-    j = lc.join(rc, cond, "full_outer")
-    nl = F.coalesce(F.col("_n_left"), F.lit(0))
-    nr = F.coalesce(F.col("_n_right"), F.lit(0))
-    return j.where(nl != nr).select(
-        *[F.coalesce(lc[c], rc[c]).alias(c) for c in cols], nl.alias("n_left"), nr.alias("n_right")
+    cols = [F.col(f"`{c}`") for c in left.columns]
+    one, none = F.lit(1), F.lit(0)
+    both = left.select(*cols, one.alias("_l"), none.alias("_r")).unionByName(
+        right.select(*cols, none.alias("_l"), one.alias("_r"))
     )
+    counts = both.groupBy(*cols).agg(F.sum("_l").alias("n_left"), F.sum("_r").alias("n_right"))
+    return counts.where(F.col("n_left") != F.col("n_right"))

@@ -3,10 +3,9 @@
 One run handles any number of cubes, whatever their headers:
 
 1. list the landed files and read each file's header line (one small job);
-2. one all-text scan of every cube with positional columns (as wide as the
-   widest header) feeds one aggregate with, per cube, the row count, the
-   malformed rows (field count against its own header), the type evidence of
-   every position and the largest integer per position (for DECIMALS);
+2. per header width, one all-text scan with positional columns feeds one
+   aggregate with, per cube, the row count, the malformed rows, the type
+   evidence of the positions that need it and the largest DECIMALS;
 3. per (header, types) group one typed write into staging, partitioned by
    ``product_id`` with ``year`` stored in the files; groups run side by side;
 4. a listing job measures each staged cube; small cubes are moved into
@@ -30,6 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from cubelake import fs
 from cubelake import schemas as S
 from cubelake.functions.columns import blank_if_null, ref_year
 from cubelake.functions.typing import cast_text
@@ -41,7 +41,7 @@ from cubelake.operators.inference import (
 )
 from cubelake.plans import layout
 from cubelake.session import folder_parallel_writes, scratch_dir
-from cubelake.sources.cube_csv import cube_key, list_files, qualified_root, read_cube_text, read_headers
+from cubelake.sources.cube_csv import CSV_GLOB, cube_key, list_files, qualified_root, read_cube_text, read_headers
 from cubelake.sources.lake import cube_path
 
 log = logging.getLogger(__name__)
@@ -108,7 +108,8 @@ def prepare_cubes(
     threshold: int = S.FLAT_LAYOUT_THRESHOLD_BYTES,
     blank_strings: bool = True,
     work: str | None = None,
-    glob: str = "*.csv",
+    glob: str = CSV_GLOB,
+    files: list[str] | None = None,
     parallel_groups: int = 4,
     on_published: Callable[[list[int]], None] | None = None,
 ) -> DataFrame:
@@ -116,7 +117,8 @@ def prepare_cubes(
 
     ``destination(product_id)`` names the output folder (default
     ``<lake>/<product_id>.parquet``); ``only`` restricts the run to some ids;
-    ``glob`` selects the landed files; ``parallel_groups`` typed writes run
+    ``glob`` selects the landed files, ``files`` names them one by one
+    instead (paths under ``landing``); ``parallel_groups`` typed writes run
     at the same time; ``on_published(ids)`` is called (from worker threads)
     as soon as a group of cubes is in place. Returns a status table, one row
     per cube.
@@ -128,13 +130,14 @@ def prepare_cubes(
     work = work or scratch_dir(spark, "prepare")
     root = qualified_root(spark, landing)
 
-    files = list_files(spark, landing, glob).withColumn("product_id", cube_key("path", root))
+    listed = list_files(spark, files, "*") if files else list_files(spark, landing, glob)
+    listed = listed.withColumn("product_id", cube_key("path", root))
     if only is not None:
         wanted = sorted({int(p) for p in only})
-        files = files.where(F.col("product_id").isin(wanted))
+        listed = listed.where(F.col("product_id").isin(wanted))
     with _step("headers"):
         headers = (
-            read_headers(files.select("path"))
+            read_headers(listed.select("path"))
             .withColumn("product_id", cube_key("path", root))
             .collect()
         )
@@ -146,8 +149,8 @@ def prepare_cubes(
 
         fixed = headers_from_lines(read_headers_spark(spark, unreadable).collect())
         headers = [
-            r if r.path not in fixed else Row(path=r.path, names=fixed[r.path] or None,
-                                              error=None if fixed[r.path] else "empty file", product_id=r.product_id)
+            r if r.path not in fixed else Row(path=r.path, names=fixed[r.path][0], error=fixed[r.path][1],
+                                              product_id=r.product_id)
             for r in headers
         ]
 
@@ -175,17 +178,18 @@ def prepare_cubes(
             continue
         by_header[names].append(pid)
 
-    # One scan and one aggregate for all cubes, whatever their headers.
+    # One scan and one aggregate per header width (few), whatever the names.
     names_of = {pid: names for names, pids in by_header.items() for pid in pids}
     if names_of:
-        width = max(len(n) for n in names_of.values())
-        all_paths = [r.path for pid in sorted(names_of) for r in by_cube[pid]]
-        wide = read_cube_text(spark, all_paths, positional_names(width)).withColumn(
-            "product_id", cube_key("_path", root)
-        )
-        with _step("infer all cubes"):
-            stats = positional_aggregates(wide, width, {p: len(n) for p, n in names_of.items()}).collect()
-        decided = {r["product_id"]: decide_positional(r, list(names_of[r["product_id"]])) for r in stats}
+        decided = {}
+        for width in sorted({len(n) for n in names_of.values()}):
+            pids = sorted(p for p, n in names_of.items() if len(n) == width)
+            text = read_cube_text(spark, [r.path for pid in pids for r in by_cube[pid]], positional_names(width))
+            headers_here = [list(n) for n in sorted({names_of[p] for p in pids})]
+            with _step(f"infer cubes of {width} columns"):
+                stats = positional_aggregates(text.withColumn("product_id", cube_key("_path", root)), headers_here)
+                for r in stats.collect():  # one row per cube
+                    decided[r["product_id"]] = decide_positional(r, list(names_of[r["product_id"]]))
         for pid, names in names_of.items():  # header-only files have no rows
             decided.setdefault(pid, empty_cube_types(pid, list(names)))
 
@@ -292,8 +296,15 @@ def prepare_cube(spark: SparkSession, source: str, outfile: str | None = None, w
             return spark.createDataFrame([row], STATUS_SCHEMA)
         landing_src = landing
     else:
-        # a plain CSV: its folder is the landing root, restricted to this id
-        landing_src = source.rstrip("/").rsplit("/", 1)[0]
-        kw.setdefault("only", [int(digits)])
+        # a plain CSV: exactly this file, whatever lies beside it
+        if not digits:
+            row = (None, False, f"no product id in {name}", None, None, None, None, None)
+            return spark.createDataFrame([row], STATUS_SCHEMA)
+        exact = fs.qualify(spark, source.rstrip("/"))
+        landing_src = exact.rsplit("/", 1)[0]
+        if not fs.exists(spark, exact):
+            row = (int(digits), False, "not landed", None, None, None, None, None)
+            return spark.createDataFrame([row], STATUS_SCHEMA)
+        kw["files"] = [exact]
     out = outfile or f"{digits}.parquet"
     return prepare_cubes(spark, landing_src, destination=lambda pid: out, work=f"{work}/etl", **kw)

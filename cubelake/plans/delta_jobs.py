@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cubelake.operators.merge import merge_values
+from cubelake.operators.merge import latest_per_key, merge_values
 from cubelake.plans.layout import split_by_key, write_copy
 from cubelake.session import folder_parallel_writes, scratch_dir
 from cubelake.sources.archives import unzip_to_landing
@@ -48,6 +49,11 @@ def merge_delta_frames(
     return merge_values(original, delta, keys=keys, value="value", insert_new=insert_new)
 
 
+def product_keys(keys: Sequence[str], product: str = "productId") -> list[str]:
+    """The key of a store row: a product's folder is merged with that product's delta rows only."""
+    return [product, *(k for k in keys if k != product)]
+
+
 def merge_into_store(
     spark: SparkSession,
     store: str,
@@ -56,33 +62,37 @@ def merge_into_store(
     insert_new: bool = False,
     product: str = "productId",
     work: str | None = None,
-) -> list[int]:
+) -> None:
     """Merge a delta into a ``productId=``-partitioned store, in place.
 
-    Only the products that occur in the delta are read (partition pruning)
-    and rewritten; every other product folder is left untouched:
+    The product is part of the key: a series stored under one product is not
+    touched by a delta row that names another. Only the products that occur
+    in the delta are read (the semi join prunes the store's folders at run
+    time) and rewritten; every other product folder is left untouched:
 
-    1. the merged rows of the touched products are written to a flat staging
+    1. the delta's winners per key are written once, as both the semi join
+       and the merge read them;
+    2. the merged rows of the touched products are written to a flat staging
        table (this also cuts the lineage to the store being replaced);
-    2. the staged rows are written into the store with dynamic partition
+    3. the staged rows are written into the store with dynamic partition
        overwrite, so Spark's commit swaps exactly the touched product folders.
 
-    If the job dies in step 2, ``apply_staged(spark, staging, store)`` redoes
-    it from the staged copy. Series keys never cross products (a vector
-    belongs to one product), so merging product by product gives the same
-    result as merging the whole store. Returns the touched product ids.
+    If the job dies in step 3, ``apply_staged(spark, staging, store)`` redoes
+    it from the staged copy.
     """
-    from pyspark.sql import functions as F
-
-    touched = sorted(int(r[0]) for r in delta.select(product).distinct().collect())
-    if not touched:
-        return []
-    stored = spark.read.parquet(store).where(F.col(product).isin(touched))
-    merged = merge_values(stored, delta, keys=keys, value="value", insert_new=insert_new)
-    staging = f"{work or scratch_dir(spark, 'merge-store')}/staged"
+    work = work or scratch_dir(spark, "merge-store")
+    keyed = product_keys(keys, product)
+    stored = spark.read.parquet(store)
+    shared = [c for c in stored.columns if c in delta.columns and c not in keyed] if insert_new else []
+    latest_per_key(delta, keyed, "value", carry=shared).write.mode("overwrite").parquet(f"{work}/delta")
+    winners = spark.read.parquet(f"{work}/delta")
+    # The comparison is always true; it lets the planner take the product list as a filter worth pruning with.
+    touched = winners.select(F.col(product).cast(stored.schema[product].dataType)).distinct()
+    touched = touched.where(F.col(product) > F.lit(-(1 << 31)))
+    merged = merge_values(stored.join(touched, product, "left_semi"), winners, keyed, "value", insert_new)
+    staging = f"{work}/staged"
     merged.write.mode("overwrite").parquet(staging)  # flat: a few files, not a folder per product
     apply_staged(spark, staging, store, product)
-    return touched
 
 
 def apply_staged(spark: SparkSession, staging: str, store: str, product: str = "productId") -> None:

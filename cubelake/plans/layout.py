@@ -55,10 +55,13 @@ def publish(spark: SparkSession, staged: str, destination: str) -> None:
     then the old one deleted; if the move in fails the old folder is put
     back. Readers see no folder only between the two renames, and a crash at
     any point leaves either the old or the new data (plus, at worst, a
-    hidden ``_replaced-*`` folder to clean up).
+    hidden ``_replaced-*`` folder to clean up). A folder staged on another
+    file system is first copied next to the destination.
     """
     import uuid
 
+    if not fs.same_store(spark, staged, destination):
+        staged = _incoming(spark, staged, destination)
     backup = None
     if fs.exists(spark, destination):
         parent, _, name = destination.rstrip("/").rpartition("/")
@@ -74,25 +77,31 @@ def publish(spark: SparkSession, staged: str, destination: str) -> None:
         fs.delete(spark, backup)
 
 
-def write_size_adaptive(
-    spark: SparkSession,
-    df: DataFrame,
-    destination: str,
-    staging: str,
-    threshold: int = S.FLAT_LAYOUT_THRESHOLD_BYTES,
-) -> str:
-    """One cube: stage it flat once, measure, then keep it flat (< threshold)
-    or rewrite the staged parquet into ``year=`` folders. Returns the layout.
+def copy_tree(spark: SparkSession, source: str, target: str) -> None:
+    """Copy every file under ``source`` to the same place under ``target``, on any two file systems.
 
-    The CSV is parsed once; the size is measured on the flat form.
+    One listing and one job: each task streams its files.
     """
-    flat = f"{staging.rstrip('/')}/flat"
-    df.write.mode("overwrite").parquet(flat)
-    size = fs.size_of(spark, flat)
-    if size < threshold:
-        publish(spark, flat, destination)
-        return "flat"
-    part = f"{staging.rstrip('/')}/partitioned"
-    write_year_partitioned(spark.read.parquet(flat), part)
-    publish(spark, part, destination)
-    return "partitioned"
+    from cubelake.session import ship_package
+    from cubelake.sources.archives import copy_files
+    from cubelake.sources.cube_csv import list_files
+
+    ship_package(spark)
+    root = fs.qualify(spark, source).rstrip("/")
+    fs.mkdirs(spark, target)
+    files = list_files(spark, root, "*").select("path")
+    files.mapInPandas(copy_files(root, fs.qualify(spark, target).rstrip("/")), "path string").count()
+
+
+def push(spark: SparkSession, source: str, destination: str) -> None:
+    """Publish a copy of ``source``; the source stays as it is."""
+    publish(spark, _incoming(spark, source, destination), destination)
+
+
+def _incoming(spark: SparkSession, source: str, destination: str) -> str:
+    import uuid
+
+    parent, _, name = destination.rstrip("/").rpartition("/")
+    hidden = f"{parent}/_incoming-{name}-{uuid.uuid4().hex[:8]}"
+    copy_tree(spark, source, hidden)
+    return hidden

@@ -17,6 +17,7 @@ from cubelake.operators.freshness import latest_release, refresh_plan
 from cubelake.plans.cube_etl import STATUS_SCHEMA, prepare_cubes
 from cubelake.session import scratch_dir
 from cubelake.sources.archives import unzip_to_landing
+from cubelake.sources.cube_csv import CSV_GLOB
 from cubelake.sources.catalog import read_catalog, read_changed
 from cubelake.sources.registry import append_registry, read_registry
 
@@ -28,10 +29,11 @@ def plan_refresh(
     start_from: int = 0,
     max_products: int = 0,
     skip: Iterable[int] = (),
+    multi_line: bool = False,
 ) -> DataFrame:
     """Cubes missing from, or newer than, the registry (the diff-based refresh)."""
     return refresh_plan(
-        read_catalog(spark, catalog_path),
+        read_catalog(spark, catalog_path, multi_line=multi_line),
         read_registry(spark, registry_path),
         start_from=start_from,
         max_products=max_products,
@@ -90,23 +92,25 @@ def refresh(
 
     unzipped = f"{work}/unzipped"
     zip_status = unzip_to_landing(spark, landing, unzipped, rule="digits", only=sorted(planned)).collect()
-    failed_zip = {}
+    failed_zip: dict[int, str] = {}
+    landed: set[int] = set()
     for z in zip_status:
-        if not z["ok"]:
-            digits = "".join(ch for ch in z["archive"].rsplit("/", 1)[-1] if ch.isdigit())
-            if digits:
-                failed_zip[int(digits)] = z["reason"]
-
-    from cubelake import fs
+        digits = "".join(ch for ch in z["archive"].rsplit("/", 1)[-1] if ch.isdigit())
+        if digits and z["ok"]:
+            landed.add(int(digits))
+        elif digits:
+            failed_zip[int(digits)] = z["reason"]
+    landed -= failed_zip.keys()  # two archives of one cube, one of them damaged: the cube fails
 
     status = None
-    if fs.exists(spark, unzipped):
+    if landed:
         zopts = {k: v for k, v in prepare_options.items() if k != "glob"}
-        status = prepare_cubes(spark, unzipped, lake, only=planned.keys(), work=f"{work}/etl", **zopts)
-    glob = prepare_options.get("glob", "*.csv")
+        status = prepare_cubes(spark, unzipped, lake, only=landed, work=f"{work}/etl", **zopts)
+    glob = prepare_options.get("glob", CSV_GLOB)
     plain = None
     if _has_files(spark, landing, glob):
-        rest = set(planned) - _ok_ids(status)
+        # a cube whose archive is damaged is not made from something else
+        rest = set(planned) - _ok_ids(status) - failed_zip.keys()
         plain = prepare_cubes(spark, landing, lake, only=rest, work=f"{work}/etl-csv", **prepare_options)
 
     rows = {}

@@ -317,11 +317,11 @@ def catalog_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two appended registry batches; the latest row per product wins."""
+    """Three appended registry batches, one per order status; the latest row per product wins."""
     _prep(spark)
     orders = table(spark, sf_dir, "orders")
     path = f"{scratch_dir(spark, 'registry')}/products"
-    for status, when in (("F", "2024-01-01 00:00:00"), ("O", "2024-02-01 00:00:00")):
+    for status, when in (("F", "2024-01-01 00:00:00"), ("O", "2024-02-01 00:00:00"), ("P", "2024-03-01 00:00:00")):
         batch = orders.where(F.col("o_orderstatus") == status).select(
             F.col("o_custkey").alias("product_id"), F.col("o_orderdate").cast("timestamp").alias("release_time")
         )

@@ -96,25 +96,6 @@ DELTA_FILE_DATE_FORMAT = "yyyyMMdd"
 DELTA_SCHEMA = T.StructType([T.StructField(n, t, True) for n, t in DELTA_COLUMNS])
 DELTA_NAMES = [n for n, _ in DELTA_COLUMNS]
 
-# Catalog record: only productId and releaseTime are used; the rest is kept
-# loosely typed so unknown catalogs still parse.
-CATALOG_SOURCE_SCHEMA = T.StructType(
-    [
-        T.StructField("productId", T.LongType()),
-        T.StructField("cansimId", T.StringType()),
-        T.StructField("cubeTitleEn", T.StringType()),
-        T.StructField("cubeTitleFr", T.StringType()),
-        T.StructField("cubeStartDate", T.StringType()),
-        T.StructField("cubeEndDate", T.StringType()),
-        T.StructField("releaseTime", T.StringType()),
-        T.StructField("archived", T.StringType()),
-        T.StructField("subjectCode", T.ArrayType(T.StringType())),
-        T.StructField("surveyCode", T.ArrayType(T.StringType())),
-        T.StructField("frequencyCode", T.IntegerType()),
-        T.StructField("corrections", T.ArrayType(T.StringType())),
-    ]
-)
-
 CATALOG_SCHEMA = T.StructType(
     [
         T.StructField("product_id", T.LongType(), False),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import threading
 import uuid
@@ -66,13 +67,16 @@ def get_spark(master: str | None = None, app: str = "cubelake", **conf: str) ->
 def shared_root(spark: SparkSession) -> str:
     """The cluster-wide folder for lineage cuts and scratch tables.
 
-    Read from ``spark.checkpoint.dir``. Only when the session has none (a
-    local test) do we create one and register it.
+    Read from ``spark.checkpoint.dir``. A local session without one gets a
+    temporary folder; on a cluster, where every machine would have its own,
+    that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="cubelake-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
@@ -84,20 +88,7 @@ def scratch_dir(spark: SparkSession, label: str = "run") -> str:
     return f"{shared_root(spark)}/cubelake-scratch/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python can open a local path."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
-def join(*parts: str) -> str:
-    return "/".join(p.rstrip("/") if i == 0 else p.strip("/") for i, p in enumerate(parts))
-
-
-__all__ = ["get_spark", "shared_root", "scratch_dir", "local_path", "join", "ship_package", "tune_session"]
+__all__ = ["get_spark", "shared_root", "scratch_dir", "ship_package", "tune_session"]
 
 
 _SHIPPED: set[str] = set()
@@ -106,8 +97,8 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make ``cubelake`` importable in Python workers (once per context).
 
-    The package is zipped into the shared root and added with ``addPyFile``,
-    which is how executors on a cluster receive it too.
+    The package is zipped and added with ``addPyFile``, so the driver hands
+    it to every executor.
     """
     import hashlib
     import pathlib

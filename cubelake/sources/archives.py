@@ -1,7 +1,8 @@
 """Zip landing: one distributed job unpacks archives into a landing folder.
 
-Each task opens its archives and streams the wanted member straight to the
-landing folder (no whole-file rows, no driver copy). The file listing is a
+Each task opens its archives and streams the wanted member into the landing
+folder (no whole-file rows, no driver copy) under a hidden name; only a member
+read to its end, with a right checksum, gets its own name. The file listing is a
 ``binaryFile`` scan without content, which packs small archives together and
 gives large ones their own task.
 """
@@ -10,13 +11,15 @@ from __future__ import annotations
 
 import re
 import shutil
+import uuid
 import zipfile
+import zlib
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cubelake.sources.cube_csv import _open_random_access
+from cubelake.sources.cube_csv import _filesystem, _open_random_access
 
 
 def member_for(zip_name: str, rule: str) -> str:
@@ -33,16 +36,29 @@ def member_for(zip_name: str, rule: str) -> str:
     raise ValueError(rule)
 
 
-def _open_output(path: str):
-    from cubelake.sources.cube_csv import _filesystem
-
-    filesystem, inner = _filesystem(path)
-    parent = inner.rsplit("/", 1)[0]
+def _land(source, target: str) -> None:
+    """Copy a stream to ``target``, which appears only when the stream has ended well."""
+    filesystem, inner = _filesystem(target)
+    parent, _, name = inner.rpartition("/")
     filesystem.create_dir(parent, recursive=True)
-    return filesystem.open_output_stream(inner)
+    # Spark's listings pass over names that start with a dot.
+    hidden = f"{parent}/.{name}.{uuid.uuid4().hex}.part"
+    try:
+        with filesystem.open_output_stream(hidden) as out:
+            shutil.copyfileobj(source, out, 1 << 20)
+        filesystem.move(hidden, inner)
+    except BaseException:
+        if filesystem.get_file_info(hidden).is_file:
+            filesystem.delete_file(hidden)
+        raise
+
+
+def _is_there(path: str) -> bool:
+    filesystem, inner = _filesystem(path)
+    return filesystem.get_file_info(inner).is_file
 
 
-def _unzip_udf(landing: str, rule: str):
+def _unzip_udf(landing: str, rule: str, skip_landed: bool = False):
     def run(batches):
         import pyarrow as pa
 
@@ -50,21 +66,22 @@ def _unzip_udf(landing: str, rule: str):
             rows = []
             for path in pdf["path"]:
                 name = path.rsplit("/", 1)[-1]
-                if not name.lower().endswith(".zip"):
-                    rows.append((path, None, path, True, None))  # plain file passes through
-                    continue
                 member = member_for(name, rule)
                 target = f"{landing.rstrip('/')}/{member}"
                 try:
+                    if skip_landed and _is_there(target):
+                        rows.append((path, member, target, True, None))
+                        continue
                     # the archive is read in place through a seekable handle and
                     # the member streamed out in 1 MiB pieces
                     with _open_random_access(path) as raw, zipfile.ZipFile(raw) as archive:
-                        with archive.open(member) as src, _open_output(target) as dst:
-                            shutil.copyfileobj(src, dst, 1 << 20)
+                        with archive.open(member) as src:
+                            _land(src, target)
                     rows.append((path, member, target, True, None))
-                except (zipfile.BadZipFile, pa.ArrowInvalid):
-                    # too short or no central directory (pyarrow refuses the
-                    # seek zipfile uses to find the end record)
+                except (zipfile.BadZipFile, pa.ArrowInvalid, zlib.error, EOFError, NotImplementedError, RuntimeError):
+                    # wrong checksum, damaged or encrypted member, too short or
+                    # no central directory (pyarrow refuses the seek zipfile
+                    # uses to find the end record)
                     rows.append((path, member, None, False, "bad zip"))
                 except KeyError:
                     rows.append((path, member, None, False, "member missing"))
@@ -73,6 +90,19 @@ def _unzip_udf(landing: str, rule: str):
     return run
 
 
+def copy_files(root: str, target: str):
+    """For ``mapInPandas`` over file paths: each file under ``root`` to its place under ``target``."""
+
+    def run(batches):
+        for pdf in batches:
+            for path in pdf["path"]:
+                with _open_random_access(path) as source:
+                    _land(source, target + path[len(root):])
+            yield pdf
+
+    return run
+
+
 UNZIP_SCHEMA = "archive string, member string, landed string, ok boolean, reason string"
 
 
@@ -82,10 +112,12 @@ def unzip_to_landing(
     landing: str,
     rule: str = "digits",
     only: list[int] | None = None,
+    skip_landed: bool = False,
 ) -> DataFrame:
     """Unpack every ``*.zip`` under ``source`` into ``landing``.
 
-    ``only`` keeps archives whose name's digits are one of these product ids.
+    ``only`` keeps archives whose name's digits are one of these product ids;
+    ``skip_landed`` leaves archives alone whose member is there already.
     Returns one status row per archive (lazy; collect it to run the job).
     """
     files = (
@@ -102,7 +134,7 @@ def unzip_to_landing(
     from cubelake.session import ship_package
 
     ship_package(files.sparkSession)
-    return files.mapInPandas(_unzip_udf(landing, rule), UNZIP_SCHEMA)
+    return files.mapInPandas(_unzip_udf(landing, rule, skip_landed), UNZIP_SCHEMA)
 
 
 def read_envelopes(spark: SparkSession, path: str | list[str]) -> DataFrame:

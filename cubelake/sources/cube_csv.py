@@ -13,8 +13,9 @@ from __future__ import annotations
 
 import csv
 import io
-import itertools
 import re
+import sys
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,10 +26,11 @@ from cubelake import fs
 from cubelake.functions.columns import digits_only
 
 CORRUPT = "_corrupt_record"
-_MAX_HEADER_BYTES = 1 << 20
+#: CSV files, whatever the case of their ending.
+CSV_GLOB = "*.[cC][sS][vV]"
 
 
-def list_files(spark: SparkSession, root: str | list[str], glob: str = "*.csv") -> DataFrame:
+def list_files(spark: SparkSession, root: str | list[str], glob: str = CSV_GLOB) -> DataFrame:
     """Every file matching ``glob`` under ``root`` (recursive); no content read."""
     return (
         spark.read.format("binaryFile")
@@ -47,38 +49,44 @@ def cube_key(path: Column | str, root: str) -> Column:
     return F.when(F.length(d) > 0, d.cast("bigint"))
 
 
+def plain_path(encoded: Column) -> Column:
+    """A file path as listed (``binaryFile.path``) from the URL-encoded form of ``_metadata.file_path``."""
+    return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+
+
 def strip_junk_prefix(line: str) -> str:
     """Drop the non-ASCII characters that sometimes precede the header."""
-    start = 0
-    while start < len(line) and ord(line[start]) >= 128:
-        start += 1
-    return line[start:]
+    return re.sub(r"^[^\x00-\x7f]+", "", line)
 
 
 def unique_names(names: list[str]) -> list[str]:
-    """Rename repeats: the n-th repeat of ``X`` becomes the first free ``X.k``."""
-    taken: set[str] = set()
-    result = []
-    for name in names:
-        candidate = name
-        suffix = itertools.count(1)
-        while candidate in taken:
-            candidate = f"{name}.{next(suffix)}"
-        taken.add(candidate)
-        result.append(candidate)
-    return result
+    """Column names made distinct; a repeat of ``X`` becomes ``X.1``, ``X.2``, ... skipping names in use."""
+    used: dict[str, int] = {}  # name -> last number tried for its repeats
+
+    def claim(name: str) -> str:
+        if name in used:
+            base, number = name, used[name]
+            while name in used:
+                number += 1
+                name = f"{base}.{number}"
+            used[base] = number
+        used[name] = 0
+        return name
+
+    return [claim(name) for name in names]
 
 
 def parse_header(first_line: str) -> list[str]:
+    csv.field_size_limit(sys.maxsize)  # a field may be as long as the line
     row = next(csv.reader(io.StringIO(strip_junk_prefix(first_line))), [])
     return unique_names(row)
 
 
 def _filesystem(path: str):
-    """pyarrow file system + inner path for a Hadoop-style path or URI."""
+    """pyarrow file system + inner path for a Hadoop path (not URL-encoded)."""
     import pyarrow.fs as pafs
 
-    uri = path
+    uri = quote(path, safe="/:@=,+~!$&'()*;")
     if uri.startswith("file:") and not uri.startswith("file://"):
         uri = "file://" + uri[len("file:"):]
     if "://" not in uri:
@@ -102,10 +110,7 @@ def _open_random_access(path: str):
 def _first_line(path: str) -> str:
     buf = bytearray()
     with _open_input(path) as stream:
-        while len(buf) < _MAX_HEADER_BYTES:
-            chunk = stream.read(64 * 1024)
-            if not chunk:
-                break
+        while chunk := stream.read(64 * 1024):
             buf.extend(chunk)
             if b"\n" in chunk:
                 break
@@ -149,15 +154,23 @@ def read_headers_spark(spark: SparkSession, paths: list[str]) -> DataFrame:
     """
     lines = spark.read.text(paths).select(
         "value",
-        F.col("_metadata.file_path").alias("path"),
+        plain_path(F.col("_metadata.file_path")).alias("path"),
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("pos"),
     )
     return lines.where(F.col("start") == 0).groupBy("path").agg(F.min_by("value", "pos").alias("line"))
 
 
-def headers_from_lines(rows) -> dict[str, list[str]]:
-    return {r["path"]: parse_header(r["line"] or "") for r in rows}
+def headers_from_lines(rows) -> dict[str, tuple[list[str] | None, str | None]]:
+    """Per path its names, or why it has none; one bad line is that file's failure only."""
+    out: dict[str, tuple[list[str] | None, str | None]] = {}
+    for r in rows:
+        try:
+            names = parse_header(r["line"] or "")
+            out[r["path"]] = (names or None, None if names else "empty file")
+        except Exception as exc:
+            out[r["path"]] = (None, f"unreadable: {type(exc).__name__}")
+    return out
 
 
 def text_schema(names: list[str]) -> T.StructType:
@@ -179,8 +192,10 @@ def read_cube_text(spark: SparkSession, paths: list[str], names: list[str]) -> D
         .option("encoding", "UTF-8")
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("maxColumns", max(20480, len(names) + 1))
+        .option("maxCharsPerColumn", -1)
         .csv(paths)
-        .withColumn("_path", F.col("_metadata.file_path"))
+        .withColumn("_path", plain_path(F.col("_metadata.file_path")))
     )
 
 

@@ -7,7 +7,47 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cubelake import schemas as S
-from cubelake.functions.columns import blank_if_null, in_uint8_range
+from cubelake.functions.columns import blank_if_null, in_uint8_range, is_null_spelling
+from cubelake.functions.typing import cast_text, guard
+
+
+#: The file as it is read: every column as text.
+DELTA_TEXT_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in S.DELTA_NAMES])
+
+#: Reader options shared by the batch and the stream.
+DELTA_OPTIONS = {
+    "header": "true",
+    "enforceSchema": "true",
+    "escape": '"',
+    "encoding": "UTF-8",
+    "mode": "FAILFAST",
+    "maxCharsPerColumn": "-1",
+}
+
+
+def type_delta(text: DataFrame, check_uint8: bool = True, blank_strings: bool = True) -> DataFrame:
+    """Delta columns from their text, strictly.
+
+    A null spelling is null in a number column and text in a text column.
+    Text that is no literal of the column's type, or an unsigned 8-bit value
+    out of range, raises when the data is read; no extra pass is made.
+    """
+    cols = []
+    for field in S.DELTA_SCHEMA.fields:
+        c = F.col(field.name)
+        if isinstance(field.dataType, T.StringType):
+            cols.append((blank_if_null(c) if blank_strings else c).alias(field.name))
+            continue
+        kind = "double" if isinstance(field.dataType, T.DoubleType) else "bigint"
+        value = cast_text(c, kind)
+        valid = is_null_spelling(c) | F.coalesce(guard(c, kind), F.lit(False))
+        wrong = F.raise_error(F.concat(F.lit(f"{field.name} not a valid value: "), c)).cast(kind)
+        typed = F.when(~valid, wrong)
+        if check_uint8 and field.name in S.UINT8_COLUMNS:
+            beyond = F.raise_error(F.concat(F.lit(f"{field.name} out of uint8 range: "), c)).cast(kind)
+            typed = typed.when(~in_uint8_range(value), beyond)
+        cols.append(typed.otherwise(value).cast(field.dataType).alias(field.name))
+    return text.select(*cols)
 
 
 def read_delta(
@@ -18,29 +58,8 @@ def read_delta(
 ) -> DataFrame:
     """Read delta CSVs; the header line is skipped and names go by position.
 
-    Malformed rows fail the read (as in the source). Unsigned 8-bit columns
-    are range checked lazily: a bad value raises when the data is read, no
-    extra pass is made. ``blank_strings`` keeps empty text as ``''``.
+    Malformed rows fail the read (as in the source); values are typed by
+    ``type_delta``. ``blank_strings`` keeps empty text as ``''``.
     """
-    df = (
-        spark.read.schema(S.DELTA_SCHEMA)
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("escape", '"')
-        .option("encoding", "UTF-8")
-        .option("mode", "FAILFAST")
-        .csv(path)
-    )
-    cols = []
-    for field in S.DELTA_SCHEMA.fields:
-        c = F.col(field.name)
-        if check_uint8 and field.name in S.UINT8_COLUMNS:
-            c = F.when(
-                in_uint8_range(c), c
-            ).otherwise(F.raise_error(F.concat(F.lit(f"{field.name} out of uint8 range: "), c.cast("string")))).cast(
-                field.dataType
-            )
-        elif blank_strings and isinstance(field.dataType, T.StringType):
-            c = blank_if_null(c)
-        cols.append(c.alias(field.name))
-    return df.select(*cols)
+    text = spark.read.schema(DELTA_TEXT_SCHEMA).options(**DELTA_OPTIONS).csv(path)
+    return type_delta(text, check_uint8, blank_strings)

@@ -6,7 +6,9 @@ with the fixed delta schema and appended to a delta store split by
 landed file count exactly once, across restarts and lost executors. The
 current table is then "stored table merged with every delta so far"
 (merge on read): the winner rule is deterministic, so the result does not
-depend on how files were grouped into micro-batches.
+depend on how files were grouped into micro-batches. ``ingest_and_merge``
+merges on write instead, with the same result. Daily ``.zip`` files are
+unpacked where they landed before the stream starts.
 """
 
 from __future__ import annotations
@@ -15,33 +17,50 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from cubelake import fs
 from cubelake import schemas as S
-from cubelake.functions.columns import blank_if_null, in_uint8_range
-from cubelake.operators.merge import merge_values
-
-
-def delta_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = (
-        spark.readStream.schema(S.DELTA_SCHEMA)
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("escape", '"')
-        .option("mode", "FAILFAST")
-        .option("pathGlobFilter", "*.csv")
-    )
+from cubelake.operators.merge import WINNER_ORDER, latest_per_key, merge_values
+from cubelake.session import folder_parallel_writes
+from cubelake.sources.cube_csv import CSV_GLOB
+from cubelake.sources.delta_csv import DELTA_OPTIONS, DELTA_TEXT_SCHEMA, type_delta
+
+
+#: Landed files a micro-batch takes at most, so a first run over a long backlog stays bounded.
+FILES_PER_BATCH = 500
+
+
+def land_archives(spark: SparkSession, landing: str) -> list:
+    """Unpack daily ``.zip`` files beside themselves; those whose CSV is already there are left alone.
+
+    A member appears only when it is whole, so the stream never sees part of
+    one. Returns the status rows of the archives that could not be unpacked.
+    """
+    from cubelake.sources.archives import unzip_to_landing
+
+    bad = []
+    for folder in landed_folders(spark, landing):
+        status = unzip_to_landing(spark, folder, folder, rule="stem", skip_landed=True)
+        bad += status.where("NOT ok").collect()
+    return bad
+
+
+def landed_folders(spark: SparkSession, landing: str) -> list[str]:
+    """The folders that a landing path or glob stands for and that hold archives (one row per folder)."""
+    from cubelake.sources.cube_csv import list_files
+
+    archives = list_files(spark, landing, "*.[zZ][iI][pP]")
+    folder = F.regexp_extract("path", r"^(.*)/[^/]+$", 1)
+    return [r[0] for r in archives.select(folder).distinct().collect()]
+
+
+def delta_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = FILES_PER_BATCH) -> DataFrame:
+    """Landed delta files (``.csv`` in either case) as typed rows."""
+    reader = spark.readStream.schema(DELTA_TEXT_SCHEMA).options(**DELTA_OPTIONS).option("pathGlobFilter", CSV_GLOB)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    df = reader.csv(landing)
-    cols = []
-    for f in S.DELTA_SCHEMA.fields:
-        c = F.col(f.name)
-        if f.name in S.UINT8_COLUMNS:
-            c = F.when(in_uint8_range(c), c).otherwise(F.raise_error(F.lit(f"{f.name} out of uint8 range"))).cast(f.dataType)
-        elif f.dataType == S.DELTA_SCHEMA["coordinate"].dataType:
-            c = blank_if_null(c)
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+    return type_delta(reader.csv(landing))
 
 
 def ingest_deltas(
@@ -49,17 +68,17 @@ def ingest_deltas(
     landing: str,
     store: str,
     checkpoint: str,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = FILES_PER_BATCH,
     wait: bool = True,
 ):
-    """Process every delta file landed so far (``availableNow``) into ``store``."""
-    # Micro-batches are bounded by maxFilesPerTrigger; hashing them on the
-    # product keeps one file per product per batch instead of one per input
-    # file and product.
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """Process every delta file landed so far (``availableNow``) into ``store``.
+
+    Rows are written by the tasks that read them: a hot product never meets
+    in one task, at the price of one file per product and input split.
+    """
+    land_archives(spark, landing)
     query = (
         delta_stream(spark, landing, max_files_per_trigger)
-        .repartition(width, "productId")
         .writeStream.format("parquet")
         .option("path", store)
         .option("checkpointLocation", checkpoint)
@@ -91,29 +110,49 @@ def ingest_and_merge(
     checkpoint: str,
     keys: Sequence[str] = ("vectorId",),
     insert_new: bool = False,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = FILES_PER_BATCH,
     wait: bool = True,
 ):
     """Merge on write: each micro-batch of landed delta files is merged into a
     ``productId=``-partitioned store (only the products it touches are
     rewritten).
 
-    A replayed batch (after a failure, same batch id) merges the same rows
-    again and leaves the same store: the winner per key does not depend on
-    the stored value. Batches are applied in arrival order; use
-    ``max_files_per_trigger=1`` when later files must override earlier ones
-    for the same key.
+    The winning delta row of every key so far, with the columns that rank it,
+    is kept beside the checkpoint. A batch competes with those, so the store
+    ends the same however files were grouped and in whatever order they came.
+    A replayed batch (after a failure, same batch id) finds the same winners
+    and leaves the same store.
     """
-    from cubelake.plans.delta_jobs import merge_into_store
+    from cubelake.plans.delta_jobs import merge_into_store, product_keys
+
+    land_archives(spark, landing)
+    winners = f"{checkpoint}/winners"
+    keyed = product_keys(keys)
+    fields = [f for f in S.DELTA_SCHEMA.fields if f.name in {*keyed, *WINNER_ORDER, "value"} or insert_new]
+    schema = T.StructType(fields)
 
     def apply(batch, batch_id):
-        batch = batch.persist()
-        try:
-            merge_into_store(
-                spark, store, batch, keys=keys, insert_new=insert_new, work=f"{checkpoint}/merge-work/{batch_id}"
+        work = f"{checkpoint}/merge-work/{batch_id}"
+        rows = batch.select(*schema.names)
+        if fs.exists(spark, winners):
+            before = spark.read.schema(schema).parquet(winners)
+            products = rows.select("productId").distinct()
+            rows = rows.unionByName(before.join(products, "productId", "left_semi"))
+        carry = [n for n in schema.names if n not in {*keyed, *WINNER_ORDER, "value"}]
+        best = latest_per_key(rows, keyed, "value", carry=carry).select(*schema.names)
+        # Written once: the merge and the new winners both read it.
+        best.write.mode("overwrite").parquet(f"{work}/winners")
+        best = spark.read.schema(schema).parquet(f"{work}/winners")
+        merge_into_store(spark, store, best, keys=keys, insert_new=insert_new, work=work)
+        with folder_parallel_writes(spark):
+            (
+                best.hint("rebalance", "productId")
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("productId")
+                .parquet(winners)
             )
-        finally:
-            batch.unpersist()
+        fs.delete(spark, work)
 
     query = (
         delta_stream(spark, landing, max_files_per_trigger)

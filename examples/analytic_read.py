@@ -1,9 +1,9 @@
 """Analytic read of a published cube with partition pruning.
 
-    python examples/analytic_read.py LAKE PRODUCT_ID
+    python examples/analytic_read.py LAKE PRODUCT_ID "GEO = 'Yukon' AND year = 2010"
 
-Filters on GEO and Sex go to the parquet scan (PushedFilters), the year
-filter prunes folders (PartitionFilters).
+Conditions on stored columns go to the parquet scan (PushedFilters), those on
+the year prune folders (PartitionFilters).
 """
 
 import os
@@ -15,20 +15,13 @@ from cubelake import get_spark
 from cubelake.sources.lake import register_cube
 
 
-def main(lake: str, product_id: int) -> None:
+def main(lake: str, product_id: int, condition: str) -> None:
     spark = get_spark()
     register_cube(spark, lake, product_id, "cube")
-    df = spark.sql(
-        """
-        SELECT * FROM cube
-        WHERE GEO IN ('Nova Scotia', 'Ontario', 'Quebec')
-          AND Sex <> 'Both sexes'
-          AND year > 2000
-        """
-    )
+    df = spark.table("cube").where(condition)
     df.explain("formatted")
     df.show(20, truncate=False)
 
 
 if __name__ == "__main__":
-    main(sys.argv[1], int(sys.argv[2]))
+    main(sys.argv[1], int(sys.argv[2]), sys.argv[3])

@@ -27,8 +27,6 @@ def _plan(df) -> str:
 
 
 def main() -> None:
-    from pyspark.sql import functions as F
-
     from cubelake import derive
     from cubelake import registered as R
     from cubelake.operators.inference import positional_aggregates, positional_names
@@ -61,16 +59,14 @@ def main() -> None:
     cubes = derive.landed(spark, sf, "part_cubes")
     root = qualified_root(spark, cubes)
     heads = read_headers(list_files(spark, cubes, "*.txt").select("path")).collect()
-    widths = {}
-    for h in heads:
-        widths[spark.range(1).select(cube_key(F.lit(h.path), root)).first()[0]] = len(h.names)
-    width = max(widths.values())
-    text = read_cube_text(spark, [h.path for h in heads], positional_names(width)).withColumn(
+    width = max(len(h.names) for h in heads)
+    widest = [h for h in heads if len(h.names) == width]
+    text = read_cube_text(spark, [h.path for h in widest], positional_names(width)).withColumn(
         "product_id", cube_key("_path", root)
     )
-    add("cube ETL type inference",
-        "One aggregate pass for all cubes and headers: partial per task, one row per cube.",
-        positional_aggregates(text, width, widths))
+    add("cube ETL type inference (one header width)",
+        "One aggregate pass for all cubes of that width: partial per task, one row per cube.",
+        positional_aggregates(text, [list(n) for n in sorted({tuple(h.names) for h in widest})]))
     print("\n".join(out))
     spark.stop()
 

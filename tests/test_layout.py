@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from cubelake.operators.stats import dataset_sizes, distinct_keys, status_counts
 from cubelake.plans.cube_etl import prepare_cubes
-from cubelake.plans.layout import split_by_key, write_copy, write_size_adaptive
+from cubelake.plans.layout import push, split_by_key, write_copy
 from cubelake.sources.archives import unzip_to_landing
 from cubelake.sources.cube_csv import headers_from_lines, list_files, read_headers, read_headers_spark
 from cubelake.sources.lake import read_cubes, read_path
@@ -43,16 +43,6 @@ def test_sizes_and_counts(spark, tmp_dir):
     assert (r.succeeded, r.planned) == (2, 3)
 
 
-def test_write_size_adaptive_single(spark, tmp_dir):
-    df = _df(spark)
-    small = os.path.join(tmp_dir, "small.parquet")
-    assert write_size_adaptive(spark, df, small, os.path.join(tmp_dir, "s1")) == "flat"
-    big = os.path.join(tmp_dir, "big.parquet")
-    assert write_size_adaptive(spark, df, big, os.path.join(tmp_dir, "s2"), threshold=1) == "partitioned"
-    assert os.path.isdir(os.path.join(big, "year=2000"))
-    assert spark.read.parquet(big).count() == 3
-
-
 def test_path_literal_reads(spark, tmp_dir):
     p = os.path.join(tmp_dir, "t.parquet")
     write_copy(_df(spark), p)
@@ -72,7 +62,7 @@ def test_header_fallback_matches(spark, tmp_dir):
         f.write("REF_DATE,GEO\n")
     files = list_files(spark, land)
     py = {r.path: list(r.names) for r in read_headers(files).collect()}
-    sp = headers_from_lines(read_headers_spark(spark, sorted(py)).collect())
+    sp = {p: names for p, (names, _) in headers_from_lines(read_headers_spark(spark, sorted(py)).collect()).items()}
     assert py == sp
     assert sorted(py.values()) == [["REF_DATE", "GEO"], ["REF_DATE", "Symbol", "Symbol.1"]]
 
@@ -161,3 +151,13 @@ def test_folder_parallel_writes_restores_setting(spark):
     with ThreadPoolExecutor(4) as pool:
         list(pool.map(work, range(16)))
     assert spark.conf.get(key) == before
+
+
+def test_push_copies(spark, tmp_dir):
+    source, lake = os.path.join(tmp_dir, "7.parquet"), os.path.join(tmp_dir, "lake dir")
+    spark.range(5).selectExpr("id", "id % 2 AS year").write.partitionBy("year").parquet(source)
+    for _ in range(2):  # the second replaces the first
+        push(spark, source, f"{lake}/7.parquet")
+    assert spark.read.parquet(source).count() == 5
+    assert spark.read.parquet(f"{lake}/7.parquet").where("year = 1").count() == 2
+    assert os.listdir(lake) == ["7.parquet"]
