@@ -26,9 +26,19 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Make this package importable in Python workers."""
+    """Make this package importable in Python workers, and bound what is sent to them at once.
+
+    Rows here are whole texts. Spark's default of 10,000 of them a batch is
+    held several times over (in the JVM, as Arrow, in Python); 512 keep that
+    small. A number that the session has set itself stays.
+    """
     ship_package(spark)
+    if spark.conf.get(_ARROW_ROWS) == "10000":
+        spark.conf.set(_ARROW_ROWS, "512")
 
 
 def text_remainder(doc_id: Column, n: int) -> Column:

@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterable
 from dataclasses import dataclass
-from itertools import chain, pairwise
+from itertools import pairwise
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -35,7 +35,7 @@ MAX_ROWS = 2000
 MAX_CHARS = 20_000
 
 #: Words worked on at once when scoring.
-CHUNK_WORDS = 1 << 18
+CHUNK_WORDS = 1 << 17
 _BATCH = 2048
 
 _KEEP = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
@@ -97,19 +97,19 @@ def _windows(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return text, (np.cumsum(lengths) - lengths)[text] + nth * STRIDE
 
 
-def _index(texts: list[list[bytes]]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+def _index(texts: Iterable[list[bytes]]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Distinct words, the index of every word, and each text's number of words."""
     known: dict[bytes, int] = defaultdict(lambda: len(known))
-    lengths = np.array([len(t) for t in texts], np.int64)
-    flat = np.fromiter(map(known.__getitem__, chain.from_iterable(texts)), np.int64, int(lengths.sum()))
-    return list(known), flat, lengths
+    parts = [np.fromiter(map(known.__getitem__, words), np.int32, len(words)) for words in texts]
+    lengths = np.array([len(part) for part in parts], np.int64)
+    return list(known), np.concatenate([*parts, np.zeros(0, np.int32)]), lengths
 
 
 def _rows(index: np.ndarray, lengths: np.ndarray, text: np.ndarray, start: np.ndarray, pad: int) -> np.ndarray:
     """Word indices of each window, [windows, WINDOW]; beyond the text's end ``pad``."""
     at = start[:, None] + np.arange(WINDOW)
     inside = at < np.cumsum(lengths)[text][:, None]
-    return np.where(inside, index[np.minimum(at, max(len(index) - 1, 0))], pad)
+    return np.where(inside, index[np.minimum(at, max(len(index) - 1, 0))], np.int32(pad))
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -277,7 +277,7 @@ def fit(texts: list[str | None], toxic: list[int], seed: int = 7):
         return Constant(float(label.mean()) if len(label) else 0.0)
     rng = np.random.default_rng(seed)
     net = Network(seed)
-    words, index, lengths = _index([words_of(t) for t in texts])
+    words, index, lengths = _index(map(words_of, texts))
     text, start = _windows(lengths)
     rows = _rows(index, lengths, text, start, len(words))
     if not len(rows):
