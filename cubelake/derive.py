@@ -11,6 +11,7 @@ by a key range (at most ``CHUNK`` rows), never by a whole table.
 from __future__ import annotations
 
 import hashlib
+import io
 import shutil
 import zipfile
 
@@ -18,6 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cubelake import fs
 from cubelake import schemas as S
 from cubelake.functions.columns import format_release_time
 
@@ -31,8 +33,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # --------------------------------------------------------------- delta files
 
-def events_as_delta(events: DataFrame) -> DataFrame:
-    """``events`` in the 13-column delta layout.
+def events_as_delta(events: DataFrame, refPer2: Column | None = None) -> DataFrame:
+    """``events`` in the 13-column delta layout (``refPer2`` is empty unless given).
 
     productId = vectorId = user_id (one series per user), refPer = event day,
     coordinate = event type, releaseTime = event minute.
@@ -42,7 +44,7 @@ def events_as_delta(events: DataFrame) -> DataFrame:
         F.col("event_type").alias("coordinate"),
         F.col("user_id").cast("bigint").alias("vectorId"),
         F.date_format("ts", "yyyy-MM-dd").alias("refPer"),
-        F.lit("").alias("refPer2"),
+        (F.lit("") if refPer2 is None else refPer2).alias("refPer2"),
         F.lit(0).cast("smallint").alias("symbolCode"),
         F.lit(0).cast("smallint").alias("statusCode"),
         F.lit(0).cast("smallint").alias("securityLevelCode"),
@@ -255,7 +257,7 @@ def zip_parts(
     parts); otherwise the writer must leave one part per folder. Returns the
     job's rows (collect to run it).
     """
-    from cubelake.sources.archives import _open_output
+    from cubelake.sources.archives import open_output
     from cubelake.sources.cube_csv import _open_input, list_files
     from cubelake.session import ship_package
 
@@ -270,7 +272,7 @@ def zip_parts(
                     part = hashlib.sha1(path.rsplit("/", 1)[-1].encode()).hexdigest()[:10]
                     value = f"{value}-{part}"
                 target = f"{zip_root.rstrip('/')}/{value}{suffix}.zip"
-                with _open_input(path) as src, _open_output(target) as raw:
+                with _open_input(path) as src, open_output(target) as raw:
                     with zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as zf:
                         with zf.open(f"{value}.csv", "w") as dst:
                             shutil.copyfileobj(src, dst, 1 << 20)
@@ -298,6 +300,51 @@ def write_zipped_cubes(spark: SparkSession, customer: DataFrame, csv_root: str,
     return zip_parts(spark, csv_root, zip_root, "cube", "-eng")
 
 
+#: Part cubes that land damaged: a wrong checksum, no archive at all, a file without a line feed.
+BAD_CHECKSUM, NO_ARCHIVE, NO_LINES = 13, 21, 22
+
+
+def write_damaged_zips(spark: SparkSession, part: DataFrame, csv_root: str, zip_root: str) -> None:
+    """Part cubes zipped one by one; the three ids above land damaged, each in its own way."""
+    from cubelake.sources.archives import open_output
+    from cubelake.sources.cube_csv import _open_input
+
+    rows = part_cube_rows(part).select(
+        F.col("product_id").alias("cube"), "REF_DATE", F.lit("x").alias("GEO"), "VALUE", "DECIMALS"
+    )
+    rows.repartition("cube").write.partitionBy("cube").option("header", True).csv(csv_root)
+    zip_parts(spark, csv_root, zip_root, "cube", "-eng").collect()
+    with _open_input(f"{zip_root}/{BAD_CHECKSUM}-eng.zip") as f:
+        data = bytearray(f.read())
+    with zipfile.ZipFile(io.BytesIO(bytes(data))) as z:
+        crc = z.infolist()[0].CRC.to_bytes(4, "little")
+    with open_output(f"{zip_root}/{BAD_CHECKSUM}-eng.zip") as f:
+        f.write(bytes(data).replace(crc, bytes(4)))  # the stored checksum, wherever the archive names it
+    with open_output(f"{zip_root}/{NO_ARCHIVE}-eng.zip") as f:
+        f.write(b"no archive")
+    fs.delete(spark, f"{zip_root}/{NO_LINES}-eng.zip")
+    with open_output(f"{zip_root}/{NO_LINES}.csv") as f:
+        f.write(b"x" * 200_000)
+
+
+def write_odd_nulls(events: DataFrame, path: str) -> None:
+    """``events`` as a delta file in which some values are spelled as nulls of several kinds."""
+    kind = F.pmod("event_id", F.lit(7))
+    spelled = F.when(kind == 0, "NA").when(kind == 1, "NaN").when(kind == 2, "null").when(kind == 3, "#N/A")
+    spelled = spelled.otherwise(F.col("value").cast("string"))
+    # refPer2 is free in the derived layout, so the spelling rides along there.
+    delta = events_as_delta(events, refPer2=spelled)
+    write_delta_csv(delta.withColumn("value", F.col("refPer2")).withColumn("refPer2", F.lit("")), path)
+
+
+def write_late_thirds(events: DataFrame, path: str) -> None:
+    """Purchases as three landed files, the newest releases first."""
+    delta = events_as_delta(events.where(F.col("event_type") == "purchase"))
+    day = F.substring("refPer", 9, 2).cast("int")
+    for k, third in enumerate((day > 20, (day > 10) & (day <= 20), day <= 10)):
+        write_delta_csv(delta.where(third).coalesce(1), f"{path}/batch={k}")
+
+
 def write_daily_delta_zips(spark: SparkSession, delta: DataFrame, csv_root: str, zip_root: str) -> DataFrame:
     """Daily delta files, zipped as ``YYYYMMDD-<part>.zip`` holding ``YYYYMMDD-<part>.csv``.
 
@@ -354,6 +401,9 @@ def _builders() -> dict:
         "part_cubes_ragged": lambda spark, sf, out: write_cube_csvs(
             part_cube_rows(table(spark, sf, "part")), out, ragged_product=13
         ),
+        "damaged_zips": lambda spark, sf, out: write_damaged_zips(spark, table(spark, sf, "part"), f"{out}-csv", out),
+        "odd_nulls_csv": lambda spark, sf, out: write_odd_nulls(events(spark, sf), out),
+        "late_thirds_csv": lambda spark, sf, out: write_late_thirds(events(spark, sf), out),
         "changes": lambda spark, sf, out: write_changes(orders_as_changes(table(spark, sf, "orders")), out),
         "catalog": lambda spark, sf, out: write_json_arrays(orders_as_catalog(table(spark, sf, "orders")), out),
         "array_rows": lambda spark, sf, out: write_array_rows(

@@ -449,12 +449,30 @@ def large_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+LAYOUT_THRESHOLD = 4096
+
+
 def layout_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Size-adaptive layout with a small threshold: flat vs ``year=`` folders."""
+    """Size-adaptive layout with a small threshold, held against the published files.
+
+    ``layout_agrees``: a cube with ``year=`` folders measured at or above the
+    threshold when staged; any other lies there with its staged size, below it.
+    """
     _prep(spark)
+    from cubelake.sources.cube_csv import list_files
+
     work, landing = _land_part_cubes(spark, sf_dir)
-    status = prepare_cubes(spark, landing, f"{work}/lake", glob="*.txt", work=f"{work}/etl", threshold=4096)
-    return status.select("product_id", "ok", "layout", "rows")
+    lake = f"{work}/lake"
+    status = prepare_cubes(spark, landing, lake, glob="*.txt", work=f"{work}/etl", threshold=LAYOUT_THRESHOLD)
+    published = (
+        list_files(spark, lake, "*.parquet")
+        .groupBy(F.regexp_extract("path", r"/([0-9]+)\.parquet/", 1).cast("bigint").alias("product_id"))
+        .agg(F.max(F.col("path").contains("/year=")).alias("folders"), F.sum("length").alias("size"))
+    )
+    agrees = F.when(
+        F.col("folders"), (F.col("layout") == "partitioned") & (F.col("bytes") >= LAYOUT_THRESHOLD)
+    ).otherwise((F.col("layout") == "flat") & (F.col("bytes") == F.col("size")) & (F.col("size") < LAYOUT_THRESHOLD))
+    return status.join(published, "product_id", "left").select("product_id", "ok", "rows", agrees.alias("layout_agrees"))
 
 
 def refresh_status(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -472,6 +490,88 @@ def refresh_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return status.select("product_id", "ok", reason.alias("reason_kind"), "rows")
 
 
+def _released_cubes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    brand = F.regexp_extract("p_brand", r"([0-9]+)$", 1).cast("bigint")
+    return (
+        table(spark, sf_dir, "part")
+        .groupBy(brand.alias("product_id"))
+        .agg(F.max(F.timestamp_seconds(F.lit(1704112200) + F.col("p_size") * F.lit(86400))).alias("release_time"))
+    )
+
+
+def refresh_zip_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Refresh over zipped cubes, three of them damaged; what failed is neither published nor registered."""
+    _prep(spark)
+    landing = derive.landed(spark, sf_dir, "damaged_zips")
+    work = scratch_dir(spark, "refresh-zips")
+    registry, lake = f"{work}/registry", f"{work}/lake"
+    plan = refresh_plan(_released_cubes(spark, sf_dir), read_registry(spark, registry))
+    status = refresh(spark, plan, landing, lake, registry, work=f"{work}/refresh")
+    registered = read_registry(spark, registry).select(F.col("number").alias("product_id"), F.lit(True).alias("r"))
+    return status.join(registered, "product_id", "left").select(
+        "product_id", "ok", "reason", "rows", F.coalesce("r", F.lit(False)).alias("registered")
+    )
+
+
+def refresh_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Succeeded and planned cubes of the refresh over zipped cubes."""
+    from cubelake.operators.stats import status_counts
+
+    return status_counts(refresh_zip_status(spark, sf_dir))
+
+
+def changed_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changed-list refresh end to end: planned from the day lists, built from landed zips where there are any."""
+    _prep(spark)
+    plan = plan_changed(spark, derive.landed(spark, sf_dir, "changes"), "1996-03-01", "1999-06-30", skip=[11])
+    landing = derive.landed(spark, sf_dir, "damaged_zips")
+    work = scratch_dir(spark, "refresh-changed")
+    status = refresh(spark, plan, landing, f"{work}/lake", f"{work}/registry", work=f"{work}/refresh")
+    return status.select("product_id", "ok", "reason", "rows", _ts("release_time"))
+
+
+def delta_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A delta file whose missing values are spelled in several ways, typed strictly."""
+    _prep(spark)
+    from cubelake.sources.delta_csv import read_delta
+
+    delta = read_delta(spark, derive.landed(spark, sf_dir, "odd_nulls_csv"))
+    return delta.select("vectorId", "coordinate", "releaseTime", "scalarFactorCode", "value")
+
+
+def split_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The delta split written as ORC, CSV and JSON, each read back."""
+    _prep(spark)
+    landing, work = derive.landed(spark, sf_dir, "events_delta_csv"), scratch_dir(spark, "formats")
+    counts = []
+    for fmt in ("csv", "json", "orc"):
+        split_delta(spark, landing, f"{work}/{fmt}", fmt=fmt)
+        back = spark.read.schema(S.DELTA_SCHEMA).option("header", True).option("escape", '"').format(fmt)
+        counts.append(
+            back.load(f"{work}/{fmt}")
+            .groupBy("productId")
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.count("value").alias("n_values"), F.max("releaseTime").alias("latest"))
+            .select(F.lit(fmt).alias("format"), "*")
+        )
+    return reduce(DataFrame.unionByName, counts)
+
+
+def stream_merge_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merge on write when the newest file comes first and every file is a batch of its own."""
+    _prep(spark)
+    from cubelake.streaming.delta_stream import ingest_and_merge
+
+    original, _ = _period_inputs(spark, sf_dir)
+    work = scratch_dir(spark, "stream-late")
+    write_keyed(original, f"{work}/store", "productId")
+    landing = derive.landed(spark, sf_dir, "late_thirds_csv")
+    ingest_and_merge(
+        spark, f"{landing}/batch=*", f"{work}/store", f"{work}/checkpoint", keys=("vectorId",), max_files_per_trigger=1
+    )
+    back = spark.read.parquet(f"{work}/store")
+    return back.select(*[F.col(c).cast(original.schema[c].dataType).alias(c) for c in original.columns])
+
+
 # ---------------------------------------------------------- other sources
 
 def json_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -534,6 +634,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "large_cube": large_cube,
     "layout_choice": layout_choice,
     "refresh_status": refresh_status,
+    "refresh_zip_status": refresh_zip_status,
+    "refresh_counts": refresh_counts,
+    "changed_refresh": changed_refresh,
+    "delta_nulls": delta_nulls,
+    "split_formats": split_formats,
+    "stream_merge_late": stream_merge_late,
     "json_rows": json_rows,
     "zip_ingest": zip_ingest,
 }

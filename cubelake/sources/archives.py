@@ -36,6 +36,13 @@ def member_for(zip_name: str, rule: str) -> str:
     raise ValueError(rule)
 
 
+def open_output(path: str):
+    """Stream to a new file; its folder is made if need be."""
+    filesystem, inner = _filesystem(path)
+    filesystem.create_dir(inner.rpartition("/")[0], recursive=True)
+    return filesystem.open_output_stream(inner)
+
+
 def _land(source, target: str) -> None:
     """Copy a stream to ``target``, which appears only when the stream has ended well."""
     filesystem, inner = _filesystem(target)
