@@ -1,14 +1,15 @@
 """Merkle tree fingerprints of documents.
 
 A text is cut into paragraphs (after each line feed), a paragraph into
-clauses (after punctuation); ``FAN`` consecutive paragraphs form a section.
+clauses (after punctuation, and where none comes for ``CLAUSE`` characters);
+``FAN`` consecutive paragraphs form a section.
 Clauses are the leaves. A paragraph's digest covers its clauses' digests, a
 section's those of its paragraphs, and the root those of the sections, all by
 SHA-256, so equal roots mean equal texts. The fingerprint is text:
 
     root ':' section ',' section ... ':' leaf '.' leaf ... ',' leaf '.' leaf ...
 
-with sections cut to 16 and leaves to 8 hex digits; commas in the last part
+with sections cut to 16 and leaves to 6 hex digits; commas in the last part
 separate paragraphs. Everything is built-in functions.
 """
 
@@ -21,8 +22,9 @@ from cubelake.llm.common import following, ordered
 
 FAN = 8
 _PARAGRAPH = r"(?<=\n)"
-_CLAUSE = r"(?<=[.,;:!?])"
-SECTION_HEX, LEAF_HEX = 16, 8
+CLAUSE = 32
+_CLAUSE = rf"(?<=[.,;:!?])|(?<=\G.{{{CLAUSE}}})"
+SECTION_HEX, LEAF_HEX = 16, 6
 
 
 def fingerprint(text: Column) -> Column:
