@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from cubelake.functions.typing import cast_text
 from cubelake.operators.inference import decide_types, inference_aggregates
 from cubelake.operators.scaling import scale_cube_value
-from cubelake.plans.layout import publish
+from cubelake.plans.layout import publish_all
 from cubelake.session import scratch_dir
 from cubelake.sources.cube_csv import list_files, read_cube_text, read_headers
 
@@ -93,8 +93,7 @@ def transform_csv_folder(spark: SparkSession, folder: str, glob: str = "*.csv",
                 continue
             stage = f"{work}/g{gi}-t{ti}"
             scaled.write.mode("overwrite").partitionBy(FILE_KEY).parquet(stage)
-            for p in tpaths:
-                publish(spark, f"{stage}/{FILE_KEY}={_file_key(p)}", sibling_parquet(p))
+            publish_all(spark, [(f"{stage}/{FILE_KEY}={_file_key(p)}", sibling_parquet(p)) for p in tpaths])
 
     rows = [status[p] for p in sorted(status)]
     return spark.createDataFrame(rows, "path string, ok boolean, reason string, rows bigint, output string")

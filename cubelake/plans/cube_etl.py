@@ -242,7 +242,7 @@ def _place(spark, stage, large_stage, pids, statuses, destination, threshold, em
         for r in dataset_sizes(spark, stage, key="product_id", glob="*.parquet").collect()
         if r["product_id"]
     }
-    large = []
+    large, moves = [], []
     for pid in pids:
         size = sizes.get(pid, 0)
         statuses[pid].bytes = size
@@ -252,11 +252,12 @@ def _place(spark, stage, large_stage, pids, statuses, destination, threshold, em
             statuses[pid].layout = "flat"
             statuses[pid].destination = destination(pid)
         elif size < threshold:
-            layout.publish(spark, f"{stage}/product_id={pid}", destination(pid))
+            moves.append((f"{stage}/product_id={pid}", destination(pid)))
             statuses[pid].layout = "flat"
             statuses[pid].destination = destination(pid)
         else:
             large.append(pid)
+    layout.publish_all(spark, moves)
     if not large:
         return
     # One shuffle so that every (cube, year) folder gets one or a few
@@ -270,8 +271,8 @@ def _place(spark, stage, large_stage, pids, statuses, destination, threshold, em
             .partitionBy("product_id", S.YEAR_COLUMN)
             .parquet(large_stage)
         )
+    layout.publish_all(spark, [(f"{large_stage}/product_id={pid}", destination(pid)) for pid in large])
     for pid in large:
-        layout.publish(spark, f"{large_stage}/product_id={pid}", destination(pid))
         statuses[pid].layout = "partitioned"
         statuses[pid].destination = destination(pid)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from cubelake import fs
@@ -77,6 +79,15 @@ def publish(spark: SparkSession, staged: str, destination: str) -> None:
         fs.delete(spark, backup)
 
 
+def publish_all(spark: SparkSession, moves: list[tuple[str, str]], threads: int = 16) -> None:
+    """``publish`` for many (staged, destination) pairs side by side; each is a few metadata calls."""
+    if not moves:
+        return
+    with ThreadPoolExecutor(max_workers=min(threads, len(moves))) as pool:
+        for done in [pool.submit(publish, spark, *move) for move in moves]:
+            done.result()
+
+
 def copy_tree(spark: SparkSession, source: str, target: str) -> None:
     """Copy every file under ``source`` to the same place under ``target``, on any two file systems.
 
