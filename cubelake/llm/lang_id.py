@@ -33,7 +33,7 @@ MIN_PART = 0.1
 FILTER_BITS = 20
 HASHES = 3
 #: Characters worked on at once; longer texts go in overlapping slices.
-SLICE = 1 << 19
+SLICE = 1 << 17
 _MASK_WORD = 63  # languages per mask word
 
 

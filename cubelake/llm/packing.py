@@ -34,7 +34,7 @@ GRID = 256
 #: Tokens planned at once; the last, unfinished window goes on into the next plan.
 PLAN_TOKENS = 1 << 20
 #: Words whose ids a worker keeps; at that number the older half is let go.
-CACHE_WORDS = 800_000
+CACHE_WORDS = 400_000
 
 # Characters that end a sentence.
 _SENTENCE_END = set(".!?…。！？")

@@ -35,7 +35,7 @@ MAX_ROWS = 2000
 MAX_CHARS = 20_000
 
 #: Words worked on at once when scoring.
-CHUNK_WORDS = 1 << 17
+CHUNK_WORDS = 1 << 15
 _BATCH = 2048
 
 _KEEP = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
