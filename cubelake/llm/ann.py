@@ -252,7 +252,8 @@ def search(rows: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     )
 
     def rerank(block: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        found = {"__asking": [], "vec_id": [], "score": []}
+        """One row per query of the block: its nearest here, each class with all the ids it may give."""
+        rows = []
         if len(block) and len(queries):
             block = block.sort_values("__class", ignore_index=True)
             v = _matrix(block["__v"], np.float64)
@@ -267,25 +268,24 @@ def search(rows: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
                     # The product is summed anew in one fixed order, so equal vectors score equal anywhere.
                     some = np.flatnonzero(near[row] >= low - 1e-9 * (1 + abs(low)))
                     score = (v[some] * q[a + row]).sum(axis=1)
-                    for i in np.lexsort((some, -score))[:n]:
-                        for member in ids[some[i]]:
-                            found["__asking"].append(queries["__asking"].iat[a + row])
-                            found["vec_id"].append(member)
-                            found["score"].append(score[i])
-        return pd.DataFrame(found)
+                    kept = [(0.0 - score[i], m) for i in np.lexsort((some, -score))[:n] for m in ids[some[i]]]
+                    kept = sorted(kept)[: k + 1]
+                    rows.append((queries["__asking"].iat[a + row], block["__part"].iat[0], *map(list, zip(*kept))))
+        return pd.DataFrame(rows, columns=["__asking", "__part", "s", "v"])
 
     keys = ["__part", "__v_block", "__q_block"]
     near = (
         left.groupBy(*keys)
         .cogroup(right.groupBy(*keys))
-        .applyInPandas(rerank, "__asking long, vec_id long, score double")
+        .applyInPandas(rerank, "__asking long, __part int, s array<double>, v array<long>")
+        .select("__asking", "__part", F.arrays_zip("s", "v").alias("__near"))
     )
-    order = Window.partitionBy("__asking").orderBy(F.desc("score"), "vec_id")
-    best = near.withColumn("__n", F.row_number().over(order)).filter(F.col("__n") <= k + 1)
-    lists = best.groupBy("__asking").agg(F.array_sort(F.collect_list(F.struct("__n", "vec_id", "score"))).alias("__near"))
+    # Lists of k + 1 are merged per partition, then per query; least negated score first, then least id.
+    best = F.slice(F.array_sort(F.flatten(F.collect_list("__near"))), 1, k + 1).alias("__near")
+    lists = near.groupBy("__asking", "__part").agg(best).groupBy("__asking").agg(best)
     answers = asked.join(lists, F.col("__class") == F.col("__asking"))
     # The query's own row (one entry of its id) goes, if it is there at all.
-    ids = F.transform("__near", lambda x: x["vec_id"])
+    ids = F.transform("__near", lambda x: x["v"])
     own = F.array_position(ids, F.col("query_id"))
     others = F.filter("__near", lambda x, i: (i + 1) != F.col("__own"))
     return (
@@ -294,7 +294,7 @@ def search(rows: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
         .select(
             "query_id",
             (F.col("__i") + 1).cast("int").alias("rank"),
-            F.col("__x.vec_id").alias("vec_id"),
-            F.col("__x.score").alias("score"),
+            F.col("__x.v").alias("vec_id"),
+            (F.lit(0.0) - F.col("__x.s")).alias("score"),
         )
     )
