@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cubelake.llm import jaccard, lang_id, packing, toxicity
-from cubelake.llm.common import cut, table
+from cubelake.llm.common import cut, numbered, table
 
 #: A document goes if it has no letters, or if no language contains this share of its n-grams.
 MIN_LANGUAGE_SCORE = 0.25
@@ -45,7 +45,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the first in the order of the table. Wordless ones all stay."""
-    rows = docs.withColumn("__row", F.monotonically_increasing_id())
+    rows = numbered(docs, [F.col(f"`{c}`") for c in docs.columns], "rows")
     keyed = rows.select(F.col("__row").alias("doc_id"), "text")
     linked = jaccard.link_components(keyed, NEAR_WORDS, NEAR_PERCENT)
     copies = cut(linked.filter("component_id <> doc_id").select(F.col("doc_id").alias("__row")), "near-copies")

@@ -26,6 +26,39 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _is_parquet_scan(df: DataFrame) -> bool:
+    """Whether ``df`` is one Parquet folder or file as read, with nothing done to it."""
+    plan = df._jdf.queryExecution().analyzed()
+    if plan.getClass().getSimpleName() != "LogicalRelation":
+        return False
+    relation = plan.relation()
+    return (
+        relation.getClass().getSimpleName() == "HadoopFsRelation"
+        and relation.fileFormat().toString() == "Parquet"
+        and relation.location().rootPaths().size() == 1
+    )
+
+
+def numbered(df: DataFrame, columns: list[Column], label: str) -> DataFrame:
+    """``columns`` of ``df`` with ``__row``: a number per row, the same in every job that scans the result.
+
+    Spark splits files by the cores it has when a job starts, so ids made from
+    partitions change between the jobs of one query when an executor comes or
+    goes. A Parquet table is numbered by its files in the order of their paths
+    and the places of the rows in them, through a table with one row per file;
+    any other frame is written once with its ids and read back.
+    """
+    if not _is_parquet_scan(df):
+        return cut(df.select(*columns, F.monotonically_increasing_id().alias("__row")), label)
+    meta = df.metadataColumn("_metadata")
+    path, place = meta.getField("file_path").alias("__file"), meta.getField("row_index").alias("__place")
+    number = F.row_number().over(Window.orderBy("__file"))  # one row per file
+    files = cut(df.select(path).distinct().select("__file", number.cast("long").alias("__number")), label)
+    row = F.shiftleft("__number", ROW_BITS) + F.col("__place")
+    rows = df.select(*columns, path, place).join(F.broadcast(files), "__file")
+    return rows.withColumn("__row", row).drop("__file", "__number", "__place")
+
+
 _ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cubelake.llm.common import following, ordered
+from cubelake.llm.common import following, numbered, ordered
 
 FAN = 8
 _PARAGRAPH = r"(?<=\n)"
@@ -118,11 +118,11 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     once, to its own row number, and a quarter of its predecessor's length to
     that predecessor.
     """
-    texts = docs.select(
-        F.monotonically_increasing_id().alias("__row"),
+    columns = [
         F.col("doc_id").cast("long").alias("__id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("__text"),
-    )
+    ]
+    texts = numbered(docs, columns, "merkle-rows")
     slim = texts.select("__row", F.col("__id").alias("doc_id"), F.char_length("__text").cast("long").alias("n_chars"))
     order = ordered(slim, ["doc_id", "__row"], "merkle")
     order = order.withColumn("__me", F.struct(F.col("__row"), F.expr("n_chars div 4").alias("k")))
