@@ -160,6 +160,25 @@ def test_article_without_its_surroundings():
         assert text == "Title 7 First <7> line café & x Lastly"
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ('<div class="page has-sidebar"><nav>menu</nav><article><p>Story</article></div>', "Story"),
+        ('<div class="widget"><main><p>Story<nav>menu</nav></main></div>', "Story"),
+        ('<form id="aspnetForm"><div class="nav">menu</div><article><p>Story</article></form>', "Story"),
+        ("<body><nav><ul><li>menu</ul><article><p>Story</article></body>", "Story"),
+        ('<article><p>One</article><div class="ad">buy<article><p>Two</article></body>', "One Two"),
+        ('<article><p>One<div class="related-work"><p>Two</div><div id="search-results">3</div></article>', "One Two 3"),
+        ('<article><p>One<div class="x related">no</div></article><div class=ad>no</div>', "One"),
+        ('<article><p>One</article><div id="comments"><article>I say</article></div>', "One"),
+        ('<form><article><p>One</article><aside><article>More</article></aside></form>', "One"),
+        ('<div class="ad"><article><p>One</article></div><aside>no</aside><p>no', "One"),
+    ],
+)
+def test_articles_start_afresh(page, text):
+    assert html_text.main_text(page, None) == text
+
+
 def test_plain_pages_lose_what_they_share():
     one = "<body><p>Site menu<p>Story one<p>shared quote<div>Imprint</div></body>"
     two = "<body><p>Site menu<p>Another story<div>Imprint</div></body>"
