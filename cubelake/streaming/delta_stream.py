@@ -31,6 +31,23 @@ from cubelake.sources.delta_csv import DELTA_OPTIONS, DELTA_TEXT_SCHEMA, type_de
 FILES_PER_BATCH = 500
 
 
+class DamagedArchives(RuntimeError):
+    """Archives that could not be unpacked: ``archives`` (status rows) and ``query``, which took all whole files."""
+
+    def __init__(self, archives: list, query):
+        super().__init__("not ingested: " + ", ".join(f"{x.archive} ({x.reason})" for x in archives))
+        self.archives, self.query = archives, query
+
+
+def _finish(query, damaged: list, wait: bool):
+    """The query, awaited if asked for; damaged archives are an error once it has the whole files."""
+    if wait:
+        query.awaitTermination()
+    if damaged:
+        raise DamagedArchives(damaged, query)
+    return query
+
+
 def land_archives(spark: SparkSession, landing: str) -> list:
     """Unpack daily ``.zip`` files beside themselves; those whose CSV is already there are left alone.
 
@@ -73,10 +90,12 @@ def ingest_deltas(
 ):
     """Process every delta file landed so far (``availableNow``) into ``store``.
 
+    Archives that cannot be unpacked raise ``DamagedArchives`` after the whole
+    files are ingested (without ``wait``: after the query has started).
     Rows are written by the tasks that read them: a hot product never meets
     in one task, at the price of one file per product and input split.
     """
-    land_archives(spark, landing)
+    damaged = land_archives(spark, landing)
     query = (
         delta_stream(spark, landing, max_files_per_trigger)
         .writeStream.format("parquet")
@@ -86,9 +105,7 @@ def ingest_deltas(
         .trigger(availableNow=True)
         .start()
     )
-    if wait:
-        query.awaitTermination()
-    return query
+    return _finish(query, damaged, wait)
 
 
 def current_table(
@@ -120,12 +137,13 @@ def ingest_and_merge(
     The winning delta row of every key so far, with the columns that rank it,
     is kept beside the checkpoint. A batch competes with those, so the store
     ends the same however files were grouped and in whatever order they came.
+    Damaged archives raise as in ``ingest_deltas``.
     A replayed batch (after a failure, same batch id) finds the same winners
     and leaves the same store.
     """
     from cubelake.plans.delta_jobs import merge_into_store, product_keys
 
-    land_archives(spark, landing)
+    damaged = land_archives(spark, landing)
     winners = f"{checkpoint}/winners"
     keyed = product_keys(keys)
     fields = [f for f in S.DELTA_SCHEMA.fields if f.name in {*keyed, *WINNER_ORDER, "value"} or insert_new]
@@ -161,6 +179,4 @@ def ingest_and_merge(
         .trigger(availableNow=True)
         .start()
     )
-    if wait:
-        query.awaitTermination()
-    return query
+    return _finish(query, damaged, wait)

@@ -128,6 +128,24 @@ def test_stream_merge_does_not_depend_on_arrival(spark, tmp_dir, order):
     assert not os.path.exists(f"{state}/merge-work/0")
 
 
+@pytest.mark.parametrize("merge", [False, True])
+def test_damaged_archives_end_an_ingest_with_an_error(spark, tmp_dir, merge):
+    from cubelake.streaming.delta_stream import DamagedArchives, ingest_and_merge, ingest_deltas
+
+    store, landing, state = (os.path.join(tmp_dir, x) for x in ("store", "landing", "state"))
+    if merge:
+        one = spark.createDataFrame([(1, 5, 0.0)], "productId bigint, vectorId bigint, value double")
+        one.write.partitionBy("productId").parquet(store)
+    os.makedirs(landing)
+    write_delta(f"{landing}/20240101.csv", delta_line("10"))
+    with open(f"{landing}/20240102.zip", "wb") as f:
+        f.write(b"no archive")
+    with pytest.raises(DamagedArchives, match="20240102.zip") as error:
+        (ingest_and_merge if merge else ingest_deltas)(spark, landing, store, state)
+    assert [x.reason for x in error.value.archives] == ["bad zip"]
+    assert [r.value for r in spark.read.parquet(store).collect()] == [10.0]
+
+
 def test_negative_power_in_an_integral_cube(spark):
     rows = spark.createDataFrame([(7000, -3)], "v bigint, s bigint")
     assert rows.select(scaled_value("v", "s", False)).first()[0] == 7.0
