@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cubelake.llm import ann, bpe, html_text, jaccard, lang_id, merkle, packing, shards, toxicity, url_filter
+from cubelake.llm import ann, bpe, filter_audit, html_text, jaccard, lang_id, merkle, packing, shards, toxicity, url_filter
 from cubelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +87,10 @@ def op10_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_filters": op1_language_filters,
     "op2_byte_shards": op2_byte_shards,
@@ -98,6 +102,7 @@ QUERIES: dict[str, Query] = {
     "op8_window_packing": op8_window_packing,
     "op9_learned_partitions": op9_learned_partitions,
     "op10_page_differencing": op10_page_differencing,
+    "op11_filter_audit": op11_filter_audit,
 }
 
 ORACLE: dict[str, str] = {
@@ -143,4 +148,49 @@ ORACLE: dict[str, str] = {
                m.list, m.kind, m.pattern, strftime(m.valid_from, '%Y-%m-%d %H:%M:%S') AS valid_from
         FROM p LEFT JOIN m ON m.page_id = p.page_id AND m.rn = 1
     """,
+    "op11_filter_audit": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS body FROM documents),
+        w AS (
+            SELECT *, regexp_extract_all(body, '[^\x20\x09-\x0D]+') AS words,
+                   min(doc_id) OVER (PARTITION BY body) AS first
+            FROM d),
+        m AS (
+            SELECT doc_id, part,
+                   CASE WHEN len(words) < 200 THEN 1 ELSE 0 END
+                   + CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 2 ELSE 0 END
+                   + CASE WHEN 100 * (length(body) - length(regexp_replace(body, '[A-Z]', '', 'g'))) > 2 * length(body)
+                          THEN 4 ELSE 0 END
+                   + CASE WHEN regexp_matches(body, '[#$%&*|]') THEN 8 ELSE 0 END
+                   + CASE WHEN doc_id > first THEN 16 ELSE 0 END AS mask
+            FROM w),
+        l AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+        c AS (
+            SELECT part, mask, count(*) AS n, count(*) FILTER (WHERE l.good) AS good,
+                   count(*) FILTER (WHERE l.toxic) AS toxic
+            FROM m LEFT JOIN l USING (doc_id) GROUP BY part, mask),
+        f(f, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+        o AS (
+            SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+            FROM f a, f b, f c, f d, f e
+            WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+        s AS (
+            SELECT filter_order, step, bits[step] AS own, coalesce(list_sum(bits[1:step - 1]), 0)::BIGINT AS before
+            FROM o, (SELECT unnest(range(1, 6)) AS step)),
+        r AS (
+            SELECT part, filter_order, step, own,
+                   sum(CASE WHEN mask & (before | own) = 0 THEN n ELSE 0 END) AS kept,
+                   sum(CASE WHEN mask & before = 0 AND mask & own > 0 THEN n ELSE 0 END) AS removed,
+                   sum(CASE WHEN mask & before > 0 AND mask & own > 0 THEN n ELSE 0 END) AS redundant,
+                   sum(CASE WHEN mask = own THEN n ELSE 0 END) AS unique_fails,
+                   sum(CASE WHEN mask & before = 0 AND mask & own > 0 THEN good ELSE 0 END) AS good_lost,
+                   sum(CASE WHEN mask & before = 0 AND mask & own > 0 THEN toxic ELSE 0 END) AS toxic_lost
+            FROM c, s GROUP BY part, filter_order, step, own)
+        SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept,
+               CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+               CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+               CAST(toxic_lost AS BIGINT) AS toxic_lost,
+               CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+        FROM r
+    """,
 }
