@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cubelake.llm import ann, bpe, filter_audit, html_text, jaccard, lang_id, merkle, packing, shards, toxicity, url_filter
+from cubelake.llm import ann, bpe, filter_audit, html_text, jaccard, lang_id, merkle, packing, shards, toxicity, url_filter, warc
 from cubelake.llm.common import table
+from cubelake.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -91,6 +92,13 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives in the shared folder, written and read back."""
+    manifest = warc.write_archives(table(spark, sf_dir, "pages"), scratch_dir(spark, "warc"))
+    records = warc.read_archives(manifest)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_filters": op1_language_filters,
     "op2_byte_shards": op2_byte_shards,
@@ -103,6 +111,7 @@ QUERIES: dict[str, Query] = {
     "op9_learned_partitions": op9_learned_partitions,
     "op10_page_differencing": op10_page_differencing,
     "op11_filter_audit": op11_filter_audit,
+    "op13_warc_dictionary": op13_warc_dictionary,
 }
 
 ORACLE: dict[str, str] = {
@@ -193,4 +202,14 @@ ORACLE: dict[str, str] = {
                CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
         FROM r
     """,
+    "op13_warc_dictionary": """
+        WITH p AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest,
+                   min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+            FROM pages),
+        r AS (SELECT *, payload_bytes >= 100 AND page_id <> first AS revisit FROM p)
+        SELECT page_id, payload_bytes, payload_digest, CASE WHEN revisit THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN revisit THEN first END AS refers_to
+        FROM r
+    """,
 }
