@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cubelake.llm import ann, bpe, filter_audit, html_text, jaccard, lang_id, merkle, packing, shards, toxicity, url_filter, warc
+from cubelake.llm import ann, bpe, filter_audit, html_text, jaccard, lang_id, merkle, packing, shards, spelling, toxicity, url_filter, warc
 from cubelake.llm.common import table
 from cubelake.session import scratch_dir
 
@@ -92,6 +92,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
 def op13_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archives in the shared folder, written and read back."""
     manifest = warc.write_archives(table(spark, sf_dir, "pages"), scratch_dir(spark, "warc"))
@@ -111,6 +115,7 @@ QUERIES: dict[str, Query] = {
     "op9_learned_partitions": op9_learned_partitions,
     "op10_page_differencing": op10_page_differencing,
     "op11_filter_audit": op11_filter_audit,
+    "op12_spelling_groups": op12_spelling_groups,
     "op13_warc_dictionary": op13_warc_dictionary,
 }
 
@@ -202,6 +207,50 @@ ORACLE: dict[str, str] = {
                CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
         FROM r
     """,
+    # DuckDB has no crc32: bytes are taken off one by one, through the table of remainders
+    "op12_spelling_groups": r"""
+        WITH t AS (
+            SELECT list(CAST(list_reduce(range(0, 8), lambda c, k:
+                       CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, b) AS BIGINT) ORDER BY b) AS remainders
+            FROM range(256) r(b)),
+        r AS (
+            SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+                   unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[A-Za-zÀ-ÿ]{5,}')) AS run
+            FROM documents),
+        d AS (SELECT id, run, count(*) AS times, hex(encode(id || ':' || run)) AS digits FROM r GROUP BY id, run),
+        h AS (
+            SELECT run, times, xor(4294967295, list_reduce(
+                       list_transform(range(1, strlen(digits), 2), lambda i: CAST('0x' || digits[i:i + 1] AS BIGINT)),
+                       lambda c, b: xor(remainders[xor(c, b) % 256 + 1], c // 256), 4294967295)) AS checksum
+            FROM d, t),
+        v AS (
+            SELECT times, CASE WHEN checksum % 97 = 0
+                   THEN left(run, CAST(checksum % length(run) AS BIGINT)) || substr(run, CAST(checksum % length(run) + 2 AS BIGINT))
+                   ELSE run END AS word
+            FROM h),
+        w AS (SELECT word, CAST(sum(times) AS BIGINT) AS n FROM v WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3),
+        x AS (
+            SELECT word, n, place, left(word, place) || substr(word, place + 2) AS less
+            FROM (SELECT *, unnest(range(0, length(word))) AS place FROM w)),
+        p AS (
+            SELECT DISTINCT a.word, b.word AS other, b.n AS m FROM x a JOIN x b USING (less, place) WHERE a.word <> b.word
+            UNION SELECT x.word, w.word, w.n FROM x JOIN w ON w.word = x.less
+            UNION SELECT w.word, x.word, x.n FROM x JOIN w ON w.word = x.less),
+        f AS (
+            SELECT word, count(*) AS n_near, arg_min(other, (-m, other)) AS other, max(m) AS m FROM p GROUP BY word),
+        g AS (
+            SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 2 * w.n THEN other END AS form,
+                   CASE WHEN m >= 2 * w.n THEN m END AS form_n
+            FROM w LEFT JOIN f USING (word)),
+        c AS (
+            WITH RECURSIVE steps AS (
+                SELECT word, word AS reached FROM g
+                UNION ALL
+                SELECT steps.word, g.form FROM steps JOIN g ON g.word = steps.reached WHERE g.form IS NOT NULL)
+            SELECT steps.word, steps.reached AS root FROM steps JOIN g ON g.word = steps.reached WHERE g.form IS NULL)
+        SELECT word, form, root, n, n_near, form_n FROM g JOIN c USING (word)
+    """,
     "op13_warc_dictionary": """
         WITH p AS (
             SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest,
