@@ -313,6 +313,29 @@ _ORACLE["stream_merge_late"] = f"""
                FROM events WHERE event_type = 'purchase') w
            ON w.vectorId = o.vectorId AND w.rn = 1
 """
+_ORACLE["stream_compaction"] = """
+    SELECT CAST(user_id AS BIGINT) AS productId, COUNT(*) AS rows_before, COUNT(*) AS rows_after,
+           TRUE AS same_sum, TRUE AS fewer_files
+    FROM events GROUP BY user_id
+"""
+_ORACLE["merge_indexed"] = f"""
+    SELECT CAST(CASE WHEN o.vectorId % 4 = 0 THEN o.vectorId ELSE 0 END AS BIGINT) AS productId,
+           o.vectorId, o.refPer, o.coordinate,
+           CASE WHEN w.vectorId IS NOT NULL THEN w.value ELSE o.value END AS value
+    FROM ({_PERIOD_ORIGINAL}) o
+    LEFT JOIN ({_PERIOD_WINNERS}) w ON w.vectorId = o.vectorId AND w.refPer = o.refPer AND w.vectorId % 25 = 1
+"""
+_ORACLE["publish_versions"] = f"""
+    WITH p AS (SELECT {_BRAND} AS product_id, p_size FROM part),
+         r AS (SELECT product_id, p_size, '2024-01-01 08:30:00' AS release_time FROM p WHERE p_size <= 25
+               UNION ALL
+               SELECT product_id, p_size, '2024-03-01 08:30:00' FROM p WHERE product_id % 2 = 0
+               UNION ALL
+               SELECT product_id, p_size, '2024-02-01 08:30:00' FROM p WHERE product_id % 5 = 0 AND p_size > 10),
+         b AS (SELECT *, max(release_time) OVER (PARTITION BY product_id) AS newest FROM r)
+    SELECT product_id, release_time, COUNT(*) AS n_rows, CAST(SUM(p_size) AS BIGINT) AS sum_size
+    FROM b WHERE release_time = newest GROUP BY product_id, release_time
+"""
 
 
 def oracle_sql() -> dict[str, str]:

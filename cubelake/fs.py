@@ -64,3 +64,49 @@ def rename(spark: SparkSession, src: str, dst: str) -> bool:
     if parent is not None and not fs.exists(parent):
         fs.mkdirs(parent)
     return bool(fs.rename(hsrc, hdst))
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly under a folder; none if it does not exist."""
+    fs, hpath = _path(spark, path)
+    if not fs.exists(hpath):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(hpath)]
+
+
+def put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small new file; False, and nothing written, if it exists already.
+
+    Of several writers of one path exactly one gets True. On local disk the
+    file is linked into place, so it appears whole. Elsewhere it is created
+    without overwriting: atomic on HDFS, and on object stores that support
+    conditional writes.
+    """
+    jvm = spark.sparkContext._jvm
+    fs, hpath = _path(spark, path)
+    fs.mkdirs(hpath.getParent())
+    data = bytearray(text.encode())
+    if fs.getUri().getScheme() == "file":
+        import uuid
+
+        files, target = jvm.java.nio.file.Files, jvm.java.io.File(hpath.toUri().getPath()).toPath()
+        hidden = target.resolveSibling(f".{uuid.uuid4().hex}.part")
+        files.write(hidden, data, spark.sparkContext._gateway.new_array(jvm.java.nio.file.OpenOption, 0))
+        try:
+            files.createLink(target, hidden)
+        except Exception as e:
+            if "FileAlreadyExists" in str(e):
+                return False
+            raise
+        finally:
+            files.delete(hidden)
+        return True
+    try:
+        out = fs.create(hpath, False)
+    except Exception as e:
+        if "AlreadyExists" in str(e):
+            return False
+        raise
+    out.write(data)
+    out.close()
+    return True

@@ -24,6 +24,7 @@ from cubelake.operators.inference import value_kinds
 from cubelake.operators.merge import merge_values
 from cubelake.operators.scaling import scale_cube_value, scale_delta_value
 from cubelake.operators.stats import multiset_difference
+from cubelake.plans import indexed_store, versions
 from cubelake.plans.cube_etl import prepare_cubes
 from cubelake.plans.delta_jobs import merge_delta, split_delta
 from cubelake.plans.layout import write_keyed, write_year_partitioned
@@ -34,7 +35,7 @@ from cubelake.sources.catalog import read_catalog
 from cubelake.sources.json_rows import read_json_rows
 from cubelake.sources.lake import cube_path, query_cube, read_cube
 from cubelake.sources.registry import append_registry, latest_registry, read_registry
-from cubelake.streaming.delta_stream import current_table, ingest_deltas
+from cubelake.streaming.delta_stream import current_compacted, delta_rows, ingest_compacted
 
 TS_OUT = "yyyy-MM-dd HH:mm:ss"
 LINEITEM_CUBE = 1
@@ -228,6 +229,47 @@ def merge_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(*[F.col(c).cast(original.schema[c].dataType).alias(c) for c in original.columns])
 
 
+def _hot_product(rows: DataFrame) -> DataFrame:
+    """Three quarters of the series in one product."""
+    product = F.when(F.col("vectorId") % 4 == 0, F.col("vectorId")).otherwise(F.lit(0))
+    return rows.withColumn("productId", product.cast("bigint"))
+
+
+def merge_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merge a delta with few series into an indexed store: only files that hold one of them are rewritten."""
+    _prep(spark)
+    original, delta = map(_hot_product, _period_inputs(spark, sf_dir))
+    store = f"{scratch_dir(spark, 'indexed')}/store"
+    indexed_store.create_store(spark, store, original)
+    few = delta.where(F.col("vectorId") % 25 == 1)
+    indexed_store.merge_rows(spark, store, few, original.schema, keys=("vectorId", "refPer"))
+    return indexed_store.read_store(spark, store, original.schema)
+
+
+def publish_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cubes published by the commit log: a first release of all, a second of some, a crash, a late old release."""
+    _prep(spark)
+    lake = f"{scratch_dir(spark, 'versions')}/lake"
+    brand = F.regexp_extract("p_brand", r"([0-9]+)$", 1).cast("bigint")
+    part = table(spark, sf_dir, "part").select(brand.alias("product_id"), "p_partkey", "p_size")
+
+    def publish(rows: DataFrame, release: str | None) -> None:
+        written = versions.write_release(spark, lake, rows).collect()
+        if release is not None:  # without: the job died before its entry
+            versions.publish_versions(spark, lake, [{**r.asDict(), "release_time": release} for r in written])
+
+    publish(part.where("p_size <= 25"), "2024-01-01 08:30:00")
+    publish(part.where("product_id % 2 = 0"), "2024-03-01 08:30:00")
+    publish(part.where("product_id % 3 = 0 AND p_size > 40"), None)
+    publish(part.where("product_id % 5 = 0 AND p_size > 10"), "2024-02-01 08:30:00")
+    registry = latest_registry(versions.version_registry(spark, lake).drop("created_at").withColumn("created_at", F.col("release_time")))
+    rows = versions.read_versions(spark, lake, "p_partkey long, p_size int")
+    data = rows.groupBy("product_id").agg(F.count("*").alias("n_rows"), F.sum("p_size").alias("sum_size"))
+    return data.join(registry, data["product_id"] == registry["number"]).select(
+        "product_id", _ts("release_time"), "n_rows", "sum_size"
+    )
+
+
 def scale_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delta value scaling: empty as 0, times ``10 ** scalarFactorCode``."""
     _prep(spark)
@@ -240,8 +282,29 @@ def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     _prep(spark)
     work = scratch_dir(spark, "stream")
     landing = derive.landed(spark, sf_dir, "daily_delta_csv")
-    ingest_deltas(spark, f"{landing}/day=*", f"{work}/store", f"{work}/checkpoint")
-    return current_table(spark, derive.customer_as_stored(table(spark, sf_dir, "customer")), f"{work}/store")
+    ingest_compacted(spark, f"{landing}/day=*", f"{work}/store", f"{work}/checkpoint")
+    return current_compacted(spark, derive.customer_as_stored(table(spark, sf_dir, "customer")), f"{work}/store")
+
+
+def stream_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily delta files streamed in small batches, then compacted: per product the rows before and after."""
+    _prep(spark)
+    work = scratch_dir(spark, "compaction")
+    landing, store = derive.landed(spark, sf_dir, "daily_delta_csv"), f"{work}/store"
+    # so many small files on purpose: nothing is compacted during the ingest
+    ingest_compacted(spark, f"{landing}/day=*", store, f"{work}/checkpoint", max_files_per_trigger=5, compact_files=1 << 30)
+    before, files = delta_rows(spark, store), indexed_store.live_files(spark, store).count()
+    indexed_store.compact(spark, store, S.DELTA_SCHEMA)
+    fewer = indexed_store.live_files(spark, store).count() < files
+
+    def counts(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy("productId").agg(F.count("*").alias(f"rows_{name}"), F.sum("value").alias(f"sum_{name}"))
+
+    both = counts(before, "before").join(counts(delta_rows(spark, store), "after"), "productId", "full")
+    same = F.abs(F.col("sum_before") - F.col("sum_after")) < 1e-6
+    return both.select(
+        "productId", "rows_before", "rows_after", F.coalesce(same, F.lit(True)).alias("same_sum"), F.lit(fewer).alias("fewer_files")
+    )
 
 
 def stream_merge_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -619,6 +682,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merge_store": merge_store,
     "scale_delta": scale_delta,
     "stream_merge": stream_merge,
+    "stream_compaction": stream_compaction,
+    "merge_indexed": merge_indexed,
+    "publish_versions": publish_versions,
     "stream_merge_store": stream_merge_store,
     "freshness_diff": freshness,
     "refresh_plan": refresh_planning,

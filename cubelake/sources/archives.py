@@ -65,7 +65,7 @@ def _is_there(path: str) -> bool:
     return filesystem.get_file_info(inner).is_file
 
 
-def _unzip_udf(landing: str, rule: str, skip_landed: bool = False):
+def _unzip_udf(landing: str | None, rule: str, skip_landed: bool = False):
     def run(batches):
         import pyarrow as pa
 
@@ -74,7 +74,8 @@ def _unzip_udf(landing: str, rule: str, skip_landed: bool = False):
             for path in pdf["path"]:
                 name = path.rsplit("/", 1)[-1]
                 member = member_for(name, rule)
-                target = f"{landing.rstrip('/')}/{member}"
+                folder = path.rpartition("/")[0] if landing is None else landing.rstrip("/")
+                target = f"{folder}/{member}"
                 try:
                     if skip_landed and _is_there(target):
                         rows.append((path, member, target, True, None))
@@ -116,12 +117,12 @@ UNZIP_SCHEMA = "archive string, member string, landed string, ok boolean, reason
 def unzip_to_landing(
     spark: SparkSession,
     source: str | list[str],
-    landing: str,
+    landing: str | None,
     rule: str = "digits",
     only: list[int] | None = None,
     skip_landed: bool = False,
 ) -> DataFrame:
-    """Unpack every ``*.zip`` under ``source`` into ``landing``.
+    """Unpack every ``*.zip`` under ``source`` into ``landing`` (None: each beside itself).
 
     ``only`` keeps archives whose name's digits are one of these product ids;
     ``skip_landed`` leaves archives alone whose member is there already.

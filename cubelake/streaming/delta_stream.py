@@ -6,13 +6,15 @@ with the fixed delta schema and appended to a delta store split by
 landed file count exactly once, across restarts and lost executors. The
 current table is then "stored table merged with every delta so far"
 (merge on read): the winner rule is deterministic, so the result does not
-depend on how files were grouped into micro-batches. ``ingest_and_merge``
-merges on write instead, with the same result. Daily ``.zip`` files are
+depend on how files were grouped into micro-batches. ``ingest_compacted``
+keeps the store in few, well-sized files behind a commit log; ``ingest_and_merge``
+merges on write instead. The result is the same. Daily ``.zip`` files are
 unpacked where they landed before the stream starts.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +24,7 @@ from pyspark.sql import types as T
 from cubelake import fs
 from cubelake import schemas as S
 from cubelake.operators.merge import WINNER_ORDER, latest_per_key, merge_values
+from cubelake.plans import indexed_store
 from cubelake.session import folder_parallel_writes
 from cubelake.sources.cube_csv import CSV_GLOB
 from cubelake.sources.delta_csv import DELTA_OPTIONS, DELTA_TEXT_SCHEMA, type_delta
@@ -29,6 +32,8 @@ from cubelake.sources.delta_csv import DELTA_OPTIONS, DELTA_TEXT_SCHEMA, type_de
 
 #: Landed files a micro-batch takes at most, so a first run over a long backlog stays bounded.
 FILES_PER_BATCH = 500
+#: Small files in a compacted store before they are rewritten.
+COMPACT_FILES = 64
 
 
 class DamagedArchives(RuntimeError):
@@ -51,25 +56,13 @@ def _finish(query, damaged: list, wait: bool):
 def land_archives(spark: SparkSession, landing: str) -> list:
     """Unpack daily ``.zip`` files beside themselves; those whose CSV is already there are left alone.
 
-    A member appears only when it is whole, so the stream never sees part of
-    one. Returns the status rows of the archives that could not be unpacked.
+    One job for all folders that the landing path or glob stands for. A member
+    appears only when it is whole, so the stream never sees part of one.
+    Returns the status rows of the archives that could not be unpacked.
     """
     from cubelake.sources.archives import unzip_to_landing
 
-    bad = []
-    for folder in landed_folders(spark, landing):
-        status = unzip_to_landing(spark, folder, folder, rule="stem", skip_landed=True)
-        bad += status.where("NOT ok").collect()
-    return bad
-
-
-def landed_folders(spark: SparkSession, landing: str) -> list[str]:
-    """The folders that a landing path or glob stands for and that hold archives (one row per folder)."""
-    from cubelake.sources.cube_csv import list_files
-
-    archives = list_files(spark, landing, "*.[zZ][iI][pP]")
-    folder = F.regexp_extract("path", r"^(.*)/[^/]+$", 1)
-    return [r[0] for r in archives.select(folder).distinct().collect()]
+    return unzip_to_landing(spark, landing, None, rule="stem", skip_landed=True).where("NOT ok").collect()
 
 
 def delta_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = FILES_PER_BATCH) -> DataFrame:
@@ -93,7 +86,8 @@ def ingest_deltas(
     Archives that cannot be unpacked raise ``DamagedArchives`` after the whole
     files are ingested (without ``wait``: after the query has started).
     Rows are written by the tasks that read them: a hot product never meets
-    in one task, at the price of one file per product and input split.
+    in one task, at the price of one file per product and input split. Use
+    ``ingest_compacted`` unless another tool needs the ``productId=`` folders.
     """
     damaged = land_archives(spark, landing)
     query = (
@@ -108,6 +102,55 @@ def ingest_deltas(
     return _finish(query, damaged, wait)
 
 
+def ingest_compacted(
+    spark: SparkSession,
+    landing: str,
+    store: str,
+    checkpoint: str,
+    max_files_per_trigger: int | None = FILES_PER_BATCH,
+    compact_files: int = COMPACT_FILES,
+    wait: bool = True,
+):
+    """As ``ingest_deltas``, into a store whose number of files follows its bytes (``plans.indexed_store``).
+
+    Each micro-batch is dealt by product once and becomes a few files, however
+    many products and input splits it has. When ``compact_files`` files are
+    small, they are rewritten as one step with the batch that made them so
+    many; readers see the rows once, before and after. A replayed batch (same
+    stream, same batch id) is recognised by the log and adds nothing. Read the
+    result with ``delta_rows`` or ``current_compacted``.
+    """
+    damaged = land_archives(spark, landing)
+
+    def apply(batch, batch_id):
+        stream = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+        indexed_store.append_rows(spark, store, batch, batch=f"{stream}/{batch_id}")
+        small = indexed_store.live_files(spark, store).filter(F.col("rows") < indexed_store.FILE_ROWS // 2)
+        if small.count() >= compact_files:
+            indexed_store.compact(spark, store, S.DELTA_SCHEMA)
+
+    query = (
+        delta_stream(spark, landing, max_files_per_trigger)
+        .writeStream.foreachBatch(apply)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    return _finish(query, damaged, wait)
+
+
+def delta_rows(spark: SparkSession, store: str) -> DataFrame:
+    """The delta rows that ``ingest_compacted`` has stored."""
+    return indexed_store.read_store(spark, store, S.DELTA_SCHEMA)
+
+
+def current_compacted(
+    spark: SparkSession, original: DataFrame, store: str, keys: Sequence[str] = ("vectorId",), insert_new: bool = False
+) -> DataFrame:
+    """Stored table with every delta of a compacted store applied."""
+    return merge_values(original, delta_rows(spark, store), keys=keys, value="value", insert_new=insert_new)
+
+
 def current_table(
     spark: SparkSession,
     original: DataFrame,
