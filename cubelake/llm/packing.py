@@ -165,7 +165,9 @@ class WordIds(dict):
         tokenizer.no_padding()
         self._encode, self._merge, self._older = tokenizer.encode, tokenizer.model.tokenize, {}
         self._alphabet = byte_alphabet()
-        vocab = json.loads(spec)["model"]["vocab"]
+        spec = json.loads(spec)
+        vocab = spec["model"]["vocab"]
+        self._added = [t["content"].lower().encode() for t in spec["added_tokens"]]
         self.sentence_end = np.zeros(tokenizer.get_vocab_size(with_added_tokens=True) + 1, bool)
         for token, i in vocab.items():
             word = token.removesuffix("</w>")
@@ -183,8 +185,9 @@ class WordIds(dict):
 
     def _new(self, word: bytes) -> bytes:
         low = word.lower()
-        if low != word:
-            return self[low]  # the tokenizer takes lower case
+        # The tokenizer takes lower case, but looks for its added tokens before that.
+        if low != word and not any(t in low for t in self._added):
+            return self[low]
         if word[-1:] in (b".", b",") and word[-2:-1].isalnum():
             return self[word[:-1]] + self[word[-1:]]  # letters or digits and a mark are pieces of their own
         text = word.decode("utf-8", "replace")
@@ -222,9 +225,12 @@ def pack(docs: DataFrame, vocabulary: str, limit: int = 4096, end_id: int = 2) -
 
     A document's tokens are those of the tokenizer in the file
     ``vocabulary`` (one bounded file, read by the driver and broadcast) and
-    ``end_id``. Null and empty texts are that one token. Each partition of
-    ``docs`` is packed in its own order; sequence ids of partitions never
-    meet. Repeated rows are packed each. Only doc_id and text are read.
+    ``end_id``. Null and empty texts are that one token; null doc_ids stay
+    null. Each partition of ``docs`` is packed in its own order; sequence ids
+    of partitions never meet. Repeated rows are packed each; an empty table
+    gives no pieces. Windows are planned over ``PLAN_TOKENS`` and the rest of
+    the last document at a time, so a very long text is in memory as its ids,
+    4 bytes each. Only doc_id and text are read, whatever else there is.
     """
     spark = docs.sparkSession
     ship(spark)

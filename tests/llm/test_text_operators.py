@@ -154,6 +154,18 @@ def test_packing_places_every_token_once(documents):
                 assert [r.offset for r in parts] == [0, *ends[:-1]] and ends[-1] <= limit
 
 
+def test_packing_finds_added_tokens_in_the_raw_text_only():
+    with open(WORD_BPE, encoding="utf-8") as f:
+        words = packing.WordIds(f.read())
+    library = Tokenizer.from_file(WORD_BPE)
+    rng = np.random.default_rng(4)
+    parts = ["<|endoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "<|startoftext|>", "<|STARTOFTEXT|>", "Hello", "WORLD", " ", ".", ","]
+    parts += ["é", "É", "x", "1", "<|", "|>", "endoftext", "\n", "don't", "'S", "İ", "ß", "ﬁ"]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts, rng.integers(1, 9)))
+        assert words.encode(text.encode(), b"").tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
 def brute_plan(total, ends, sentences, limit, free):
     """Least cost over all sets of the cuts that ``plan`` may use."""
     cost = {0: 0.0, total: 0.0} | dict.fromkeys(free, packing.FREE_CUT)
