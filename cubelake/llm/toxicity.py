@@ -17,13 +17,12 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterable
 from dataclasses import dataclass
-from itertools import pairwise
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cubelake.llm.common import ship, text_remainder
+from cubelake.llm.common import cut, ship, text_remainder
 
 WINDOW, STRIDE = 32, 16
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 8, 8
@@ -42,9 +41,8 @@ _KEEP = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
 
 def words_of(text: str | None) -> list[bytes]:
-    """Lower-case words; a run of one word counts once, as what is repeated says no more."""
-    words = (text or "").lower().encode("utf-8", "replace").translate(_KEEP).split()
-    return words[:1] + [word for before, word in pairwise(words) if word != before]
+    """Lower-case words, all of them."""
+    return (text or "").lower().encode("utf-8", "replace").translate(_KEEP).split()
 
 
 def _bucket(codes: np.ndarray) -> np.ndarray:
@@ -368,7 +366,9 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Up to MAX_ROWS (text, toxic) rows of each class, chosen by a hash of the id.
 
     Learns from rows of the training folds only. Rows without text or label,
-    and texts over MAX_CHARS, are left out of the sample.
+    and texts over MAX_CHARS, are left out of the sample; labels of other
+    documents change nothing. A document with labels of both kinds counts for
+    both classes, one with the same label twice once.
     """
     marked = labels.select(F.col("doc_id").alias("__id"), F.col("toxic").cast("int").alias("__toxic")).filter(
         F.col("__toxic").isin(0, 1) & F.col("__id").isNotNull() & ~held_out_fold(F.col("__id"))
@@ -376,12 +376,13 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").alias("__id"), F.col("text").cast("string").alias("__text")).filter(
         F.char_length("__text").between(1, MAX_CHARS)
     )
-    # The ids are drawn from the labels alone (twice as many, as some have no such text); only then texts are read.
+    # Drawn from the labelled ids that have such a text; ids alone are joined, and texts read for the drawn ones only.
+    there = cut(marked.distinct().join(rows.select("__id"), "__id", "left_semi"), "labelled")
     drawn = None
     for value in (0, 1):
-        part = marked.filter(F.col("__toxic") == value).orderBy(F.xxhash64("__id"), "__id").limit(2 * MAX_ROWS)
+        part = there.filter(F.col("__toxic") == value).orderBy(F.xxhash64("__id"), "__id").limit(MAX_ROWS)
         drawn = part if drawn is None else drawn.unionByName(part)
-    joined = rows.join(F.broadcast(drawn), "__id")  # at most 4 MAX_ROWS ids
+    joined = rows.join(F.broadcast(drawn), "__id")  # at most 2 MAX_ROWS ids
     out = None
     for value in (0, 1):
         part = joined.filter(F.col("__toxic") == value).orderBy(F.xxhash64("__id"), "__id", "__text").limit(MAX_ROWS)
@@ -416,6 +417,7 @@ def score(docs: DataFrame, model, text_col: str = "text") -> Column:
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, held_out, score, predicted.
 
+    Texts of any length are scored whole, in windows of ``WINDOW`` words.
     Null doc_ids are not held out. Equal texts get equal scores. With no
     labelled rows every score is 0; with one class, that class. Other columns
     are not read.

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from cubelake.llm import lang_id, queries, toxicity, url_filter
 
+from .test_similarity import brute_components
+
 SMALL = "/root/testdata/sf0.001"
 ODD = [(1001, None), (1002, ""), (1003, "12 34 ... !"), (1004, "\n"), (1004, "\n"), (None, "the of and"), (1005, "ing " * 300_000)]
 
@@ -178,6 +180,54 @@ def test_toxicity_of_odd_tables(spark, documents):
     assert toxicity.score_documents(documents([]), labels.limit(0)).collect() == []
 
 
+def test_labels_of_other_documents_change_no_score(spark, documents, monkeypatch):
+    monkeypatch.setattr(toxicity, "MAX_ROWS", 40)
+    rows = [(k, f"word{k % 7} " * 12 + ("vile scum " * 5 if k % 3 == 0 else "fine day ")) for k in range(150)]
+    docs = documents(rows)
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(150)], "doc_id long, toxic int")
+    strangers = spark.range(10_000, 15_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("toxic"))
+    sample = toxicity.training_sample(docs, labels.unionByName(strangers)).groupBy("toxic").count().collect()
+    assert {r.toxic: r["count"] for r in sample} == {0: 40, 1: 40}
+    alone, among = (
+        {r.doc_id: r.score for r in toxicity.score_documents(docs, found).collect()}
+        for found in (labels, labels.unionByName(strangers))
+    )
+    assert alone == among
+
+
+def plain_logit(net, words):
+    """The forward pass written out for one window."""
+    h, p = toxicity.HIDDEN, {k: v.astype(np.float64) for k, v in net.p.items()}
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    vectors = []
+    for w in words:
+        lex = toxicity.Lexicon.of([w])
+        vectors.append(np.concatenate([p["word"][lex.word[0]], 0.3 * sum(p["char"][g] for g in lex.grams)]))
+    directions = []
+    for d, order in ((0, vectors), (1, vectors[::-1])):
+        state, states = np.zeros(h), []
+        for v in order:
+            given, own = v @ p["x"][d] + p["b"][d, 0], state @ p["h"][d]
+            z, r = sigmoid(given[:h] + own[:h]), sigmoid(given[h : 2 * h] + own[h : 2 * h])
+            state = (1 - z) * np.tanh(given[2 * h :] + r * own[2 * h :]) + z * state
+            states.append(state)
+        directions.append(states if d == 0 else states[::-1])
+    both = np.array([np.concatenate(x) for x in zip(*directions)])
+    weight = np.exp(both @ p["att"])
+    return float((weight / weight.sum()) @ both @ p["out"] + p["bias"][0])
+
+
+def test_scores_are_those_of_the_worst_of_all_windows(network):
+    texts = ["one", "same same same " * 40, " ".join(f"w{k % 13} bad{k % 5}" for k in range(70)), "Été scum " * 33]
+    size, stride = toxicity.WINDOW, toxicity.STRIDE
+    for text, score in zip(texts, network.scores(texts)):
+        words = [w.encode() for w in text.lower().split()]
+        starts = range(0, max(len(words) - size + stride, 1), stride)
+        worst = max(plain_logit(network, words[s : s + size]) for s in starts)
+        assert abs(score - 1 / (1 + np.exp(-(worst - network.cut) * network.scale))) < 1e-4
+        assert starts[-1] + size >= len(words)
+
+
 # URL lists
 
 DAY = dt.datetime(2024, 1, 1)
@@ -259,6 +309,37 @@ def test_stages_keep_the_columns_and_the_clean_rows(spark):
     assert (pieces.groupby("doc_id").length.sum() == pieces.groupby("doc_id").doc_tokens.first()).all()
 
 
+def test_stages_against_brute_force(spark, monkeypatch):
+    """Each stage on what the one before kept, computed a second way."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    for name in ("__lang", "__row", "__toxicity", "document", "language", "__file", "__place", "__number"):
+        docs = docs.withColumn(name, F.lit(f"their {name}"))
+    order = docs.columns
+    rows = [r.asDict() for r in docs.collect()]
+
+    def frame(kept):
+        return spark.createDataFrame([tuple(r[c] for c in order) for r in kept], docs.schema).coalesce(1)
+
+    def same(got, wanted):
+        key = lambda r: (r["doc_id"], r["text"])
+        assert sorted((r.asDict() for r in got.collect()), key=key) == sorted(wanted, key=key)
+
+    found = {r.doc_id: r for r in lang_id.identify_documents(frame(rows)).collect()}
+    wanted = [r for r in rows if found[r["doc_id"]].lang_pred != "und" and found[r["doc_id"]].score >= 0.25]
+    same(corpus_pipeline.keep_identified(spark, frame(rows), SMALL), wanted)
+    rows = wanted
+
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    model = toxicity.train(frame(rows), labels)
+    wanted = [r for r, s in zip(rows, model.scores([r["text"] for r in rows])) if s < 0.5]
+    same(corpus_pipeline.drop_toxic(spark, frame(rows), SMALL), wanted)
+    rows = wanted
+
+    first = brute_components([(k, r["text"]) for k, r in enumerate(rows)], 5, 80)
+    wanted = [rows[k] for k, _, least in first if k == least]
+    same(corpus_pipeline.drop_near_copies(spark, frame(rows), SMALL), wanted)
+
+
 def test_near_copies_leave_one_of_each_group(documents, spark):
     base = " ".join(f"w{k}" for k in range(100))
     rows = [(1, base), (2, base), (3, base + " more"), (4, "other text entirely " * 3), (5, None), (6, None), (1, base)]
