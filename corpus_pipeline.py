@@ -24,36 +24,49 @@ MIN_LANGUAGE_SCORE = 0.25
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
-def _kept(docs: DataFrame, marked: DataFrame, keep) -> DataFrame:
-    return marked.filter(keep).select(*[F.col(f"`{c}`") for c in docs.columns])
+def _whole(docs: DataFrame):
+    """All columns as one, so that no name of them can clash with a helper's."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document")
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text some learned language claims; learned from the rows of ``docs`` that name theirs."""
+    """Documents whose text some learned language claims; learned from the rows of ``docs`` that name theirs.
+
+    Null texts and texts without a letter go; repeated rows share their fate.
+    If no row names a language, nothing is claimed. An empty table stays empty.
+    """
     filters = lang_id.train(docs.filter(~lang_id.held_out_fold(F.col("doc_id"))))
-    found = docs.withColumn("__lang", lang_id.identify(docs, filters))
-    identified = (F.col("__lang.lang_pred") != lang_id.UNDETERMINED) & (F.col("__lang.score") >= MIN_LANGUAGE_SCORE)
-    return _kept(docs, found, identified)
+    found = docs.select(_whole(docs), lang_id.identify(docs, filters).alias("language"))
+    identified = (F.col("language.lang_pred") != lang_id.UNDETERMINED) & (F.col("language.score") >= MIN_LANGUAGE_SCORE)
+    return found.filter(identified).select("document.*")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the network, trained on the labelled rows of ``docs``, does not find toxic."""
+    """Documents that the network, trained on the labelled rows of ``docs``, does not find toxic.
+
+    Null and empty texts stay; repeated rows share their fate. With labels of
+    one class only, all go (all toxic) or stay. An empty table stays empty.
+    """
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    found = docs.withColumn("__toxicity", toxicity.score(docs, model))
-    return _kept(docs, found, F.col("__toxicity") < 0.5)
+    found = docs.select(_whole(docs), toxicity.score(docs, model).alias("score"))
+    return found.filter("score < 0.5").select("document.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the first in the order of the table. Wordless ones all stay."""
-    rows = numbered(docs, [F.col(f"`{c}`") for c in docs.columns], "rows")
+    """One document of each group of near copies: the first in the order of the table.
+
+    Wordless texts (null ones too) all stay, repeated rows are copies, null
+    doc_ids matter to nothing. An empty table stays empty.
+    """
+    rows = numbered(docs, [_whole(docs), F.col("text")], "rows")
     keyed = rows.select(F.col("__row").alias("doc_id"), "text")
     linked = jaccard.link_components(keyed, NEAR_WORDS, NEAR_PERCENT)
     copies = cut(linked.filter("component_id <> doc_id").select(F.col("doc_id").alias("__row")), "near-copies")
-    return _kept(docs, rows.join(copies, "__row", "left_anti"), F.lit(True))
+    return rows.join(copies, "__row", "left_anti").select("document.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences of at most 4096 tokens."""
+    """Pieces of all documents in sequences of at most 4096 tokens; null and empty texts are one token each."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
