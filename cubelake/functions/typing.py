@@ -77,30 +77,46 @@ _NUMERIC_START = list("0123456789+-.")
 _BIT = {t: 1 << i for i, t in enumerate(CANDIDATES)}
 
 
+def _plain_int(c: Column) -> Column:
+    """Text that is a BIGINT written the usual way (no sign +, blanks or leading zeros); false for null.
+
+    A cast there and back is several times cheaper than a pattern, which takes
+    the text out of Spark's own string type. A cast that fails is dearer than
+    both: ask only about text that looks like a whole number.
+    """
+    return F.coalesce(c.try_cast("bigint").cast("string") == c, F.lit(False))
+
+
 def type_mask(c: Column) -> Column:
     """Bit ``CANDIDATES.index(t)`` set when ``c`` passes ``guard(c, t)``.
 
     The same answer as testing every guard, evaluated as a decision chain so
-    that most values need one or two pattern tests: text not starting like a
-    number can only be a boolean; an integer literal is also a double (and a
-    boolean when it is 0 or 1); dates, timestamps and decimals exclude each
-    other. Null for null text (null spellings), so ``bit_and`` skips it.
+    that most values need no pattern test or one: text not starting like a
+    number can only be a boolean; only text with a dash in fifth place can be
+    a date or a timestamp; text with a point can be a double alone; what is
+    left is mostly a plain integer, which a cast tells. An integer literal is
+    also a double (and a boolean when it is 0 or 1). Null for null text (null
+    spellings), so ``bit_and`` skips it.
     """
     b = lambda t: F.lit(_BIT[t])
     none = F.lit(0)
     is_bool = c.isin(S.CSV_TRUE_SPELLINGS + S.CSV_FALSE_SPELLINGS)
     starts_numeric = F.substring(F.ltrim(c), 1, 1).isin(_NUMERIC_START)
+    dash = F.substring(c, 5, 1) == "-"
+    maybe_bool = F.when(is_bool, b("boolean")).otherwise(none)
+    plain = F.lit(_BIT["bigint"] | _BIT["double"]).bitwiseOR(maybe_bool)
     int_mask = (
         F.when(c.try_cast("bigint").isNotNull(), b("bigint")).otherwise(none)
         .bitwiseOR(b("double"))
-        .bitwiseOR(F.when(is_bool, b("boolean")).otherwise(none))
+        .bitwiseOR(maybe_bool)
     )
     mask = (
-        F.when(~starts_numeric, F.when(is_bool, b("boolean")).otherwise(none))
-        .when(c.rlike(_INT_RE), int_mask)
-        .when(c.rlike(_DATE_RE), F.when(F.try_to_date(c, "yyyy-MM-dd").isNotNull(), b("date")).otherwise(none))
-        .when(c.rlike(_TS_RE), F.when(guard(c, "timestamp"), b("timestamp")).otherwise(none))
-        .when(c.rlike(_FLOAT_RE), F.when(c.try_cast("double").isNotNull(), b("double")).otherwise(none))
+        F.when(~starts_numeric, maybe_bool)
+        .when(dash & c.rlike(_DATE_RE), F.when(F.try_to_date(c, "yyyy-MM-dd").isNotNull(), b("date")).otherwise(none))
+        .when(dash & c.rlike(_TS_RE), F.when(guard(c, "timestamp"), b("timestamp")).otherwise(none))
+        .when(c.contains("."), F.when(c.rlike(_FLOAT_RE), b("double")).otherwise(none))
+        .when(_plain_int(c), plain)
+        .when(c.rlike(_FLOAT_RE), F.when(c.rlike(_INT_RE), int_mask).otherwise(b("double")))
         .otherwise(none)
     )
     return F.when(~is_null_spelling(c), mask)

@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cubelake import schemas as S
-from cubelake.functions.columns import is_null_spelling
 from cubelake.functions.typing import CANDIDATES, int_or_null, is_string_override, type_mask, value_type
 from cubelake.sources.cube_csv import CORRUPT
 
@@ -31,6 +30,36 @@ def fixed_type(name: str) -> str | None:
     return None
 
 
+def _evidence(text: DataFrame, columns: dict[int, str], key: str, integers: list[int]) -> DataFrame:
+    """One row per ``key``: rows, malformed rows, and ``mask_i`` (and ``max_i``) of the columns numbered so.
+
+    The cells of a row are taken one below the other, so that there is one
+    mask expression however many columns there are: written out per column,
+    it grows past what the JVM compiles, and every value then costs several
+    times as much. Cells meet in partial aggregates per cube and column.
+    """
+    numbers = list(columns)
+    cell = F.posexplode(F.array(*[_q(c) for c in columns.values()])).alias("_at", "_cell")
+    cells = text.select(F.col(key), F.col(CORRUPT).isNotNull().alias("_broken"), cell)
+    wanted = [i for i, n in enumerate(numbers) if n in integers]
+    largest = F.when(F.col("_at").isin(wanted), int_or_null(F.col("_cell"))) if wanted else F.lit(None).cast("bigint")
+    per_column = cells.groupBy(key, "_at").agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.count_if("_broken").alias("_bad"),
+        F.bit_and(type_mask(F.col("_cell"))).alias("mask"),
+        F.max(largest).alias("max"),
+    )
+    found = F.map_from_entries(F.collect_list(F.struct("_at", F.struct("mask", "max")))).alias("found")
+    per_cube = per_column.groupBy(key).agg(F.max("_rows").alias("_rows"), F.max("_bad").alias("_bad"), found)
+    return per_cube.select(
+        key,
+        "_rows",
+        "_bad",
+        *[F.col("found")[i]["mask"].alias(f"mask_{n}") for i, n in enumerate(numbers)],
+        *[F.col("found")[i]["max"].alias(f"max_{n}") for i, n in enumerate(numbers) if n in integers],
+    )
+
+
 def inference_aggregates(
     text: DataFrame, names: list[str], key: str = "product_id", overrides: bool = True
 ) -> DataFrame:
@@ -41,16 +70,9 @@ def inference_aggregates(
     Every column is referenced, so the CSV parser checks whole rows and
     ragged rows show up in the corrupt-record count.
     """
-    aggs = [F.count(F.lit(1)).alias("_rows"), F.count(F.col(CORRUPT)).alias("_bad")]
-    for i, name in enumerate(names):
-        c = _q(name)
-        if overrides and fixed_type(name) is not None:
-            aggs.append(F.count(c).alias(f"n_{i}"))
-        else:
-            aggs.append(F.bit_and(type_mask(c)).alias(f"mask_{i}"))
-    if S.DECIMALS_COLUMN in names:
-        aggs.append(F.max(int_or_null(_q(S.DECIMALS_COLUMN))).alias("_max_dec"))
-    return text.groupBy(key).agg(*aggs)
+    decimals = [i for i, n in enumerate(names) if n == S.DECIMALS_COLUMN]
+    found = _evidence(text, dict(enumerate(names)), key, decimals)
+    return found.withColumnRenamed(f"max_{decimals[0]}", "_max_dec") if decimals else found
 
 
 def _passes(mask: int | None, type_name: str) -> bool:
@@ -135,19 +157,12 @@ def positional_aggregates(text: DataFrame, headers: list[list[str]], key: str =
     with another number of fields keeps its raw line in the corrupt-record
     column and counts as malformed. A position gets a type mask unless it is
     text by name in every header, and its largest integer only if it is
-    DECIMALS in one of them; the others are counted, which makes the parser
-    look at whole rows.
+    DECIMALS in one of them. The scan must have parsed whole rows already.
     """
-    aggs = [F.count(F.lit(1)).alias("_rows"), F.count(F.col(CORRUPT)).alias("_bad")]
-    for i, name in enumerate(positional_names(len(headers[0]))):
-        c = F.col(name)
-        if all(fixed_type(names[i]) is not None for names in headers):
-            aggs.append(F.count(c).alias(f"n_{i}"))
-        else:
-            aggs.append(F.bit_and(type_mask(c)).alias(f"mask_{i}"))
-        if any(names[i] == S.DECIMALS_COLUMN for names in headers):
-            aggs.append(F.max(int_or_null(c)).alias(f"max_{i}"))
-    return text.groupBy(key).agg(*aggs)
+    names = positional_names(len(headers[0]))
+    open_ = [i for i in range(len(names)) if any(fixed_type(h[i]) is None for h in headers)]
+    decimals = [i for i in open_ if any(h[i] == S.DECIMALS_COLUMN for h in headers)]
+    return _evidence(text, {i: names[i] for i in open_ or [0]}, key, decimals)
 
 
 def decide_positional(stats_row, names: list[str]) -> CubeTypes:

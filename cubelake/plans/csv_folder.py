@@ -14,7 +14,7 @@ from __future__ import annotations
 import hashlib
 from collections import defaultdict
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from cubelake.functions.typing import cast_text
@@ -22,7 +22,14 @@ from cubelake.operators.inference import decide_types, inference_aggregates
 from cubelake.operators.scaling import scale_cube_value
 from cubelake.plans.layout import publish_all
 from cubelake.session import scratch_dir
-from cubelake.sources.cube_csv import list_files, read_cube_text, read_headers
+from cubelake.sources.cube_csv import (
+    CSV_GLOB,
+    headers_from_lines,
+    list_files,
+    read_cube_text,
+    read_headers,
+    read_headers_spark,
+)
 
 FILE_KEY = "_file"
 
@@ -35,7 +42,7 @@ def sibling_parquet(path: str) -> str:
     return (path[: -len(".csv")] if path.lower().endswith(".csv") else path) + ".parquet"
 
 
-def transform_csv_folder(spark: SparkSession, folder: str, glob: str = "*.csv", work: str | None = None) -> DataFrame:
+def transform_csv_folder(spark: SparkSession, folder: str, glob: str = CSV_GLOB, work: str | None = None) -> DataFrame:
     """Write ``<name>.parquet`` next to every ``<name>.csv`` under ``folder``.
 
     Returns one status row per file: ``(path, ok, reason, rows, output)``.
@@ -43,6 +50,11 @@ def transform_csv_folder(spark: SparkSession, folder: str, glob: str = "*.csv",
     """
     work = work or scratch_dir(spark, "csv-folder")
     headers = read_headers(list_files(spark, folder, glob).select("path")).collect()
+    unreadable = [h.path for h in headers if h.error and h.error.startswith("unreadable")]
+    if unreadable:  # by Python; Spark's own reader knows more file systems
+        fixed = headers_from_lines(read_headers_spark(spark, unreadable).collect())
+        headers = [h if h.path not in fixed else Row(h.path, *fixed[h.path]) for h in headers]
+        headers = [Row(path=h[0], names=h[1], error=h[2]) for h in headers]
     status: dict[str, tuple] = {}
     by_header: dict[tuple[str, ...], list[str]] = defaultdict(list)
     for h in headers:

@@ -3,12 +3,14 @@
 One run handles any number of cubes, whatever their headers:
 
 1. list the landed files and read each file's header line (one small job);
-2. per header width, one all-text scan with positional columns feeds one
-   aggregate with, per cube, the row count, the malformed rows, the type
-   evidence of the positions that need it and the largest DECIMALS;
-3. per (header, types) group one typed write into staging, partitioned by
-   ``product_id`` with ``year`` stored in the files; groups run side by side;
-4. a listing job measures each staged cube; small cubes are moved into
+2. per header width, the CSV text is parsed once, into columnar staging with
+   positional text columns;
+3. one aggregate over that staging gives, per cube, the row count, the malformed
+   rows, the type evidence of the positions that need it and the largest DECIMALS;
+4. per (header, types) group one typed write from there into cube staging,
+   partitioned by ``product_id`` with ``year`` stored in the files; groups run
+   side by side;
+5. a listing job measures each staged cube; small cubes are moved into
    place as they are (flat), large ones are rewritten into ``year=`` folders
    by one job per group, then moved into place.
 
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import logging
 import time
+import uuid
 from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable, Iterable
@@ -41,7 +44,7 @@ from cubelake.operators.inference import (
 )
 from cubelake.plans import layout
 from cubelake.session import folder_parallel_writes, scratch_dir
-from cubelake.sources.cube_csv import CSV_GLOB, cube_key, list_files, qualified_root, read_cube_text, read_headers
+from cubelake.sources.cube_csv import CSV_GLOB, cube_key, list_files, qualified_root, read_cube_text, read_headers, text_schema
 from cubelake.sources.lake import cube_path
 
 log = logging.getLogger(__name__)
@@ -178,16 +181,19 @@ def prepare_cubes(
             continue
         by_header[names].append(pid)
 
-    # One scan and one aggregate per header width (few), whatever the names.
+    # One scan of the CSV and one aggregate per header width (few), whatever the names.
     names_of = {pid: names for names, pids in by_header.items() for pid in pids}
+    parsed = f"{work}/parsed-{uuid.uuid4().hex}"
     if names_of:
         decided = {}
         for width in sorted({len(n) for n in names_of.values()}):
             pids = sorted(p for p, n in names_of.items() if len(n) == width)
             text = read_cube_text(spark, [r.path for pid in pids for r in by_cube[pid]], positional_names(width))
+            with _step(f"parse cubes of {width} columns"):
+                text.withColumn("product_id", cube_key("_path", root)).drop("_path").write.parquet(f"{parsed}/w{width}")
             headers_here = [list(n) for n in sorted({names_of[p] for p in pids})]
             with _step(f"infer cubes of {width} columns"):
-                stats = positional_aggregates(text.withColumn("product_id", cube_key("_path", root)), headers_here)
+                stats = positional_aggregates(_parsed(spark, parsed, width), headers_here)
                 for r in stats.collect():  # one row per cube
                     decided[r["product_id"]] = decide_positional(r, list(names_of[r["product_id"]]))
         for pid, names in names_of.items():  # header-only files have no rows
@@ -204,10 +210,9 @@ def prepare_cubes(
         def build(gi: int, names_t: tuple, types: tuple, gpids: list[int]) -> None:
             names = list(names_t)
             stage = f"{work}/stage/g{gi}"
-            gpaths = [r.path for pid in gpids for r in by_cube[pid]]
-            typed = read_cube_text(spark, gpaths, names).select(
-                cube_key("_path", root).alias("product_id"), *typed_columns(names, types, blank_strings)
-            )
+            text = _parsed(spark, parsed, len(names)).where(F.col("product_id").isin(gpids))
+            text = text.select("product_id", *[F.col(c).alias(n) for c, n in zip(positional_names(len(names)), names)])
+            typed = text.select("product_id", *typed_columns(names, types, blank_strings))
             with _step(f"stage group {gi}"):
                 typed.write.mode("overwrite").partitionBy("product_id").parquet(stage)
             with _step(f"place group {gi}"):
@@ -226,6 +231,7 @@ def prepare_cubes(
             futures = [pool.submit(build, gi, key[0], key[1], gpids) for gi, (key, gpids) in enumerate(ordered)]
             for f in futures:
                 f.result()
+        fs.delete(spark, parsed)
 
     rows = [
         (s.product_id, s.ok, s.reason, s.layout, s.rows, s.bytes, s.destination, s.schema)
@@ -234,6 +240,12 @@ def prepare_cubes(
     return spark.createDataFrame(rows, STATUS_SCHEMA)
 
 
+def _parsed(spark: SparkSession, folder: str, width: int) -> DataFrame:
+    """The staged text of the cubes with so many columns, and their ``product_id``."""
+    schema = text_schema(positional_names(width)).add("product_id", "long")
+    return spark.read.schema(schema).parquet(f"{folder}/w{width}")
+
+
 def _place(spark, stage, large_stage, pids, statuses, destination, threshold, empty_schema) -> None:
     from cubelake.operators.stats import dataset_sizes
 

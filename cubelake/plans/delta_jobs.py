@@ -86,9 +86,10 @@ def merge_into_store(
     shared = [c for c in stored.columns if c in delta.columns and c not in keyed] if insert_new else []
     latest_per_key(delta, keyed, "value", carry=shared).write.mode("overwrite").parquet(f"{work}/delta")
     winners = spark.read.parquet(f"{work}/delta")
-    # The comparison is always true; it lets the planner take the product list as a filter worth pruning with.
+    # The filter lets the planner take the product list as one worth pruning with. Rows of a null product
+    # match none of the delta, so leaving them alone is right.
     touched = winners.select(F.col(product).cast(stored.schema[product].dataType)).distinct()
-    touched = touched.where(F.col(product) > F.lit(-(1 << 31)))
+    touched = touched.where(F.col(product).isNotNull())
     merged = merge_values(stored.join(touched, product, "left_semi"), winners, keyed, "value", insert_new)
     staging = f"{work}/staged"
     merged.write.mode("overwrite").parquet(staging)  # flat: a few files, not a folder per product

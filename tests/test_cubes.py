@@ -4,6 +4,7 @@ import os
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cubelake.plans.cube_etl import prepare_cube, prepare_cubes
@@ -188,3 +189,42 @@ def test_header_only_cube_publishes_empty_table(spark, tmp_dir):
     assert status[51].ok and status[51].rows == 0 and status[52].ok
     empty = read_cube(spark, lake, 51)
     assert empty.count() == 0 and "VALUE" in empty.columns
+
+
+def test_csv_folder_takes_every_spelling_of_the_ending(spark, tmp_dir):
+    from cubelake.plans.csv_folder import transform_csv_folder
+
+    line = "REF_DATE,VALUE,SCALAR_ID,DECIMALS,UOM_ID,SCALAR_FACTOR\n2020,5,1,0,1,units\n"
+    for name in ("x.CSV", "y.csv", "z.Csv"):
+        with open(os.path.join(tmp_dir, name), "w") as f:
+            f.write(line)
+    rows = transform_csv_folder(spark, tmp_dir).collect()
+    assert [(os.path.basename(r.path), r.ok, r.rows) for r in rows] == [("x.CSV", True, 1), ("y.csv", True, 1), ("z.Csv", True, 1)]
+    assert spark.read.parquet(os.path.join(tmp_dir, "x.parquet")).first().VALUE == 50
+
+
+def test_the_csv_is_parsed_once(spark, tmp_dir, monkeypatch):
+    from cubelake.plans import cube_etl
+
+    calls = []
+    read = cube_etl.read_cube_text
+    monkeypatch.setattr(cube_etl, "read_cube_text", lambda *a: calls.append(a) or read(*a))
+    for pid, value in ((1, "5"), (2, "5.5"), (3, "x")):  # three kinds of types
+        with open(os.path.join(tmp_dir, f"{pid}.csv"), "w") as f:
+            f.write(f"REF_DATE,GEO,NOTE\n2020-01,a,{value}\n2021-01,b,{value}\n")
+    status = cube_etl.prepare_cubes(spark, tmp_dir, os.path.join(tmp_dir, "lake"), work=os.path.join(tmp_dir, "work")).collect()
+    assert [r.ok for r in status] == [True] * 3 and len(calls) == 1
+    assert not [n for n in os.listdir(os.path.join(tmp_dir, "work")) if n.startswith("parsed")]
+
+
+def test_masks_are_those_of_the_guards(spark):
+    from cubelake.functions.typing import CANDIDATES, guard, type_mask
+
+    values = """0 1 +1 -1 007 9223372036854775807 9223372036854775808 1. .5 1.5 1.5e-3 1e5 1500-1 2020-01-01 2020-02-30
+        2020-01-01T10:00 2020-01-01T25:00 2020-01-01T10:00:00.5Z 2020-01 true False y 1d NaN -Infinity 0x10 1,000 - . + e5 1.2.3""".split()
+    values += [" 5 ", "\t5", "5\n", "2020-01-01 10:00", "", "1 2", "٣"]
+    rows = spark.createDataFrame([(v,) for v in values], "v string")
+    flags = [F.coalesce(guard(F.col("v"), t), F.lit(False)).alias(t) for t in CANDIDATES]
+    for r in rows.select("v", type_mask(F.col("v")).alias("mask"), *flags).collect():
+        if r["mask"] is not None:  # null spellings have none
+            assert r["mask"] == sum(r[t] << i for i, t in enumerate(CANDIDATES)), r
