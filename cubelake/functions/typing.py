@@ -101,7 +101,7 @@ def type_mask(c: Column) -> Column:
     b = lambda t: F.lit(_BIT[t])
     none = F.lit(0)
     is_bool = c.isin(S.CSV_TRUE_SPELLINGS + S.CSV_FALSE_SPELLINGS)
-    starts_numeric = F.substring(F.ltrim(c), 1, 1).isin(_NUMERIC_START)
+    starts_numeric = F.substring(F.ltrim(c, F.lit(" \t")), 1, 1).isin(_NUMERIC_START)
     dash = F.substring(c, 5, 1) == "-"
     maybe_bool = F.when(is_bool, b("boolean")).otherwise(none)
     plain = F.lit(_BIT["bigint"] | _BIT["double"]).bitwiseOR(maybe_bool)
