@@ -13,6 +13,7 @@ monotone queue, or one that stands a power of two before it.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from array import array
 from collections import deque
@@ -33,12 +34,17 @@ SENTENCE_CUT, FREE_CUT, WINDOW_COST = 8.0, 64.0, 128.0
 GRID = 256
 #: Tokens planned at once; the last, unfinished window goes on into the next plan.
 PLAN_TOKENS = 1 << 20
-#: Words whose ids a worker keeps; at that number the older half is let go.
-CACHE_WORDS = 400_000
+#: Words whose ids a worker keeps (about 200 bytes each); at that number the older half is let go.
+CACHE_WORDS = 1_000_000
 
 # Characters that end a sentence.
 _SENTENCE_END = set(".!?…。！？")
 
+#: A mark after a letter or digit at a word's end: a piece of its own.
+_MARK = re.compile(rb"[.,](?<=[0-9A-Za-z].)(?![^ \t\n\r\x0b\x0c])")
+#: Letters and the marks after them are pieces of their own (an apostrophe may go with letters).
+_LETTERS_MARKS = re.compile(rb"([a-z]+)([!-&(-/:-@\[-`{-~]+)")
+
 
 def plan(total: int, ends: np.ndarray, sentences: np.ndarray, limit: int) -> list[int]:
     """Window ends, ascending, the last being ``total``.
@@ -190,6 +196,8 @@ class WordIds(dict):
             return self[low]
         if word[-1:] in (b".", b",") and word[-2:-1].isalnum():
             return self[word[:-1]] + self[word[-1:]]  # letters or digits and a mark are pieces of their own
+        if parts := _LETTERS_MARKS.fullmatch(word):
+            return self[parts[1]] + self[parts[2]]
         text = word.decode("utf-8", "replace")
         if text.isascii() and text.isalpha():
             found = [t.id for t in self._merge(text)]
@@ -201,7 +209,10 @@ class WordIds(dict):
         return array("I", found).tobytes()
 
     def encode(self, text: bytes, end: bytes) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.__getitem__, text.split())) + end, "<u4")
+        low = text.lower()
+        # What makes few words into many is taken off the whole text at once, if no added token stands in it.
+        words = text.split() if any(t in low for t in self._added) else _MARK.sub(rb" \g<0>", low).split()
+        return np.frombuffer(b"".join(map(self.__getitem__, words)) + end, "<u4")
 
 
 _LOADED: dict[int, WordIds] = {}
