@@ -12,6 +12,7 @@ monotone queue, or one that stands a power of two before it.
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 import zlib
@@ -190,6 +191,8 @@ class WordIds(dict):
         return ids
 
     def _new(self, word: bytes) -> bytes:
+        if word.isalpha() and word.islower():  # ASCII letters, the most frequent kind
+            return array("I", [t.id for t in self._merge(word.decode())]).tobytes()
         low = word.lower()
         # The tokenizer takes lower case, but looks for its added tokens before that.
         if low != word and not any(t in low for t in self._added):
@@ -199,9 +202,7 @@ class WordIds(dict):
         if parts := _LETTERS_MARKS.fullmatch(word):
             return self[parts[1]] + self[parts[2]]
         text = word.decode("utf-8", "replace")
-        if text.isascii() and text.isalpha():
-            found = [t.id for t in self._merge(text)]
-        elif text.isalpha() and max(text) < "\u0250" and text == text.lower() and is_normalized("NFC", text):
+        if text.isalpha() and max(text) < "\u0250" and text == text.lower() and is_normalized("NFC", text):
             # One piece of normalized Latin letters: its bytes, spelled in the vocabulary's alphabet.
             found = [t.id for t in self._merge("".join(map(self._alphabet.__getitem__, word)))]
         else:
@@ -259,16 +260,22 @@ def pack(docs: DataFrame, vocabulary: str, limit: int = 4096, end_id: int = 2) -
             columns[5] = [base + s for s in columns[5]]
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
-        for batch in batches:
-            for row, doc_id, text in zip(*batch.columns, strict=True):
-                if base is None:
-                    base = row.as_py() >> ROW_BITS << ROW_BITS
-                raw = text.as_buffer()
-                ids = words.encode(b"" if raw is None else raw.to_pybytes(), end)
-                if rows := list(run.add(doc_id.as_py(), ids)):
-                    yield out(rows)
-        if rows := list(run.finish()):
-            yield out(rows)
+        # Nothing here is cyclic, and looking for cycles among that many small objects takes a tenth of the time.
+        often = gc.get_threshold()
+        gc.set_threshold(100_000, *often[1:])
+        try:
+            for batch in batches:
+                for row, doc_id, text in zip(*batch.columns, strict=True):
+                    if base is None:
+                        base = row.as_py() >> ROW_BITS << ROW_BITS
+                    raw = text.as_buffer()
+                    ids = words.encode(b"" if raw is None else raw.to_pybytes(), end)
+                    if rows := list(run.add(doc_id.as_py(), ids)):
+                        yield out(rows)
+            if rows := list(run.finish()):
+                yield out(rows)
+        finally:
+            gc.set_threshold(*often)
 
     return docs.select(
         F.monotonically_increasing_id(), F.col("doc_id").cast("long"), F.col("text").cast("string").cast("binary")
