@@ -74,6 +74,23 @@ def ship(spark: SparkSession) -> None:
         spark.conf.set(_ARROW_ROWS, "512")
 
 
+_HELD: dict = {}
+
+
+def held(kind: str, key: object, make):
+    """Something large that a Python worker keeps from task to task, made when it is new.
+
+    A worker keeps one such thing: when it turns to another operator, what
+    the last one kept goes (``make`` None: nothing takes its place).
+    """
+    if (kind, key) not in _HELD:
+        _HELD.clear()
+        if make is None:
+            return None
+        _HELD[kind, key] = make()
+    return _HELD[kind, key]
+
+
 def text_remainder(doc_id: Column, n: int) -> Column:
     """crc32 of the id written as text, modulo ``n`` (the contract's folds)."""
     return F.crc32(doc_id.cast("string").cast("binary")) % n

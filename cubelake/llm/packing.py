@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cubelake.llm.bpe import byte_alphabet
-from cubelake.llm.common import ROW_BITS, ship
+from cubelake.llm.common import ROW_BITS, held, ship
 
 #: Penalties, in tokens of padding.
 SENTENCE_CUT, FREE_CUT, WINDOW_COST = 8.0, 64.0, 128.0
@@ -36,7 +36,7 @@ GRID = 256
 #: Tokens planned at once; the last, unfinished window goes on into the next plan.
 PLAN_TOKENS = 1 << 20
 #: Words whose ids a worker keeps (about 200 bytes each); at that number the older half is let go.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 600_000
 
 # Characters that end a sentence.
 _SENTENCE_END = set(".!?…。！？")
@@ -216,15 +216,8 @@ class WordIds(dict):
         return np.frombuffer(b"".join(map(self.__getitem__, words)) + end, "<u4")
 
 
-_LOADED: dict[int, WordIds] = {}
-
-
 def _loaded(spec: str) -> WordIds:
-    key = hash(spec)
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = WordIds(spec)
-    return _LOADED[key]
+    return held("packing", hash(spec), lambda: WordIds(spec))
 
 
 PIECES = (

@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cubelake.llm.common import cut, ship, text_remainder
+from cubelake.llm.common import cut, held, ship, text_remainder
 
 WINDOW, STRIDE = 32, 16
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 8, 8
@@ -409,6 +409,7 @@ def score(docs: DataFrame, model, text_col: str = "text") -> Column:
     def of_text(texts):
         import pandas as pd
 
+        held("toxicity", None, None)
         return pd.Series(shared.value.scores(texts.tolist()))
 
     return of_text(F.col(text_col).cast("string"))
