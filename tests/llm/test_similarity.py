@@ -119,14 +119,8 @@ def test_small_searches_are_exact(spark):
         assert all(r.score == pytest.approx(scores[r[:2]], abs=1e-12) for r in got)
 
 
-def test_partitions_reach_the_recall(spark, monkeypatch):
-    monkeypatch.setattr(ann, "PART_ROWS", 128)
-    monkeypatch.setattr(ann, "BLOCK", 100)
-    rng = np.random.default_rng(2)
-    centres = rng.standard_normal((12, 16))
-    x = (centres[rng.integers(0, 12, 1500)] + 0.4 * rng.standard_normal((1500, 16))).astype(np.float32)
-    got = ann.search(embeddings(spark, [(k, [float(c) for c in v]) for k, v in enumerate(x)]), F.col("vec_id") % 20 == 0)
-    got = got.toPandas()
+def recall_of(x, got):
+    """Share of the true 20 nearest found; every query has its 20 ranks."""
     x = x.astype(float)
     hits = 0
     for q, part in got.groupby("query_id"):
@@ -134,9 +128,48 @@ def test_partitions_reach_the_recall(spark, monkeypatch):
         score[q] = -np.inf
         hits += len(set(part.vec_id) & set(np.argsort(-score)[:20]))
         assert list(part.sort_values("rank")["rank"]) == list(range(1, 21))
-    assert hits >= 0.95 * 20 * 75
-    router = ann.fit(x[:1000].astype(np.float32), 8)
-    assert router.probes < 8 and router.probabilities(x[:5]).sum(axis=1) == pytest.approx(1)
+    return hits / (20 * got.query_id.nunique())
+
+
+def clustered(rng, clusters, rows, dim):
+    centres = rng.standard_normal((clusters, dim))
+    return (centres[rng.integers(0, clusters, rows)] + 0.4 * rng.standard_normal((rows, dim))).astype(np.float32)
+
+
+@pytest.mark.parametrize("one_level", [256, 8])
+def test_partitions_reach_the_recall(spark, monkeypatch, caplog, one_level):
+    monkeypatch.setattr(ann, "LEAF_ROWS", 32)
+    monkeypatch.setattr(ann, "ONE_LEVEL", one_level)
+    monkeypatch.setattr(ann, "BLOCK", 100)
+    x = clustered(np.random.default_rng(2), 12, 1500, 16)
+    rows = [(k, [float(c) for c in v]) for k, v in enumerate(x)]
+    with caplog.at_level("INFO", logger=ann.__name__):
+        got = ann.search(embeddings(spark, rows), F.col("vec_id") % 20 == 0).toPandas()
+    assert got.query_id.nunique() == 75 and recall_of(x, got) >= 0.95
+    count, leaves, probes = caplog.records[-1].args[:3]
+    assert count == 1500 and leaves >= 36 and probes <= leaves // 2
+
+
+def test_leaves_rank_all_once_and_start_at_home():
+    rng = np.random.default_rng(5)
+    x = clustered(rng, 6, 400, 8)
+    tree = ann.Tree(ann.fit(x, 4), [ann.fit(x, 3), ann.fit(x, 1), ann.fit(x, 5), ann.fit(x, 2)])
+    ranked = tree.ranked(x[:50])
+    assert tree.leaves == 11 and (np.sort(ranked, axis=1) == np.arange(11)).all()
+    assert (ranked[:, 0] == tree.home(x[:50])).all()
+    assert tree.top.probabilities(x[:5]).sum(axis=1) == pytest.approx(1)
+
+
+def test_leaves_grow_with_the_root_of_the_rows():
+    assert [ann.leaf_count(n) for n in (0, 1, 127, 128, 2000, 10_256, 200_000, 10**9)] == [1, 1, 1, 2, 31, 102, 448, 31_623]
+
+
+def test_lengths_are_searched_apart(spark):
+    rng = np.random.default_rng(6)
+    short = [(k, [float(np.float32(c)) for c in rng.standard_normal(4)]) for k in range(30)]
+    long = [(100 + k, [float(np.float32(c)) for c in rng.standard_normal(9)]) for k in range(30)]
+    got = ann.search(embeddings(spark, short + long), F.col("vec_id") % 20 == 0).collect()
+    assert sorted(r[:3] for r in got) == sorted(e[:3] for part in (short, long) for e in brute_nearest(part, 20))
 
 
 def test_partition_sizes_are_balanced():
