@@ -27,9 +27,10 @@ def op3_temporal_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as a capture, against lists whose dated entries are derived from ``events``.
 
     Pages carry no time: the fetch time is spread over the month of the
-    events by page_id. An event concerns the page numbered like its user; its
-    type says whether that page's host, domain or first path segment is added
-    to or removed from a list.
+    events by page_id. An event concerns the page numbered like its user
+    (counted round where there are more users than pages); its type says
+    whether that page's host, domain or first path segment is added to a list
+    (purchase, signup, click) or removed (error, view).
     """
     pages = table(spark, sf_dir, "pages")
     captures = pages.select(
@@ -42,7 +43,8 @@ def op3_temporal_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
         url_filter.host_of(F.col("url")).alias("host"),
         F.split(url_filter.path_of(F.col("url")), "/")[1].alias("first"),
     )
-    events = table(spark, sf_dir, "events").filter(F.col("event_type").isin("purchase", "signup", "error"))
+    last = pages.agg(F.max("page_id").cast("long")).first()[0]
+    events = table(spark, sf_dir, "events").withColumn("user_id", F.col("user_id") % F.lit((last or 0) + 1))
     labels = F.split("host", r"\.")
     entries = events.join(subject, "user_id").select(
         F.when(F.col("user_id") % 4 == 0, "allow").otherwise("deny").alias("list"),
@@ -51,7 +53,7 @@ def op3_temporal_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("event_id") % 3 == 1, F.array_join(F.slice(labels, -3, 3), "."))
         .otherwise(F.concat_ws("/", "host", "first"))
         .alias("pattern"),
-        F.when(F.col("event_type") == "error", "remove").otherwise("add").alias("action"),
+        F.when(F.col("event_type").isin("error", "view"), "remove").otherwise("add").alias("action"),
         F.date_trunc("second", "ts").alias("at"),
     )
     found = url_filter.evaluate(captures, entries)
@@ -127,15 +129,14 @@ ORACLE: dict[str, str] = {
                    regexp_extract(url, '^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//[^/?#]*([^?#]*)', 1) AS path
             FROM pages),
         e AS (
-            SELECT DISTINCT CASE WHEN user_id % 4 = 0 THEN 'allow' ELSE 'deny' END AS list,
+            SELECT DISTINCT CASE WHEN p.page_id % 4 = 0 THEN 'allow' ELSE 'deny' END AS list,
                    CASE event_id % 3 WHEN 0 THEN 'host' WHEN 1 THEN 'domain' ELSE 'prefix' END AS kind,
                    lower(trim(CASE event_id % 3 WHEN 0 THEN host
                               WHEN 1 THEN array_to_string(list_slice(string_split(host, '.'), -3, -1), '.')
                               ELSE host || '/' || string_split(path, '/')[2] END, './')) AS pattern,
-                   CASE WHEN event_type = 'error' THEN 'remove' ELSE 'add' END AS action,
+                   CASE WHEN event_type IN ('error', 'view') THEN 'remove' ELSE 'add' END AS action,
                    date_trunc('second', ts) AS entry_at
-            FROM events JOIN p ON p.page_id = events.user_id
-            WHERE event_type IN ('purchase', 'signup', 'error')),
+            FROM events JOIN p ON p.page_id = events.user_id % (SELECT max(page_id) + 1 FROM pages)),
         i AS (
             SELECT list, kind, pattern, action, entry_at AS valid_from,
                    lead(entry_at) OVER (PARTITION BY list, kind, pattern ORDER BY entry_at, action) AS valid_to

@@ -286,6 +286,34 @@ def test_lists_as_of_the_fetch_time(spark):
     assert {r.verdict for r in url_filter.evaluate(captures, entries.limit(0)).collect()} == {"unlisted"}
 
 
+def test_as_of_join_against_every_entry(spark, monkeypatch):
+    """One pattern with most entries and captures, over many spans and within one."""
+    rng = random.Random(4)
+    def when():
+        return DAY + dt.timedelta(minutes=rng.randrange(0, 3000))
+
+    hosts = ["hot.org"] * 6 + ["a.org", "b.org"]
+    entries = [
+        (rng.choice(["allow", "deny"]), "host", rng.choice(hosts), rng.choice(["add", "remove"]), when()) for _ in range(400)
+    ]
+    captures = [(k, f"http://{rng.choice(hosts)}/", when(), k, "own", "x") for k in range(300)]
+    expected = {}
+    for k, url, time, *_ in captures:
+        holds = {}
+        for name in ("allow", "deny"):
+            past = [(at, action) for li, _, host, action, at in entries if li == name and f"http://{host}/" == url and at <= time]
+            if past and max(past)[1] == "add":
+                holds[name] = max(past)[0]
+        expected[k] = ("allowed", holds["allow"]) if "allow" in holds else ("blocked", holds["deny"]) if holds else ("unlisted", None)
+    log = spark.createDataFrame(entries, LIST_SCHEMA)
+    rows = spark.createDataFrame(captures, "id long, url string, fetched_at timestamp, __row long, verdict string, `a.b` string")
+    for span in (600, 10**9):
+        monkeypatch.setattr(url_filter, "SPAN", span)
+        got = url_filter.evaluate(rows, log).collect()
+        assert {r.id: (r.verdict, r.valid_from) for r in got} == expected and len(got) == 300
+        assert all(r["__row"] == r.id and r["a.b"] == "x" for r in got)
+
+
 # Pipeline
 
 
