@@ -33,7 +33,7 @@ from cubelake.session import scratch_dir, ship_package, tune_session
 from cubelake.sources.archives import read_envelopes, unzip_to_landing
 from cubelake.sources.catalog import read_catalog
 from cubelake.sources.json_rows import read_json_rows
-from cubelake.sources.lake import cube_path, query_cube, read_cube
+from cubelake.sources.lake import cube_path, query_cube, read_cube, read_cubes
 from cubelake.sources.registry import append_registry, latest_registry, read_registry
 from cubelake.streaming.delta_stream import current_compacted, delta_rows, ingest_compacted
 
@@ -479,20 +479,17 @@ def _typed_cubes(spark: SparkSession, sf_dir: str, threshold: int = S.FLAT_LAYOU
     work, landing = _land_part_cubes(spark, sf_dir)
     lake = f"{work}/lake"
     status = prepare_cubes(spark, landing, lake, glob="*.txt", work=f"{work}/etl", threshold=threshold).collect()
-    frames = []
-    for r in status:
-        if not r["ok"]:
-            continue
-        cube = read_cube(spark, lake, r["product_id"], r["schema"])
-        kind = "double" if isinstance(cube.schema["VALUE"].dataType, T.DoubleType) else "bigint"
-        frames.append(
-            cube.select(
-                F.lit(r["product_id"]).cast("bigint").alias("product_id"),
-                *[F.col(f"`{n}`").cast(t).alias(n) for n, t in TYPED_CUBE_COLUMNS],
-                F.lit(kind).alias("value_type"),
-            )
-        )
-    return reduce(DataFrame.unionByName, frames)
+    good = {r["product_id"]: r for r in status if r["ok"]}
+    # What the stored type of VALUE was; reading the cubes together makes it DOUBLE.
+    doubles = [p for p, r in good.items() if T.StructType.fromDDL(r["schema"])["VALUE"].dataType == T.DoubleType()]
+    cubes = read_cubes(
+        spark, lake, good, schemas={p: r["schema"] for p, r in good.items()}, layouts={p: r["layout"] for p, r in good.items()}
+    )
+    return cubes.select(
+        "product_id",
+        *[F.col(f"`{n}`").cast(t).alias(n) for n, t in TYPED_CUBE_COLUMNS],
+        F.when(F.col("product_id").isin(doubles), "double").otherwise("bigint").alias("value_type"),
+    )
 
 
 def large_cube(spark: SparkSession, sf_dir: str) -> DataFrame:

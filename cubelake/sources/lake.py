@@ -8,9 +8,13 @@ INT so that ``year > 2000`` means the same in both layouts.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from cubelake import fs
 from cubelake import schemas as S
 
 
@@ -34,29 +38,76 @@ def read_cube(spark: SparkSession, lake: str, product_id: int, schema: str | Non
     return normalise_year(reader.parquet(cube_path(lake, product_id)))
 
 
+def _scans(cubes: dict[int, tuple[T.StructType, bool]]) -> list[tuple[list[int], list[T.StructField], bool]]:
+    """Cubes that one scan can read: the same layout, and no column that has another type elsewhere in it.
+
+    Gives product ids, merged columns (``year`` left out) and the layout. Names
+    are compared without case, as Spark does; the first spelling stays.
+    """
+    scans: list[tuple[list[int], dict[str, T.StructField], bool]] = []
+    for pid, (schema, by_year) in cubes.items():
+        own = {f.name.lower(): f for f in schema if f.name.lower() != S.YEAR_COLUMN}
+        for ids, columns, layout in scans:
+            if layout == by_year and all(columns[n].dataType == f.dataType for n, f in own.items() if n in columns):
+                ids.append(pid)
+                for name, column in own.items():
+                    columns.setdefault(name, column)
+                break
+        else:
+            scans.append(([pid], own, by_year))
+    return [(ids, list(columns.values()), layout) for ids, columns, layout in scans]
+
+
 def read_cubes(
-    spark: SparkSession, lake: str, product_ids, widen_value: bool = True, schemas: dict | None = None
+    spark: SparkSession,
+    lake: str,
+    product_ids,
+    widen_value: bool = True,
+    schemas: dict | None = None,
+    layouts: dict | None = None,
 ) -> DataFrame:
     """Several cubes as one table with a ``product_id`` column.
 
-    Cubes differ in their columns and VALUE is BIGINT in some and DOUBLE in
-    others; the union is by name (missing columns are null) and, with
-    ``widen_value``, VALUE is widened to DOUBLE on purpose. Each cube keeps
-    its own scan, so filters and pruning still reach every one of them.
-    ``schemas`` maps product ids to their DDL (from the ETL status).
-    """
-    from functools import reduce
-
-    from pyspark.sql import types as T
+    Cubes of one layout whose columns agree in type are one scan over all their
+    roots, so the plan grows with the kinds of cubes and not with their number: as a
+    rule VALUE is BIGINT in some and DOUBLE in others, and ``widen_value`` makes it
+    DOUBLE on purpose. A cube without a column of the others has nulls there.
+    ``product_id``, and ``year`` of cubes in year folders, come from the path;
+    filters on them drop files before any is opened.
 
-    frames = []
-    for pid in product_ids:
-        cube = read_cube(spark, lake, pid, (schemas or {}).get(pid))
-        if widen_value and S.VALUE_COLUMN in cube.columns:
-            cube = cube.withColumn(S.VALUE_COLUMN, F.col(S.VALUE_COLUMN).cast(T.DoubleType()))
-        frames.append(cube.withColumn("product_id", F.lit(int(pid)).cast("bigint")))
-    if not frames:
+    ``schemas`` (DDL) and ``layouts`` (``flat`` or ``partitioned``) map product ids to
+    what the ETL's status says; a cube without them costs a footer and a listing.
+    """
+    cubes = {}
+    for pid in dict.fromkeys(int(p) for p in product_ids):
+        path, ddl, layout = cube_path(lake, pid), (schemas or {}).get(pid), (layouts or {}).get(pid)
+        if layout is None:
+            by_year = any(n.startswith(f"{S.YEAR_COLUMN}=") for n in fs.list_names(spark, path))
+        else:
+            by_year = layout != "flat"
+        cubes[pid] = (T.StructType.fromDDL(ddl) if ddl else spark.read.parquet(path).schema, by_year)
+    if not cubes:
         raise ValueError("no cubes given")
+    file = F.col("_metadata.file_path")
+    frames = []
+    for ids, columns, by_year in _scans(cubes):
+        stored = T.StructType([*columns] + ([] if by_year else [T.StructField(S.YEAR_COLUMN, T.StringType())]))
+        scan = (
+            spark.read.schema(stored)
+            .option("recursiveFileLookup", True)
+            .option("pathGlobFilter", "*.parquet")
+            .parquet(*[cube_path(lake, pid) for pid in ids])
+        )
+        product = F.regexp_extract(file, r"/([0-9]+)[.]parquet/[^/]*$", 1)
+        if by_year:
+            product = F.regexp_extract(file, rf"/([0-9]+)[.]parquet/{S.YEAR_COLUMN}=[^/]*/[^/]*$", 1)
+            scan = scan.withColumn(S.YEAR_COLUMN, F.regexp_extract(file, rf"/{S.YEAR_COLUMN}=([^/]*)/[^/]*$", 1))
+        scan = normalise_year(scan).withColumn("product_id", product.cast("bigint"))
+        if widen_value:
+            for column in columns:
+                if column.name == S.VALUE_COLUMN:
+                    scan = scan.withColumn(column.name, F.col(column.name).cast(T.DoubleType()))
+        frames.append(scan)
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
