@@ -112,7 +112,7 @@ def test_op10(spark):
 def test_queries_with_sql(spark):
     con = duckdb.connect()
     con.execute("SET timezone = 'UTC'")
-    for name in ("documents", "pages", "events"):
+    for name in ("documents", "pages", "events", "labels"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{SF}/{name}.parquet')")
     for name, sql in ORACLE.items():
         result = con.execute(sql)
