@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cubelake import schemas as S
@@ -108,3 +110,16 @@ def delta_file_name(day) -> str:
     else:
         text = day.strftime("%Y%m%d")
     return f"{text}.zip"
+
+
+def only_products(files: DataFrame, only: Iterable[int] | DataFrame) -> DataFrame:
+    """The listed files whose ``product_id`` is one of ``only`` (ids, or a table of any size that has them).
+
+    A table is first cut down to the ids that are listed; what is broadcast are
+    ids of files, and the files stay in the tasks that the listing made.
+    """
+    if isinstance(only, DataFrame):
+        listed = files.select("product_id").distinct()
+        wanted = only.select("product_id").join(F.broadcast(listed), "product_id", "left_semi").distinct()
+        return files.join(F.broadcast(wanted), "product_id", "left_semi")
+    return files.where(F.col("product_id").isin(sorted({int(p) for p in only})))

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from cubelake import fs
 from cubelake import schemas as S
-from cubelake.functions.columns import blank_if_null, ref_year
+from cubelake.functions.columns import blank_if_null, only_products, ref_year
 from cubelake.functions.typing import cast_text
 from cubelake.operators.inference import (
     decide_positional,
@@ -107,7 +107,7 @@ def prepare_cubes(
     landing: str,
     lake: str | None = None,
     destination: Callable[[int], str] | None = None,
-    only: Iterable[int] | None = None,
+    only: Iterable[int] | DataFrame | None = None,
     threshold: int = S.FLAT_LAYOUT_THRESHOLD_BYTES,
     blank_strings: bool = True,
     work: str | None = None,
@@ -119,7 +119,8 @@ def prepare_cubes(
     """Turn every landed cube under ``landing`` into a published parquet cube.
 
     ``destination(product_id)`` names the output folder (default
-    ``<lake>/<product_id>.parquet``); ``only`` restricts the run to some ids;
+    ``<lake>/<product_id>.parquet``); ``only`` restricts the run to some ids
+    (or to those of a table with a ``product_id``);
     ``glob`` selects the landed files, ``files`` names them one by one
     instead (paths under ``landing``); ``parallel_groups`` typed writes run
     at the same time; ``on_published(ids)`` is called (from worker threads)
@@ -136,8 +137,7 @@ def prepare_cubes(
     listed = list_files(spark, files, "*") if files else list_files(spark, landing, glob)
     listed = listed.withColumn("product_id", cube_key("path", root))
     if only is not None:
-        wanted = sorted({int(p) for p in only})
-        listed = listed.where(F.col("product_id").isin(wanted))
+        listed = only_products(listed, only)
     with _step("headers"):
         headers = (
             read_headers(listed.select("path"))

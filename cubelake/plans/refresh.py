@@ -68,10 +68,17 @@ def refresh(
     A cube fails alone (missing file, bad zip, malformed CSV); the others are
     published and appended to the registry in one batch. Returns one status
     row per planned cube with its release time.
+
+    The plan stays a table (written once, as it is read several times): only
+    what has landed reaches the driver, however many cubes are planned.
     """
     work = work or scratch_dir(spark, "refresh")
-    planned = {int(r["product_id"]): r["release_time"] for r in plan.select("product_id", "release_time").collect()}
-    if not planned:
+    planned_at = f"{work}/plan"
+    # A cube that is planned twice is built once, for its latest release.
+    latest = plan.groupBy(F.col("product_id").cast("bigint").alias("product_id"))
+    latest.agg(F.max("release_time").alias("release_time")).write.mode("overwrite").parquet(planned_at)
+    planned = spark.read.schema("product_id bigint, release_time timestamp").parquet(planned_at)
+    if planned.isEmpty():
         return spark.createDataFrame([], STATUS_SCHEMA + ", release_time timestamp")
 
     # Register each group of cubes as soon as it is published, so an aborted
@@ -81,17 +88,16 @@ def refresh(
 
     def on_published(pids: list[int]) -> None:
         with lock:
-            rows = [(pid, planned[pid]) for pid in pids if pid in planned and pid not in registered]
-            if not rows:
+            fresh = sorted(set(pids) - registered)
+            if not fresh:
                 return
-            batch = spark.createDataFrame(rows, "product_id bigint, release_time timestamp")
-            append_registry(spark, registry_path, batch)
-            registered.update(pid for pid, _ in rows)
+            append_registry(spark, registry_path, planned.join(_ids(spark, fresh), "product_id", "left_semi"))
+            registered.update(fresh)
 
     prepare_options = {**prepare_options, "on_published": on_published}
 
     unzipped = f"{work}/unzipped"
-    zip_status = unzip_to_landing(spark, landing, unzipped, rule="digits", only=sorted(planned)).collect()
+    zip_status = unzip_to_landing(spark, landing, unzipped, rule="digits", only=planned).collect()
     failed_zip: dict[int, str] = {}
     landed: set[int] = set()
     for z in zip_status:
@@ -110,26 +116,33 @@ def refresh(
     plain = None
     if _has_files(spark, landing, glob):
         # a cube whose archive is damaged is not made from something else
-        rest = set(planned) - _ok_ids(status) - failed_zip.keys()
+        rest = planned.join(_ids(spark, _ok_ids(status) | failed_zip.keys()), "product_id", "left_anti")
         plain = prepare_cubes(spark, landing, lake, only=rest, work=f"{work}/etl-csv", **prepare_options)
 
-    rows = {}
+    rows = {pid: (pid, False, reason, *[None] * 5) for pid, reason in failed_zip.items()}
     for df in (status, plain):
         if df is None:
             continue
         for r in df.collect():
-            if r["product_id"] in planned and (r["product_id"] not in rows or r["ok"]):
-                rows[r["product_id"]] = r.asDict()
-    out = []
-    for pid, release in sorted(planned.items()):
-        r = rows.get(pid)
-        if r is None:
-            reason = failed_zip.get(pid, "not landed")
-            r = dict(product_id=pid, ok=False, reason=reason, layout=None, rows=None, bytes=None, destination=None,
-                     schema=None)
-        fields = ("product_id", "ok", "reason", "layout", "rows", "bytes", "destination", "schema")
-        out.append((*[r[k] for k in fields], release))
-    return spark.createDataFrame(out, STATUS_SCHEMA + ", release_time timestamp")
+            if r["product_id"] is not None and (r["product_id"] not in rows or r["ok"]):
+                rows[r["product_id"]] = tuple(r)
+    built = spark.createDataFrame(list(rows.values()), STATUS_SCHEMA)
+    names = [n for n in built.columns if n not in ("product_id", "ok", "reason")]
+    return (
+        planned.join(built.withColumn("_landed", F.lit(True)), "product_id", "left")
+        .select(
+            "product_id",
+            F.coalesce("ok", F.lit(False)).alias("ok"),
+            F.when(F.col("_landed"), F.col("reason")).otherwise(F.lit("not landed")).alias("reason"),
+            *names,
+            "release_time",
+        )
+        .orderBy("product_id")
+    )
+
+
+def _ids(spark: SparkSession, ids: Iterable[int]) -> DataFrame:
+    return F.broadcast(spark.createDataFrame([(int(i),) for i in ids], "product_id bigint"))
 
 
 def _ok_ids(status: DataFrame | None) -> set[int]:

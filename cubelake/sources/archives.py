@@ -119,12 +119,13 @@ def unzip_to_landing(
     source: str | list[str],
     landing: str | None,
     rule: str = "digits",
-    only: list[int] | None = None,
+    only: list[int] | DataFrame | None = None,
     skip_landed: bool = False,
 ) -> DataFrame:
     """Unpack every ``*.zip`` under ``source`` into ``landing`` (None: each beside itself).
 
-    ``only`` keeps archives whose name's digits are one of these product ids;
+    ``only`` keeps archives whose name's digits are one of these product ids
+    (a list, or a table with a ``product_id``, which stays on the executors);
     ``skip_landed`` leaves archives alone whose member is there already.
     Returns one status row per archive (lazy; collect it to run the job).
     """
@@ -136,9 +137,10 @@ def unzip_to_landing(
         .select("path")
     )
     if only is not None:
-        from cubelake.functions.columns import file_name, product_id_from_name
+        from cubelake.functions.columns import file_name, only_products, product_id_from_name
 
-        files = files.where(product_id_from_name(file_name("path")).isin(sorted({int(p) for p in only})))
+        named = files.withColumn("product_id", product_id_from_name(file_name("path")))
+        files = only_products(named, only).select("path")
     from cubelake.session import ship_package
 
     ship_package(files.sparkSession)

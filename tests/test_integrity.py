@@ -72,6 +72,37 @@ def test_changed_plan_through_refresh(spark, tmp_dir):
     assert [(r.product_id, r.ok, r.rows) for r in got] == [(81, True, 1)]
 
 
+def test_refresh_plan_never_reaches_the_driver(spark, tmp_dir, monkeypatch):
+    from pyspark.sql import functions as F
+
+    landing = os.path.join(tmp_dir, "landing")
+    os.makedirs(landing)
+    write_zip(f"{landing}/85-eng.zip", "85.csv", CUBE + "2001,A,5,0\n")
+    write_zip(f"{landing}/86-eng.zip", "86.csv", CUBE * 1000, damage=True)
+    write_zip(f"{landing}/500001-eng.zip", "500001.csv", CUBE)  # not planned
+    with open(f"{landing}/87.csv", "w") as f:
+        f.write(CUBE + "2001,A,5,0\n2002,A,5,0\n")
+    day = F.timestamp_seconds(F.lit(1704067200) + F.col("id"))
+    plan = spark.range(300_000).select(F.col("id").alias("product_id"), day.alias("release_time"))
+    plan = plan.unionByName(plan.where("product_id = 85").withColumn("release_time", F.lit(dt.datetime(2023, 1, 1))))
+    most, frame = [], type(plan)
+    collect = frame.collect
+
+    def counted(df):
+        rows = collect(df)
+        most.append(len(rows))
+        return rows
+
+    monkeypatch.setattr(frame, "collect", counted)
+    status = refresh(spark, plan, landing, os.path.join(tmp_dir, "lake"), os.path.join(tmp_dir, "registry"))
+    assert max(most) < 10
+    monkeypatch.undo()
+    assert status.count() == 300_000 and status.where("reason = 'not landed' AND NOT ok").count() == 299_997
+    got = {r.product_id: (r.ok, r.reason, r.rows, r.release_time) for r in status.where("product_id IN (85, 86, 87)").collect()}
+    assert {k: v[:3] for k, v in got.items()} == {85: (True, None, 1), 86: (False, "bad zip", None), 87: (True, None, 2)}
+    assert got[85][3] > dt.datetime(2024, 1, 1)  # planned twice: the latest release
+
+
 def test_odd_files_are_read(spark, tmp_dir):
     landing = os.path.join(tmp_dir, "land ing+%20")
     os.makedirs(landing)
