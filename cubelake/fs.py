@@ -74,6 +74,20 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(hpath)]
 
 
+def first_folder(spark: SparkSession, path: str) -> str | None:
+    """Name of some visible folder directly under ``path``; None if there is none."""
+    fs, hpath = _path(spark, path)
+    if not fs.exists(hpath):
+        return None
+    found = fs.listStatusIterator(hpath)
+    while found.hasNext():
+        status = found.next()
+        name = status.getPath().getName()
+        if status.isDirectory() and not name.startswith(("_", ".")):
+            return name
+    return None
+
+
 def put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
     """Write a small new file; False, and nothing written, if it exists already.
 

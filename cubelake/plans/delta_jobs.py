@@ -6,13 +6,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cubelake.operators.merge import latest_per_key, merge_values
+from cubelake.plans import folders
 from cubelake.plans.layout import split_by_key, write_copy
 from cubelake.session import folder_parallel_writes, scratch_dir
 from cubelake.sources.archives import unzip_to_landing
 from cubelake.sources.delta_csv import read_delta
-from cubelake.sources.lake import read_path
+from cubelake.sources.lake import read_folders, read_path
 
 
 def split_delta(spark: SparkSession, source: str, target: str, fmt: str = "parquet", work: str | None = None) -> None:
@@ -74,23 +76,26 @@ def merge_into_store(
        and the merge read them;
     2. the merged rows of the touched products are written to a flat staging
        table (this also cuts the lineage to the store being replaced);
-    3. the staged rows are written into the store with dynamic partition
-       overwrite, so Spark's commit swaps exactly the touched product folders.
+    3. the staged rows are written into the store, which replaces exactly the
+       touched product folders.
 
     If the job dies in step 3, ``apply_staged(spark, staging, store)`` redoes
     it from the staged copy.
     """
     work = work or scratch_dir(spark, "merge-store")
     keyed = product_keys(keys, product)
-    stored = spark.read.parquet(store)
+    whole = isinstance(delta.schema[product].dataType, T.IntegralType)
+    stored = read_folders(spark, store, product) if whole else spark.read.parquet(store)
     shared = [c for c in stored.columns if c in delta.columns and c not in keyed] if insert_new else []
     latest_per_key(delta, keyed, "value", carry=shared).write.mode("overwrite").parquet(f"{work}/delta")
     winners = spark.read.parquet(f"{work}/delta")
-    # The filter lets the planner take the product list as one worth pruning with. Rows of a null product
-    # match none of the delta, so leaving them alone is right.
-    touched = winners.select(F.col(product).cast(stored.schema[product].dataType)).distinct()
-    touched = touched.where(F.col(product).isNotNull())
-    merged = merge_values(stored.join(touched, product, "left_semi"), winners, keyed, "value", insert_new)
+    # Rows of a null product match none of the delta, so leaving them alone is right.
+    if whole:
+        stored = read_folders(spark, store, product, schema=stored.schema, touched=winners)
+    else:  # the filter lets the planner take the product list as one worth pruning with
+        touched = winners.select(F.col(product).cast(stored.schema[product].dataType)).distinct()
+        stored = stored.join(touched.where(F.col(product).isNotNull()), product, "left_semi")
+    merged = merge_values(stored, winners, keyed, "value", insert_new)
     staging = f"{work}/staged"
     merged.write.mode("overwrite").parquet(staging)  # flat: a few files, not a folder per product
     apply_staged(spark, staging, store, product)
@@ -98,10 +103,17 @@ def merge_into_store(
 
 def apply_staged(spark: SparkSession, staging: str, store: str, product: str = "productId") -> None:
     """Replace the store's product folders with the staged ones (others untouched)."""
-    staged = spark.read.parquet(staging)
-    with folder_parallel_writes(spark):
+    replace_folders(spark.read.parquet(staging), store, product)
+
+
+def replace_folders(rows: DataFrame, store: str, product: str = "productId") -> None:
+    """Replace the folders of the products in ``rows`` (others untouched)."""
+    if folders.can_write(rows, store, product, "parquet"):
+        folders.write_folders(rows, store, product, replace=True)
+        return
+    with folder_parallel_writes(rows.sparkSession):
         (
-            staged.hint("rebalance", product)
+            rows.hint("rebalance", product)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(product)

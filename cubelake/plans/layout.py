@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cubelake import fs
 from cubelake import schemas as S
+from cubelake.plans import folders
 from cubelake.session import folder_parallel_writes
 
 
@@ -24,6 +25,9 @@ def split_by_key(spark: SparkSession, df: DataFrame, path: str, key: str = "prod
     """
     if not fs.is_missing_or_empty_dir(spark, path):
         raise FileExistsError(f"target exists and is not empty: {path}")
+    if folders.can_write(df, path, key, fmt):
+        _write_aside(spark, df, path, key, fmt)
+        return
     mode = "overwrite" if fs.exists(spark, path) else "errorifexists"
     writer = df.hint("rebalance", key).write.partitionBy(key).mode(mode).format(fmt)
     if fmt == "csv":
@@ -34,10 +38,28 @@ def split_by_key(spark: SparkSession, df: DataFrame, path: str, key: str = "prod
 
 def write_keyed(df: DataFrame, path: str, key: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     """Hive folders ``key=…`` with one or a few files each (``rebalance`` on the key)."""
+    if mode == "overwrite" and folders.can_write(df, path, key, fmt):
+        _write_aside(df.sparkSession, df, path, key, fmt)
+        return
     with folder_parallel_writes(df.sparkSession):
         df.hint("rebalance", key).write.mode(mode).partitionBy(key).format(fmt).save(path)
 
 
+def _write_aside(spark: SparkSession, df: DataFrame, path: str, key: str, fmt: str) -> None:
+    """Folders written beside ``path`` and put there whole, by one rename."""
+    import uuid
+
+    parent, _, name = path.rstrip("/").rpartition("/")
+    aside = f"{parent}/_writing-{name}-{uuid.uuid4().hex[:8]}" if parent else f"_writing-{name}-{uuid.uuid4().hex[:8]}"
+    try:
+        folders.write_folders(df, aside, key, fmt)
+        fs.put_if_absent(spark, f"{aside}/_SUCCESS", "")
+        publish(spark, aside, path)
+    except BaseException:
+        fs.delete(spark, aside)
+        raise
+
+
 def write_year_partitioned(df: DataFrame, path: str, rebalance: bool = True) -> None:
     """Hive ``year=`` folders; a null year goes to the default partition.
 

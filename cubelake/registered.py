@@ -33,7 +33,7 @@ from cubelake.session import scratch_dir, ship_package, tune_session
 from cubelake.sources.archives import read_envelopes, unzip_to_landing
 from cubelake.sources.catalog import read_catalog
 from cubelake.sources.json_rows import read_json_rows
-from cubelake.sources.lake import cube_path, query_cube, read_cube, read_cubes
+from cubelake.sources.lake import cube_path, query_cube, read_cube, read_cubes, read_folders
 from cubelake.sources.registry import append_registry, latest_registry, read_registry
 from cubelake.streaming.delta_stream import current_compacted, delta_rows, ingest_compacted
 
@@ -111,7 +111,7 @@ def _split_events(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 
 
 def _read_split(spark: SparkSession, target: str) -> DataFrame:
-    df = spark.read.parquet(target)
+    df = read_folders(spark, target, "productId", schema=S.DELTA_SCHEMA)
     return df.select(*[F.col(n).cast(t).alias(n) for n, t in S.DELTA_COLUMNS])
 
 
@@ -225,7 +225,7 @@ def merge_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = f"{scratch_dir(spark, 'store')}/store"
     write_keyed(original, store, "productId")
     merge_into_store(spark, store, delta, keys=("vectorId", "refPer"))
-    back = spark.read.parquet(store)
+    back = read_folders(spark, store, "productId")
     return back.select(*[F.col(c).cast(original.schema[c].dataType).alias(c) for c in original.columns])
 
 
@@ -317,7 +317,7 @@ def stream_merge_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     store, landing = f"{work}/store", derive.landed(spark, sf_dir, "daily_purchase_csv")
     write_keyed(original, store, "productId")
     ingest_and_merge(spark, f"{landing}/day=*", store, f"{work}/checkpoint", keys=("vectorId", "refPer"))
-    back = spark.read.parquet(store)
+    back = read_folders(spark, store, "productId")
     return back.select(*[F.col(c).cast(original.schema[c].dataType).alias(c) for c in original.columns])
 
 
@@ -606,10 +606,9 @@ def split_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = []
     for fmt in ("csv", "json", "orc"):
         split_delta(spark, landing, f"{work}/{fmt}", fmt=fmt)
-        back = spark.read.schema(S.DELTA_SCHEMA).option("header", True).option("escape", '"').format(fmt)
+        back = read_folders(spark, f"{work}/{fmt}", "productId", fmt, S.DELTA_SCHEMA, header="true", escape='"')
         counts.append(
-            back.load(f"{work}/{fmt}")
-            .groupBy("productId")
+            back.groupBy("productId")
             .agg(F.count(F.lit(1)).alias("n_rows"), F.count("value").alias("n_values"), F.max("releaseTime").alias("latest"))
             .select(F.lit(fmt).alias("format"), "*")
         )
@@ -628,7 +627,7 @@ def stream_merge_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     ingest_and_merge(
         spark, f"{landing}/batch=*", f"{work}/store", f"{work}/checkpoint", keys=("vectorId",), max_files_per_trigger=1
     )
-    back = spark.read.parquet(f"{work}/store")
+    back = read_folders(spark, f"{work}/store", "productId")
     return back.select(*[F.col(c).cast(original.schema[c].dataType).alias(c) for c in original.columns])
 
 

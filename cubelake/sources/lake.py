@@ -8,6 +8,7 @@ INT so that ``year > 2000`` means the same in both layouts.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -124,6 +125,38 @@ def query_cube(spark: SparkSession, lake: str, product_id: int, sql: str, view:
     return spark.sql(sql)
 
 
+#: Touched keys up to which the folders of all others are left unread.
+FEW_KEYS = 10_000
+
+
+def read_folders(
+    spark: SparkSession, root: str, key: str, fmt: str = "parquet", schema: T.StructType | None = None,
+    touched: DataFrame | None = None, **options: str,
+) -> DataFrame:
+    """A dataset in ``key=…`` folders of a whole-number key (BIGINT, last column; null for the default folder).
+
+    The key comes from the file's path. Spark's own discovery compares the values of
+    all folders on the driver, in time that grows with the square of their number.
+    A filter on the key drops files before any is opened. ``touched`` (a table
+    with the key) keeps the rows of its keys, and leaves the others' files
+    unread if it has at most ``FEW_KEYS``. ``schema`` (with or without the key)
+    saves the look into a file.
+    """
+    reader = spark.read.format(fmt).option("recursiveFileLookup", True).options(**options)
+    if schema is not None:
+        reader = reader.schema(T.StructType([f for f in schema if f.name != key]))
+    rows = reader.load(root)
+    value = F.regexp_extract("_metadata.file_path", rf"/{key}=([^/]*)/[^/]*$", 1).try_cast("bigint")
+    rows = rows.select(*[F.col(f"`{c}`") for c in rows.columns if c != key], value.alias(key))
+    if touched is None:
+        return rows
+    keys = touched.select(F.col(key).cast("bigint").alias(key)).where(F.col(key).isNotNull()).distinct()
+    few = [r[0] for r in keys.limit(FEW_KEYS + 1).collect()]
+    if len(few) <= FEW_KEYS:
+        return rows.where(F.col(key).isin(few))
+    return rows.join(keys, key, "left_semi").select(*rows.columns)
+
+
 _FORMATS = {".parquet": "parquet", ".csv": "csv", ".json": "json", ".orc": "orc", ".ndjson": "json"}
 
 
@@ -132,6 +165,8 @@ def read_path(spark: SparkSession, path: str, fmt: str | None = None, **options:
     if fmt is None:
         lowered = path.rstrip("/").lower()
         fmt = next((f for ext, f in _FORMATS.items() if lowered.endswith(ext)), "parquet")
+    if fmt == "parquet" and not options and re.match(r"productId=([0-9]+|__HIVE.*)$", fs.first_folder(spark, path) or ""):
+        return read_folders(spark, path, "productId")
     reader = spark.read.format(fmt)
     if fmt == "csv":
         reader = reader.option("header", True).option("inferSchema", True).option("escape", '"')

@@ -25,8 +25,8 @@ from cubelake import fs
 from cubelake import schemas as S
 from cubelake.operators.merge import WINNER_ORDER, latest_per_key, merge_values
 from cubelake.plans import indexed_store
-from cubelake.session import folder_parallel_writes
 from cubelake.sources.cube_csv import CSV_GLOB
+from cubelake.sources.lake import read_folders
 from cubelake.sources.delta_csv import DELTA_OPTIONS, DELTA_TEXT_SCHEMA, type_delta
 
 
@@ -184,7 +184,7 @@ def ingest_and_merge(
     A replayed batch (after a failure, same batch id) finds the same winners
     and leaves the same store.
     """
-    from cubelake.plans.delta_jobs import merge_into_store, product_keys
+    from cubelake.plans.delta_jobs import merge_into_store, product_keys, replace_folders
 
     damaged = land_archives(spark, landing)
     winners = f"{checkpoint}/winners"
@@ -196,23 +196,15 @@ def ingest_and_merge(
         work = f"{checkpoint}/merge-work/{batch_id}"
         rows = batch.select(*schema.names)
         if fs.exists(spark, winners):
-            before = spark.read.schema(schema).parquet(winners)
-            products = rows.select("productId").distinct()
-            rows = rows.unionByName(before.join(products, "productId", "left_semi"))
+            before = read_folders(spark, winners, "productId", schema=schema, touched=rows)
+            rows = rows.unionByName(before)
         carry = [n for n in schema.names if n not in {*keyed, *WINNER_ORDER, "value"}]
         best = latest_per_key(rows, keyed, "value", carry=carry).select(*schema.names)
         # Written once: the merge and the new winners both read it.
         best.write.mode("overwrite").parquet(f"{work}/winners")
         best = spark.read.schema(schema).parquet(f"{work}/winners")
         merge_into_store(spark, store, best, keys=keys, insert_new=insert_new, work=work)
-        with folder_parallel_writes(spark):
-            (
-                best.hint("rebalance", "productId")
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("productId")
-                .parquet(winners)
-            )
+        replace_folders(best, winners)
         fs.delete(spark, work)
 
     query = (
