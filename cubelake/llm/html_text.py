@@ -10,11 +10,16 @@ What two pages of a template share is often not the words (menus, adverts and
 footers vary from page to page) but the place; and what they share in words is
 often true text (copies, quoted passages). So lines outside the page's article
 are aligned by the path of their elements, lines of a page that marks no
-article by their words, and lines inside an article are never deleted for
-being shared. Elements that are never main text by their tag or role (see the
-fixed values; a role is a whole word of a class, id or role) are dropped while
-reading, and what is left outside an article goes too. An article is read for
-itself, whatever it stands in.
+article by their words, and the running text of an article is never deleted
+for being shared. What stands in boxes of an article (elements with a class, id
+or role, lines that are links, articles after the first) is aligned by place
+and words: where all that a page has at a place is shared, the place is the
+template's and its lines are deleted, whatever its name. Running text is
+aligned by its words, to know a copy, of which nothing is deleted. Elements
+that are never main text by their tag or role (see the fixed values; a role is
+a whole word of a class, id or role) are dropped while reading, and what is
+left outside an article goes too. An article is read for itself, whatever it
+stands in.
 """
 
 from __future__ import annotations
@@ -50,6 +55,10 @@ _ROLES = set(
 _CONTAINERS = {"article", "main"}
 _WHOLE = {"html", "body", "article", "main"}  # whatever their roles, they hold the page or its text
 _IMPLIED = {"p", "li", "tr", "td", "th", "dt", "dd"}
+_ENDS_P = set(
+    "address article aside blockquote center details dialog div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 "
+    "h6 header hgroup main menu nav ol p pre section summary table ul".split()
+)
 
 #: Parts of class names, between hyphens, underscores and capitals, that name a role at either end of the class, and
 #: first parts that say the opposite or speak of another element.
@@ -59,7 +68,11 @@ _PARTS = set(
 )
 _NOT_ITSELF = set("has have with without no not is after before under above below beside main".split())
 _SLOTS = set("ad slot slots unit units box block banner container wrapper area frame zone label".split())
-_TEXT = set("h1 h2 h3 h4 h5 h6 p li td th dt dd blockquote pre".split())
+_HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+_TEXT = _HEADINGS | set("p li td th dt dd blockquote pre".split())
+_QUOTES = {"blockquote", "pre", "table"}  # running text, whatever stands in them
+#: Characters of a line of running text from which on it tells whether an article is a copy.
+_LONG = 20
 
 _START = re.compile(rf"(?P<raw>(?:{'|'.join(_RAW.split())})\b)|(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)|[!?/]", re.I)
 _END_OF = {name: re.compile(rf"</{name}\s*>", re.I) for name in _RAW.split()}
@@ -70,8 +83,9 @@ _ATTR = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.
 _WORD = re.compile(r"[a-z]+")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
-#: A line: text, whether it stands in an article, whether in an element that is never main text, and a hash of its path.
-Line = tuple[str, bool, bool, int]
+#: A line: text, whether it stands in an article, whether in an element that is never main text, a hash of its path, the
+#: place of the box it stands in (0: running text of the article, or outside) and whether it is a heading.
+Line = tuple[str, bool, bool, int, int, bool]
 
 
 def tags_of(source: str) -> Iterator[tuple[int, int, bool, str | None, str]]:
@@ -138,25 +152,47 @@ def lines_of(page: str | None) -> tuple[list[Line], bool]:
     An article starts afresh: what it stands in drops none of its lines, as
     that may be the frame of the page or an element whose end tag is missing.
     Only if elements that do close hold some articles deeper than others
-    (comments and teasers are articles too), the deeper ones go.
+    (comments and teasers are articles too), the deeper ones go. The place of
+    the first article that is left is running text, others are boxes.
     """
     source = page or ""
     lines: list[Line] = []
-    stack: list[tuple[str, bool, int, int]] = []  # open elements: name, whether never main text, path, first line
+    # open elements: name, whether never main text, path, first line, box (None: running text, as are boxes in it)
+    stack: list[tuple[str, bool, int, int, int | None]] = []
     blocks: list[int] = []  # which of them are no inline elements
+    links: list[int] = []  # and which are links
     opened: dict[str, int] = {}  # how many of them have a name
     never = inside = 0
     outside: list[int] = []  # ``never`` where the open article stands
     around: list[tuple[int, int]] = []  # lines between the tags of elements that are never main text
     marked = False
+    articles = [0]  # the places of the open ones
+    standing: list[int] = []  # for each line, the last of them
     pending: list[str] = []
+    unlinked = False  # whether some of it stands in no link
 
     def end_line() -> None:
+        nonlocal unlinked
         if pending:
             text = " ".join(entities.unescape("".join(pending)).split())
             pending.clear()
             if text:
-                lines.append((text, inside > 0, never > 0, stack[-1][2] if stack else 0))
+                path = box = 0
+                heading = False
+                if stack:
+                    path = stack[-1][2]
+                    if inside:
+                        heading = stack[blocks[-1]][0] in _HEADINGS
+                        box = stack[-1][4]
+                        if box is not None and not unlinked and not heading:
+                            box = xxhash.xxh64_intdigest("/a", seed=stack[blocks[-1]][2])
+                lines.append((text, inside > 0, never > 0, path, box or 0, heading))
+                standing.append(articles[-1])
+        unlinked = False
+
+    def linked() -> bool:
+        """Whether a link of the open block is open; one around blocks may lack its end tag."""
+        return bool(links) and links[-1] > blocks[-1]
 
     def pop() -> None:
         nonlocal never, inside
@@ -164,8 +200,12 @@ def lines_of(page: str | None) -> tuple[list[Line], bool]:
         opened[name] -= 1
         if name not in _INLINE:
             blocks.pop()
+        elif name == "a":
+            links.pop()
         never -= drop
         if name in _CONTAINERS:
+            if name == "article":
+                articles.pop()
             inside -= 1
             if not inside:
                 never = outside.pop()
@@ -174,6 +214,8 @@ def lines_of(page: str | None) -> tuple[list[Line], bool]:
     for start, end, closes, name, attrs in tags_of(source):
         if start > at:
             pending.append(source[at:start])
+            if inside and not unlinked and not linked():
+                unlinked = not pending[-1].isspace()
         at = end
         if name is None:
             pending.append(attrs)
@@ -184,16 +226,17 @@ def lines_of(page: str | None) -> tuple[list[Line], bool]:
             if opened.get(name):
                 while stack[-1][0] != name:
                     pop()
-                _, drop, _, first = stack[-1]
+                _, drop, _, first, _ = stack[-1]
                 pop()
                 if drop and not inside:
                     around.append((first, len(lines)))
             continue
         if name in _VOID or attrs.endswith("/"):
             continue
-        if name in _IMPLIED:
-            # The end tag may be missing: another of its kind ends it, unless a block stands between.
-            if blocks and stack[blocks[-1]][0] == name:
+        if blocks:
+            # The end tag may be missing: another of its kind, or a block after a p, ends it, unless a block stands between.
+            open_block = stack[blocks[-1]][0]
+            if name in _ENDS_P if open_block == "p" else open_block == name and name in _IMPLIED:
                 down = blocks[-1]
                 while len(stack) > down:
                     pop()
@@ -203,8 +246,9 @@ def lines_of(page: str | None) -> tuple[list[Line], bool]:
                 outside.append(never)
                 never = 0
             inside += 1
-        path, drop = stack[-1][2] if stack else 0, name in _NEVER or (name == "header" and not inside)
-        step = "" if name in _INLINE else f"/{name}"
+        path, box = (stack[-1][2], stack[-1][4]) if stack else (0, 0)
+        drop = name in _NEVER or (name == "header" and not inside)
+        step = plain = "" if name in _INLINE else f"/{name}"
         if attrs and name not in _WHOLE:
             for kind, value in _ATTR.findall(attrs):
                 tokens = value.strip("\"'").split()
@@ -216,13 +260,23 @@ def lines_of(page: str | None) -> tuple[list[Line], bool]:
                     drop = any(map(_names_role, tokens))
         if step:
             path = xxhash.xxh64_intdigest(step, seed=path)
+        if name in _QUOTES:
+            box = None
+        elif name == "article":
+            box = path
+            articles.append(path)
+        elif inside and box is not None and step != plain and plain and name not in _TEXT:
+            box = path
         opened[name] = opened.get(name, 0) + 1
         if name not in _INLINE:
             blocks.append(len(stack))
-        stack.append((name, drop, path, len(lines)))
+        elif name == "a":
+            links.append(len(stack))
+        stack.append((name, drop, path, len(lines), box))
         never += drop
     if at < len(source):
         pending.append(source[at:])
+        unlinked = unlinked or not inside or not linked()
     end_line()
     if marked and around:
         change = [0] * (len(lines) + 1)
@@ -231,21 +285,45 @@ def lines_of(page: str | None) -> tuple[list[Line], bool]:
             change[end] -= 1
         depth = list(accumulate(change))
         least = min((d for d, x in zip(depth, lines, strict=False) if x[1] and not x[2]), default=0)
-        lines = [(t, i, n or (i and d > least), p) for d, (t, i, n, p) in zip(depth, lines, strict=False)]
+        lines = [(t, i, n or (i and d > least), *rest) for d, (t, i, n, *rest) in zip(depth, lines, strict=False)]
+    first = next((place for place, x in zip(standing, lines, strict=True) if place and not x[2]), 0)
+    if first:
+        lines = [(*x[:4], 0, x[5]) if x[4] == first else x for x in lines]
     return lines, marked
 
 
 def keys_of(lines: list[Line], marked: bool) -> list[int | None]:
-    """What each line is aligned by: its path, its words, or (None) nothing."""
+    """What each line is aligned by: its path, its words, its box and words, or (None) nothing."""
     keys: list[int | None] = []
-    for text, inside, never, path in lines:
+    for text, inside, never, path, box, heading in lines:
         if never or (marked and not inside):
             keys.append(path >> 1)
+        elif marked:
+            tells = box or (len(text) >= _LONG and not heading)
+            keys.append(xxhash.xxh64_intdigest(text, seed=box) >> 1 if tells else None)
         else:
-            keys.append(None if marked else xxhash.xxh64_intdigest(text, seed=1) >> 1)
+            keys.append(xxhash.xxh64_intdigest(text, seed=1) >> 1)
     return keys
 
 
+def template_of(lines: list[Line], shared: set[int]) -> set[int]:
+    """The lines of articles that are the template's, of those shared with another page.
+
+    A place is the template's if every line there is shared. If the page has
+    less text of its own (headings aside) than it shares, it is a copy and no
+    place is.
+    """
+    both = [k for k in shared if lines[k][1] and not lines[k][2]]
+    places = {lines[k][4] for k in both} - {0}
+    if not places:
+        return places
+    own = [x for k, x in enumerate(lines) if x[1] and not x[2] and k not in shared]
+    if sum(len(lines[k][0]) for k in both) > sum(len(x[0]) for x in own if not x[5] and (x[4] or len(x[0]) >= _LONG)):
+        return set()
+    places -= {x[4] for x in own}
+    return {k for k in both if lines[k][4] in places}
+
+
 def aligned(own: list[int | None], other: list[int]) -> set[int]:
     """Places of ``own`` in a longest common subsequence of both.
 
@@ -329,11 +407,13 @@ def main_text(page: str | None, neighbour: list[int] | None) -> str:
     """The page's main text, given the keys of the page it is paired with (None: of no page)."""
     lines, marked = lines_of(page)
     shared = aligned(keys_of(lines, marked), neighbour) if neighbour else set()
-    if not marked and len(shared) == len(lines):
+    if marked:
+        shared = template_of(lines, shared)
+    elif len(shared) == len(lines):
         shared = set()  # a copy of its neighbour: what they share tells nothing
     return " ".join(
         text
-        for k, (text, inside, never, _) in enumerate(lines)
+        for k, (text, inside, never, *_) in enumerate(lines)
         if k not in shared and not never and (inside or not marked)
     )
 
