@@ -342,7 +342,8 @@ def write_late_thirds(events: DataFrame, path: str) -> None:
     delta = events_as_delta(events.where(F.col("event_type") == "purchase"))
     day = F.substring("refPer", 9, 2).cast("int")
     for k, third in enumerate((day > 20, (day > 10) & (day <= 20), day <= 10)):
-        write_delta_csv(delta.where(third).coalesce(1), f"{path}/batch={k}")
+        # one file, so that it is one batch; all tasks read and choose the rows
+        write_delta_csv(delta.where(third).repartition(1), f"{path}/batch={k}")
 
 
 def write_daily_delta_zips(spark: SparkSession, delta: DataFrame, csv_root: str, zip_root: str) -> DataFrame:

@@ -225,7 +225,7 @@ def merge_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = f"{scratch_dir(spark, 'store')}/store"
     write_keyed(original, store, "productId")
     merge_into_store(spark, store, delta, keys=("vectorId", "refPer"))
-    back = read_folders(spark, store, "productId")
+    back = read_folders(spark, store, "productId", schema=original.schema, whole=True)
     return back.select(*[F.col(c).cast(original.schema[c].dataType).alias(c) for c in original.columns])
 
 
@@ -317,7 +317,7 @@ def stream_merge_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     store, landing = f"{work}/store", derive.landed(spark, sf_dir, "daily_purchase_csv")
     write_keyed(original, store, "productId")
     ingest_and_merge(spark, f"{landing}/day=*", store, f"{work}/checkpoint", keys=("vectorId", "refPer"))
-    back = read_folders(spark, store, "productId")
+    back = read_folders(spark, store, "productId", schema=original.schema, whole=True)
     return back.select(*[F.col(c).cast(original.schema[c].dataType).alias(c) for c in original.columns])
 
 
@@ -606,7 +606,7 @@ def split_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = []
     for fmt in ("csv", "json", "orc"):
         split_delta(spark, landing, f"{work}/{fmt}", fmt=fmt)
-        back = read_folders(spark, f"{work}/{fmt}", "productId", fmt, S.DELTA_SCHEMA, header="true", escape='"')
+        back = read_folders(spark, f"{work}/{fmt}", "productId", fmt, S.DELTA_SCHEMA, whole=True, header="true", escape='"')
         counts.append(
             back.groupBy("productId")
             .agg(F.count(F.lit(1)).alias("n_rows"), F.count("value").alias("n_values"), F.max("releaseTime").alias("latest"))
@@ -627,7 +627,7 @@ def stream_merge_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     ingest_and_merge(
         spark, f"{landing}/batch=*", f"{work}/store", f"{work}/checkpoint", keys=("vectorId",), max_files_per_trigger=1
     )
-    back = read_folders(spark, f"{work}/store", "productId")
+    back = read_folders(spark, f"{work}/store", "productId", schema=original.schema, whole=True)
     return back.select(*[F.col(c).cast(original.schema[c].dataType).alias(c) for c in original.columns])
 
 

@@ -131,7 +131,7 @@ FEW_KEYS = 10_000
 
 def read_folders(
     spark: SparkSession, root: str, key: str, fmt: str = "parquet", schema: T.StructType | None = None,
-    touched: DataFrame | None = None, **options: str,
+    touched: DataFrame | None = None, whole: bool = False, **options: str,
 ) -> DataFrame:
     """A dataset in ``key=…`` folders of a whole-number key (BIGINT, last column; null for the default folder).
 
@@ -141,7 +141,19 @@ def read_folders(
     with the key) keeps the rows of its keys, and leaves the others' files
     unread if it has at most ``FEW_KEYS``. ``schema`` (with or without the key)
     saves the look into a file.
+
+    ``whole`` is for jobs that read every row (of the touched keys): folders that
+    ``plans.folders`` has written are then read by Arrow, in a fraction of the time a
+    file costs Spark, and ``touched`` may have any number of keys. A filter put on the
+    result drops no files.
     """
+    if whole:
+        from cubelake.plans import folders
+
+        known = folder_schema(spark, root, key, fmt, **options) if schema is None else schema
+        rows = folders.read_files(spark, root, key, fmt, known, options, touched)
+        if rows is not None:
+            return rows
     reader = spark.read.format(fmt).option("recursiveFileLookup", True).options(**options)
     if schema is not None:
         reader = reader.schema(T.StructType([f for f in schema if f.name != key]))
@@ -157,6 +169,16 @@ def read_folders(
     return rows.join(keys, key, "left_semi").select(*rows.columns)
 
 
+def folder_schema(spark: SparkSession, root: str, key: str, fmt: str = "parquet", **options: str) -> T.StructType:
+    """The columns of a dataset in ``key=…`` folders by a file of one of them, without a listing of all; the key is the last."""
+    folder = fs.first_folder(spark, root)
+    path = f"{root.rstrip('/')}/{folder}"
+    if folder is None or not any(n.endswith(f".{fmt}") and not n.startswith(("_", ".")) for n in fs.list_names(spark, path)):
+        return read_folders(spark, root, key, fmt, **options).schema
+    columns = spark.read.format(fmt).options(**options).load(path).schema
+    return T.StructType([*[f for f in columns if f.name != key], T.StructField(key, T.LongType())])
+
+
 _FORMATS = {".parquet": "parquet", ".csv": "csv", ".json": "json", ".orc": "orc", ".ndjson": "json"}
 
 

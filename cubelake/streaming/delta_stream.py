@@ -15,7 +15,9 @@ unpacked where they landed before the stream starts.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +38,12 @@ FILES_PER_BATCH = 500
 COMPACT_FILES = 64
 
 
+#: Tables of winning rows beside a stream's checkpoint before they are made one.
+WINNER_TABLES = 16
+#: Marks a table of winners as whole.
+_WHOLE = "_WHOLE"
+
+
 class DamagedArchives(RuntimeError):
     """Archives that could not be unpacked: ``archives`` (status rows) and ``query``, which took all whole files."""
 
@@ -163,6 +171,35 @@ def current_table(
     return merge_values(original, deltas, keys=keys, value="value", insert_new=insert_new)
 
 
+def _write_whole(spark: SparkSession, rows: DataFrame, path: str) -> None:
+    rows.write.mode("overwrite").parquet(path)
+    fs.put_if_absent(spark, f"{path}/{_WHOLE}", "")
+
+
+def _earlier_winners(
+    spark: SparkSession, tables: str, folders: str, schema: T.StructType, winners_of: Callable[[DataFrame], DataFrame]
+) -> list[str]:
+    """The tables with the winners so far; made one if they are many.
+
+    ``folders``: where streams kept them before, a folder per product; those rows
+    go into a table first. A crash on the way leaves rows in two tables, which
+    changes no winner.
+    """
+    found = [f"{tables}/{n}" for n in sorted(fs.list_names(spark, tables))]
+    whole = [t for t in found if fs.exists(spark, f"{t}/{_WHOLE}")]
+    old = fs.first_folder(spark, folders) is not None
+    if not old and len(whole) < WINNER_TABLES:
+        return whole
+    rows = [spark.read.schema(schema).parquet(*whole)] if whole else []
+    if old:
+        rows.append(read_folders(spark, folders, "productId", schema=schema, whole=True).select(*schema.names))
+    one = f"{tables}/upto-{uuid.uuid4().hex}"
+    _write_whole(spark, winners_of(reduce(DataFrame.unionByName, rows)), one)
+    for path in [*found, *([folders] if old else [])]:
+        fs.delete(spark, path)
+    return [one]
+
+
 def ingest_and_merge(
     spark: SparkSession,
     landing: str,
@@ -178,33 +215,39 @@ def ingest_and_merge(
     rewritten).
 
     The winning delta row of every key so far, with the columns that rank it,
-    is kept beside the checkpoint. A batch competes with those, so the store
-    ends the same however files were grouped and in whatever order they came.
+    is kept beside the checkpoint, in a table per batch: the winners of the
+    keys that the batch has. ``WINNER_TABLES`` of them are made one. A batch competes
+    with those before it, so the store ends the same however files were grouped and in
+    whatever order they came.
     Damaged archives raise as in ``ingest_deltas``.
     A replayed batch (after a failure, same batch id) finds the same winners
     and leaves the same store.
     """
-    from cubelake.plans.delta_jobs import merge_into_store, product_keys, replace_folders
+    from cubelake.plans.delta_jobs import merge_winners, product_keys
 
     damaged = land_archives(spark, landing)
-    winners = f"{checkpoint}/winners"
+    tables = f"{checkpoint}/winner-tables"
     keyed = product_keys(keys)
     fields = [f for f in S.DELTA_SCHEMA.fields if f.name in {*keyed, *WINNER_ORDER, "value"} or insert_new]
     schema = T.StructType(fields)
+    carry = [n for n in schema.names if n not in {*keyed, *WINNER_ORDER, "value"}]
+
+    def winners_of(rows: DataFrame) -> DataFrame:
+        return latest_per_key(rows, keyed, "value", carry=carry).select(*schema.names)
 
     def apply(batch, batch_id):
-        work = f"{checkpoint}/merge-work/{batch_id}"
-        rows = batch.select(*schema.names)
-        if fs.exists(spark, winners):
-            before = read_folders(spark, winners, "productId", schema=schema, touched=rows)
-            rows = rows.unionByName(before)
-        carry = [n for n in schema.names if n not in {*keyed, *WINNER_ORDER, "value"}]
-        best = latest_per_key(rows, keyed, "value", carry=carry).select(*schema.names)
-        # Written once: the merge and the new winners both read it.
-        best.write.mode("overwrite").parquet(f"{work}/winners")
-        best = spark.read.schema(schema).parquet(f"{work}/winners")
-        merge_into_store(spark, store, best, keys=keys, insert_new=insert_new, work=work)
-        replace_folders(best, winners)
+        own, work = f"{tables}/{batch_id}", f"{checkpoint}/merge-work/{batch_id}"
+        if not fs.exists(spark, f"{own}/{_WHOLE}"):  # else the batch is repeated, and its winners stand
+            rows = batch.select(*schema.names)
+            earlier = _earlier_winners(spark, tables, f"{checkpoint}/winners", schema, winners_of)
+            if earlier:
+                # Written once: the choice of keys and the competition both read it.
+                winners_of(rows).write.mode("overwrite").parquet(f"{work}/batch")
+                rows = spark.read.schema(schema).parquet(f"{work}/batch")
+                before = spark.read.schema(schema).parquet(*earlier)
+                rows = rows.unionByName(before.join(rows.select(*keyed), keyed, "left_semi").select(*schema.names))
+            _write_whole(spark, winners_of(rows), own)
+        merge_winners(spark, store, spark.read.schema(schema).parquet(own), keys, insert_new, work=work)
         fs.delete(spark, work)
 
     query = (

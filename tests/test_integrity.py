@@ -1,6 +1,7 @@
 """Damaged, odd and late input: what must fail alone, and what must come out the same."""
 
 import datetime as dt
+import importlib
 import os
 import zipfile
 
@@ -190,3 +191,33 @@ def test_multiset_difference_of_one_frame(spark):
     assert multiset_difference(rows, rows.where("true")).count() == 0
     got = multiset_difference(rows, rows.distinct()).collect()
     assert [tuple(r) for r in got] == [(1, None, 2, 1)]
+
+
+def test_stream_keeps_winners_in_few_tables(spark, tmp_dir, monkeypatch):
+    """Many batches, an older stream's folders of winners, and a batch that is repeated leave the newest values."""
+    from cubelake.plans.delta_jobs import replace_folders
+
+    ds = importlib.import_module("cubelake.streaming.delta_stream")
+    store, landing, state = (os.path.join(tmp_dir, x) for x in ("store", "landing", "state"))
+    stored = [(k, 5, 0.0) for k in range(1, 5)]
+    spark.createDataFrame(stored, "productId bigint, vectorId bigint, value double").write.partitionBy("productId").parquet(store)
+    # product 3 has a winner that is newer than all that lands
+    old = "productId bigint, coordinate string, vectorId bigint, refPer string, value double, releaseTime string"
+    replace_folders(spark.createDataFrame([(3, "c", 5, "2024-01", 33.0, "2025-01-01T08:30")], old), f"{state}/winners")
+    monkeypatch.setattr(ds, "WINNER_TABLES", 2)
+    os.makedirs(landing)
+    for k, (product, day) in enumerate([(1, 5), (2, 3), (1, 4), (3, 9), (1, 6), (2, 2)]):
+        line = delta_line(f"{10 * k + 10}", released=f"2024-01-0{day}T08:30").split(",")
+        write_delta(f"{landing}/2024010{k}.csv", ",".join([str(product), *line[1:]]))
+        ds.ingest_and_merge(spark, landing, store, state)
+        names = os.listdir(f"{state}/winner-tables")
+        assert len(names) <= 3 and not any("productId=" in n for n in names) and not os.path.exists(f"{state}/winners")
+    want = [(1, 50.0), (2, 20.0), (3, 33.0), (4, 0.0)]
+    got = lambda: sorted((r.productId, r.value) for r in spark.read.parquet(store).collect())
+    assert got() == want
+    commits = sorted(os.listdir(f"{state}/commits"))
+    for name in commits:  # the last batch was not noted as done
+        if name.strip(".").split(".")[0] == "5":
+            os.rename(f"{state}/commits/{name}", f"{tmp_dir}/{name}")
+    ds.ingest_and_merge(spark, landing, store, state)
+    assert got() == want

@@ -236,3 +236,80 @@ def test_folders_of_many_products(spark, tmp_dir):
     back = read_folders(spark, store, "productId")
     assert back.count() == 40_000 and back.where("value = -2").count() == few.count()
     assert fs.first_folder(spark, store).startswith("productId=")
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc", "csv", "json"])
+def test_whole_folders_are_read_without_a_scan_of_each_file(spark, tmp_dir, fmt):
+    from cubelake.plans import folders
+    from cubelake.sources.lake import read_folders
+
+    text = F.when(F.col("id") % 7 == 0, F.lit("")).when(F.col("id") % 7 == 1, F.lit('a "b", c\\')).otherwise(F.lit("é"))
+    value = F.when(F.col("id") % 11 == 0, F.lit(float("nan"))).when(F.col("id") % 11 == 1, F.lit(float("-inf"))).otherwise(F.col("id") / 7)
+    key = F.when(F.col("id") == 5, F.lit(None)).when(F.col("id") >= 3000, F.lit(-7)).otherwise(F.col("id") % 60)
+    rows = spark.range(6000).select(
+        key.cast("bigint").alias("productId"), F.when(F.col("id") % 3 > 0, text).alias("name"),
+        F.when(F.col("id") % 13 != 1, value).alias("value"), (F.col("id") % 4).cast("smallint").alias("code"),
+        (F.col("id") % 2 == 0).alias("flag"), F.date_add(F.lit("1900-01-01").cast("date"), F.col("id").cast("int")).alias("day"),
+    )
+    out = os.path.join(tmp_dir, fmt)
+    split_by_key(spark, rows, out, "productId", fmt)
+    options = {"header": "true", "escape": '"'}
+    by_spark = read_folders(spark, out, "productId", fmt, rows.schema, **options)
+    whole = read_folders(spark, out, "productId", fmt, rows.schema, whole=True, **options)
+    assert whole.schema == by_spark.schema
+    assert whole.exceptAll(by_spark).count() == 0 and by_spark.exceptAll(whole).count() == 0 and whole.count() == 6000
+    assert len(by_spark.inputFiles()) >= 62 and len(whole.inputFiles()) < 20
+    touched = spark.range(20, 20_000).select(F.col("id").alias("productId"))
+    some = read_folders(spark, out, "productId", fmt, rows.schema, touched=touched, whole=True, **options)
+    assert some.exceptAll(whole.where("productId >= 20")).count() == 0 and some.count() == whole.where("productId >= 20").count()
+    fewer = read_folders(spark, out, "productId", fmt, rows.select("day", "productId").schema, whole=True, **options)
+    assert fewer.columns == ["day", "productId"] and fewer.count() == 6000
+    # a file of another writer: Spark's reader takes them all
+    spark.range(3).select(F.lit("o").alias("name")).coalesce(1).write.option("header", True).format(fmt).save(f"{out}/productId=9999")
+    assert folders.read_files(spark, out, "productId", fmt, rows.schema, {}) is None
+    if fmt != "csv":
+        assert read_folders(spark, out, "productId", fmt, rows.schema, whole=True, **options).where("productId = 9999").count() == 3
+
+
+def test_large_files_of_a_folder_are_read_in_pieces(spark, tmp_dir, monkeypatch):
+    from cubelake.plans import folders
+    from cubelake.sources.cube_csv import list_files
+
+    rows = spark.range(30_000).select(F.lit(1).cast("bigint").alias("productId"), F.col("id").alias("vectorId"), F.sha2(F.col("id").cast("string"), 256).alias("t"))
+    asked = folders.pa.schema([("vectorId", folders.pa.int64()), ("t", folders.pa.string())])
+    for fmt in ("parquet", "orc", "csv"):
+        out = os.path.join(tmp_dir, fmt)
+        split_by_key(spark, rows.coalesce(1), out, "productId", fmt)
+        monkeypatch.setattr(folders, "_OUT_BYTES", 10_000)
+        monkeypatch.setattr(folders, "_OUT_ROWS", 999)
+        n = 0
+        for path, size in [(r.path, r.length) for r in list_files(spark, out, f"*.{fmt}").collect()]:
+            path = path.removeprefix("file:").replace("//", "/")
+            parts = list(folders._lines(path, True) if fmt == "csv" else folders._tables(path, size, fmt, asked))
+            assert len(parts) > 1 or fmt == "orc"
+            n += sum(len(p) for p in parts)
+        assert n == 30_000
+        monkeypatch.undo()
+
+
+def test_merge_rewrites_only_products_that_change(spark, tmp_dir):
+    from cubelake.plans.delta_jobs import apply_staged, merge_into_store
+    from cubelake.plans.layout import write_keyed
+    from cubelake.sources.lake import read_folders
+
+    schema = "productId bigint, vectorId bigint, value double"
+    nan = float("nan")
+    rows = [(1, 10, 1.0), (1, 11, 2.0), (2, 20, 0.0), (3, 30, nan), (4, 40, None), (5, 50, 5.0), (6, 60, 6.0), (7, 70, None)]
+    store, work = os.path.join(tmp_dir, "store"), os.path.join(tmp_dir, "w")
+    write_keyed(spark.createDataFrame(rows, schema), store, "productId")
+    held = {k: os.listdir(f"{store}/productId={k}") for k in range(1, 8)}
+    delta = [(1, 11, 2.5), (2, 20, -0.0), (3, 30, nan), (4, 40, None), (5, 50, 5.0), (6, 61, 1.0), (7, 70, 7.0)]
+    for insert in (False, True):
+        merge_into_store(spark, store, spark.createDataFrame(delta, schema), insert_new=insert, work=work)
+        apply_staged(spark, f"{work}/staged", store)  # once more, as after a failure
+        now = {k: os.listdir(f"{store}/productId={k}") for k in range(1, 8)}
+        assert {k for k in now if now[k] != held[k]} == ({6} if insert else {1, 2, 7})
+        held = now
+    got = sorted(str(tuple(r)) for r in read_folders(spark, store, "productId").select("productId", "vectorId", "value").collect())
+    want = [(1, 10, 1.0), (1, 11, 2.5), (2, 20, -0.0), (3, 30, nan), (4, 40, None), (5, 50, 5.0), (6, 60, 6.0), (6, 61, 1.0), (7, 70, 7.0)]
+    assert got == sorted(str(r) for r in want)
