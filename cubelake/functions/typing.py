@@ -77,7 +77,7 @@ _NUMERIC_START = list("0123456789+-.")
 _BIT = {t: 1 << i for i, t in enumerate(CANDIDATES)}
 
 
-def _plain_int(c: Column) -> Column:
+def plain_int(c: Column) -> Column:
     """Text that is a BIGINT written the usual way (no sign +, blanks or leading zeros); false for null.
 
     A cast there and back is several times cheaper than a pattern, which takes
@@ -115,7 +115,7 @@ def type_mask(c: Column) -> Column:
         .when(dash & c.rlike(_DATE_RE), F.when(F.try_to_date(c, "yyyy-MM-dd").isNotNull(), b("date")).otherwise(none))
         .when(dash & c.rlike(_TS_RE), F.when(guard(c, "timestamp"), b("timestamp")).otherwise(none))
         .when(c.contains("."), F.when(c.rlike(_FLOAT_RE), b("double")).otherwise(none))
-        .when(_plain_int(c), plain)
+        .when(plain_int(c), plain)
         .when(c.rlike(_FLOAT_RE), F.when(c.rlike(_INT_RE), int_mask).otherwise(b("double")))
         .otherwise(none)
     )

@@ -121,6 +121,7 @@ def ship_package(spark: SparkSession) -> None:
 
 
 _MIN_PARTITION = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+_METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
 
 
 class folder_parallel_writes:
@@ -129,14 +130,17 @@ class folder_parallel_writes:
     Their cost grows with the number of folders, not bytes, so AQE should
     not fold a small but wide write into a couple of tasks. Inside the
     context the coalescing floor is 1 KB; large writes are unaffected (the
-    advisory partition size dominates there). Nested and concurrent uses
-    (writes from several driver threads) share one setting; the first entry
-    saves the old value and the last exit restores it.
+    advisory partition size dominates there). Typing a delta makes methods
+    over 8000 bytes of code, which the JVM never compiles: Spark takes its
+    other way for those, unless the session has a limit of its own. Nested
+    and concurrent uses (writes from several driver threads) share one
+    setting; the first entry saves the old values and the last exit restores
+    them.
     """
 
     _lock = threading.Lock()
     _depth: dict[int, int] = {}
-    _saved: dict[int, str | None] = {}
+    _saved: dict[int, dict[str, str | None]] = {}
 
     def __init__(self, spark: SparkSession, floor: str = "1KB"):
         self.spark, self.floor, self.key = spark, floor, id(spark)
@@ -144,8 +148,11 @@ class folder_parallel_writes:
     def __enter__(self):
         with self._lock:
             if self._depth.get(self.key, 0) == 0:
-                self._saved[self.key] = self.spark.conf.get(_MIN_PARTITION, None)
+                saved = {k: self.spark.conf.get(k, None) for k in (_MIN_PARTITION, _METHOD_LIMIT)}
+                self._saved[self.key] = saved
                 self.spark.conf.set(_MIN_PARTITION, self.floor)
+                if saved[_METHOD_LIMIT] in (None, "65535"):
+                    self.spark.conf.set(_METHOD_LIMIT, "8000")
             self._depth[self.key] = self._depth.get(self.key, 0) + 1
         return self
 
@@ -153,9 +160,9 @@ class folder_parallel_writes:
         with self._lock:
             self._depth[self.key] -= 1
             if self._depth[self.key] == 0:
-                old = self._saved.pop(self.key, None)
-                if old is None:
-                    self.spark.conf.unset(_MIN_PARTITION)
-                else:
-                    self.spark.conf.set(_MIN_PARTITION, old)
+                for name, old in self._saved.pop(self.key).items():
+                    if old is None:
+                        self.spark.conf.unset(name)
+                    else:
+                        self.spark.conf.set(name, old)
         return False

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from cubelake import schemas as S
 from cubelake.functions.columns import blank_if_null, in_uint8_range, is_null_spelling
-from cubelake.functions.typing import cast_text, guard
+from cubelake.functions.typing import guard, plain_int
 
 
 #: The file as it is read: every column as text.
@@ -39,14 +39,17 @@ def type_delta(text: DataFrame, check_uint8: bool = True, blank_strings: bool =
             cols.append((blank_if_null(c) if blank_strings else c).alias(field.name))
             continue
         kind = "double" if isinstance(field.dataType, T.DoubleType) else "bigint"
-        value = cast_text(c, kind)
-        valid = is_null_spelling(c) | F.coalesce(guard(c, kind), F.lit(False))
+        value = c.try_cast(kind)
+        valid = F.coalesce(guard(c, kind), F.lit(False))
+        if kind == "bigint":  # nearly every value; a pattern costs several times as much
+            valid = plain_int(c) | valid
         wrong = F.raise_error(F.concat(F.lit(f"{field.name} not a valid value: "), c)).cast(kind)
-        typed = F.when(~valid, wrong)
+        typed = value
         if check_uint8 and field.name in S.UINT8_COLUMNS:
             beyond = F.raise_error(F.concat(F.lit(f"{field.name} out of uint8 range: "), c)).cast(kind)
-            typed = typed.when(~in_uint8_range(value), beyond)
-        cols.append(typed.otherwise(value).cast(field.dataType).alias(field.name))
+            typed = F.when(in_uint8_range(value), value).otherwise(beyond)
+        typed = F.when(is_null_spelling(c), F.lit(None).cast(kind)).when(valid, typed).otherwise(wrong)
+        cols.append(typed.cast(field.dataType).alias(field.name))
     return text.select(*cols)
 
 
